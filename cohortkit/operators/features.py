@@ -12,7 +12,7 @@ from ..config import EngineConfig
 from ..functions.geo import location_key
 from ..functions.predicates import nonzero_coords
 from ..functions.timefeat import iso_weekday, local_time
-from .bookings import as_date, customer_quantiles, in_window, ride_base_bookings
+from .bookings import _dates, as_date, customer_quantiles, fan_out, ride_base_bookings
 from .transactions import FOOD_BRANCHES, RIDE_BRANCHES, txn_features
 from .windows import keep_first
 
@@ -20,12 +20,12 @@ from .windows import keep_first
 def keyed_bookings(base: DataFrame, quantiles: DataFrame, percentile: float,
                    with_pickup: bool = True) -> DataFrame:
     """Bookings of active customers with 'lat|long' keys of their places."""
-    active = quantiles.filter(F.col("quantile") >= percentile).select("customer_id")
-    cols = [F.col("booking_id"), F.col("customer_id"), F.col("ts"),
+    active = quantiles.filter(F.col("quantile") >= percentile).select("valid_date", "customer_id")
+    cols = [F.col("valid_date"), F.col("booking_id"), F.col("customer_id"), F.col("ts"),
             location_key("dropoff_lat", "dropoff_long").alias("dropoff")]
     if with_pickup:
         cols.append(location_key("pickup_lat", "pickup_long").alias("pickup"))
-    return base.join(active, "customer_id", "inner").select(*cols)
+    return base.join(active, ["valid_date", "customer_id"], "inner").select(*cols)
 
 
 def frequent_locations(bookings: DataFrame, min_bookings: int,
@@ -34,8 +34,9 @@ def frequent_locations(bookings: DataFrame, min_bookings: int,
     used by at least ``min_bookings`` distinct bookings. One scan: each
     booking emits its places through ``explode`` instead of a UNION ALL."""
     places = (F.array("pickup", "dropoff") if with_pickup else F.array("dropoff"))
-    return (bookings.select("customer_id", "booking_id", F.explode(places).alias("location"))
-                    .groupBy("customer_id", "location")
+    return (bookings.select("valid_date", "customer_id", "booking_id",
+                            F.explode(places).alias("location"))
+                    .groupBy("valid_date", "customer_id", "location")
                     .agg(F.countDistinct("booking_id").alias("num_bookings"))
                     .filter(F.col("num_bookings") >= min_bookings))
 
@@ -44,7 +45,7 @@ def location_map(freq: DataFrame, min_locations: int) -> DataFrame:
     """(customer_id, locations map<string,long>, n_locations) for customers with
     at least ``min_locations`` frequent places (HAVING on count, not on the
     size of the collected list)."""
-    return (freq.groupBy("customer_id")
+    return (freq.groupBy("valid_date", "customer_id")
                 .agg(F.map_from_entries(F.collect_list(F.struct("location", "num_bookings")))
                      .alias("locations"),
                      F.count(F.lit(1)).alias("n_locations"))
@@ -55,15 +56,16 @@ def frequent_dropoff_history(bookings: DataFrame, freq: DataFrame, locmap: DataF
     """Bookings whose drop-off is one of the customer's frequent places
     (customer kept by the location-count rule): an equi semi join on
     (customer, place) instead of an array-contains test."""
-    kept = freq.join(locmap.select("customer_id"), "customer_id", "left_semi")
-    return bookings.join(kept.select("customer_id", F.col("location").alias("dropoff")),
-                         ["customer_id", "dropoff"], "left_semi")
+    kept = freq.join(locmap.select("valid_date", "customer_id"), ["valid_date", "customer_id"],
+                     "left_semi")
+    return bookings.join(kept.select("valid_date", "customer_id", F.col("location").alias("dropoff")),
+                         ["valid_date", "customer_id", "dropoff"], "left_semi")
 
 
 def _profile(hist: DataFrame, key: F.Column, out_col: str) -> DataFrame:
-    per_key = (hist.groupBy("customer_id", key.alias("k"))
+    per_key = (hist.groupBy("valid_date", "customer_id", key.alias("k"))
                    .agg(F.countDistinct("booking_id").alias("n")))
-    return per_key.groupBy("customer_id").agg(
+    return per_key.groupBy("valid_date", "customer_id").agg(
         F.map_from_entries(F.collect_list(F.struct("k", "n"))).alias(out_col))
 
 
@@ -77,31 +79,39 @@ def hour_profile(hist: DataFrame, out_col: str = "hour_stats") -> DataFrame:
     return _profile(hist, F.hour("ts"), out_col)
 
 
-def saved_places(T, date, cfg: EngineConfig, customers: DataFrame,
+def saved_places(T, dates, cfg: EngineConfig, customers: DataFrame,
                  min_year: int = 2019) -> DataFrame:
-    """(customer_id, home_work_coords map<string, struct<lat,long>>): latest
-    saved home / work place per customer before ``date``."""
-    d = F.lit(as_date(date))
-    usl = (T["bookmarks"].filter((F.col("last_updated") < d) & F.col("country_id").isin(1, 19))
-           .join(customers, F.col("user_id") == customers.customer_id, "left_semi")
-           .select(F.col("user_id").alias("customer_id"), "provider_id"))
+    """(valid_date, customer_id, home_work_coords map<string, struct<lat,long>>):
+    latest saved home / work place per customer strictly before each valid
+    date. Bookmarks fan out to the requested dates after them (bounded by the
+    number of dates)."""
+    ds = _dates(dates)
+    horizon = (ds[-1] - ds[0]).days + 36500          # "any time before D"
+    usl = T["bookmarks"].filter(F.col("country_id").isin(1, 19))
+    usl = fan_out(usl, F.to_date("last_updated"), ds, horizon)
+    usl = usl.filter(F.col("last_updated") < F.col("valid_date"))
+    usl = (usl.join(customers.withColumnRenamed("customer_id", "user_id"),
+                    ["valid_date", "user_id"], "left_semi")
+              .select("valid_date", F.col("user_id").alias("customer_id"), "provider_id"))
     name = F.lower("search_display_name")
     sli = (T["location_master"]
-           .filter((F.col("year") > min_year) & (F.col("date") < d)
+           .filter((F.col("year") > min_year) & F.col("date").isNotNull()
+                   & (F.col("date") < F.lit(ds[-1]))
                    & F.col("country_id").isin(1, 19)
                    & (name.startswith("home") | name.startswith("work")))
-           .select("provider_reference_id", "last_updated", "latitude", "longitude",
+           .select("provider_reference_id", "date", "last_updated", "latitude", "longitude",
                    F.when(name.startswith("home"), "home").when(name.startswith("work"), "work")
                    .alias("location_type")))
     j = (usl.join(sli, usl.provider_id == sli.provider_reference_id, "inner")
-            .filter(F.col("location_type").isNotNull())
-            .select("customer_id", "location_type", "last_updated", "provider_reference_id",
+            .filter(F.col("location_type").isNotNull() & (F.col("date") < F.col("valid_date")))
+            .select("valid_date", "customer_id", "location_type", "last_updated",
+                    "provider_reference_id",
                     F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("long"))
                     .alias("coords")))
-    latest = keep_first(j, ["customer_id", "location_type"],
+    latest = keep_first(j, ["valid_date", "customer_id", "location_type"],
                         [-F.unix_micros(F.col("last_updated").cast("timestamp")),
                          -F.col("provider_reference_id")])
-    return latest.groupBy("customer_id").agg(
+    return latest.groupBy("valid_date", "customer_id").agg(
         F.map_from_entries(F.collect_list(F.struct("location_type", "coords")))
         .alias("home_work_coords"))
 
@@ -117,14 +127,16 @@ def ride_features(T, date, cfg: EngineConfig, saved_min_year: int = 2019) -> Dat
     hist = frequent_dropoff_history(bookings, freq, locmap)
     week, hour = week_profile(hist), hour_profile(hist)
     trx = txn_features(T, date, cfg, RIDE_BRANCHES, {"base_bookings": base})
-    saved = saved_places(T, date, cfg, locmap.select("customer_id"), saved_min_year)
-    out = (locmap.join(week, "customer_id", "left")
-                 .join(hour, "customer_id", "left")
-                 .join(trx, "customer_id", "left")
-                 .join(quant, "customer_id", "left")
-                 .join(saved, "customer_id", "left")
+    saved = saved_places(T, date, cfg, locmap.select("valid_date", "customer_id"), saved_min_year)
+    k = ["valid_date", "customer_id"]
+    out = (locmap.join(week, k, "left")
+                 .join(hour, k, "left")
+                 .join(trx, k, "left")
+                 .join(quant, k, "left")
+                 .join(saved, k, "left")
                  .filter(F.col("week_stats").isNotNull() & F.col("hour_stats").isNotNull()))
-    return out.select(F.lit(as_date(date).isoformat()).alias("valid_date"), F.lit("rh").alias("service"),
+    return out.select(F.col("valid_date").cast("string").alias("valid_date"),
+                      F.lit("rh").alias("service"),
                       "customer_id", "num_trips", "quantile", "trx_amt", "week_stats",
                       "hour_stats", "locations", "home_work_coords")
 
@@ -133,17 +145,18 @@ def food_base_orders(T, date, cfg: EngineConfig) -> DataFrame:
     """Delivered food orders of the window, earliest row per (customer, order),
     with local time."""
     o = T["mkt_orders"].filter(
-        in_window("day", date, cfg.history_horizon)
-        & (F.col("order_status") == "delivered") & (F.col("order_type") == "food")
+        (F.col("order_status") == "delivered") & (F.col("order_type") == "food")
         & F.col("country").isin(*cfg.event_countries)
         & nonzero_coords("drop_off_latitude", "drop_off_longitude")
         & F.col("order_id").isNotNull())
-    o = o.select(F.col("order_id").alias("booking_id"), "customer_id",
+    o = fan_out(o, "day", date, cfg.history_horizon)
+    o = o.select("valid_date", F.col("order_id").alias("booking_id"), "customer_id",
                  "booking_creation_timestamp", "country",
                  F.col("drop_off_latitude").alias("dropoff_lat"),
                  F.col("drop_off_longitude").alias("dropoff_long"))
-    o = keep_first(o, ["customer_id", "booking_id"], [F.col("booking_creation_timestamp")])
-    o = o.select("booking_id", "customer_id",
+    o = keep_first(o, ["valid_date", "customer_id", "booking_id"],
+                   [F.col("booking_creation_timestamp")])
+    o = o.select("valid_date", "booking_id", "customer_id",
                  local_time("booking_creation_timestamp", "country", cfg.tz_by_country).alias("ts"),
                  "dropoff_lat", "dropoff_long")
     return o.filter(F.col("ts").isNotNull())
@@ -157,13 +170,15 @@ def food_features(T, date, cfg: EngineConfig) -> DataFrame:
     bookings = keyed_bookings(base, quant, cfg.percentile, with_pickup=False)
     freq = frequent_locations(bookings, cfg.min_bookings_per_location, with_pickup=False)
     locmap = location_map(freq, cfg.min_locations_food)
-    hist = bookings.join(locmap.select("customer_id"), "customer_id", "left_semi")
+    k = ["valid_date", "customer_id"]
+    hist = bookings.join(locmap.select(*k), k, "left_semi")
     week = week_profile(hist, "week_stats")
     hour = hour_profile(hist, "hour_stats")
-    trx = txn_features(T, date, cfg, FOOD_BRANCHES, {"customers": locmap.select("customer_id")})
-    out = (locmap.join(week, "customer_id", "left")
-                 .join(hour, "customer_id", "left")
-                 .join(trx, "customer_id", "left")
-                 .join(quant, "customer_id", "left"))
-    return out.select(F.lit(as_date(date).isoformat()).alias("valid_date"), "customer_id", "num_orders",
+    trx = txn_features(T, date, cfg, FOOD_BRANCHES, {"customers": locmap.select(*k)})
+    out = (locmap.join(week, k, "left")
+                 .join(hour, k, "left")
+                 .join(trx, k, "left")
+                 .join(quant, k, "left"))
+    return out.select(F.col("valid_date").cast("string").alias("valid_date"), "customer_id",
+                      "num_orders",
                       "quantile", "trx_amt", "week_stats", "hour_stats", "locations")

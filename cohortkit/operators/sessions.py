@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..config import EngineConfig
 from ..functions.predicates import strip_suffixes
 from ..session import cut_lineage
-from .bookings import as_date, ride_filters
+from .bookings import _dates, active_cohort, as_date, fan_out, ride_filters
 from .windows import keep_first, percent_rank_by_histogram
 
 SESSION_COLS = ("valid_date", "ts", "sessionuuid", "customer_id", "booking_id", "service_area_id",
@@ -24,55 +24,19 @@ SESSION_COLS = ("valid_date", "ts", "sessionuuid", "customer_id", "booking_id",
                 "is_trip_ended")
 
 
-def _dates(dates) -> list[_dt.date]:
-    if isinstance(dates, (str, _dt.date)):
-        dates = [dates]
-    return sorted({as_date(d) for d in dates})
-
-
 def history_fanout(bookings: DataFrame, dates, horizon: int, day_col: str = "day") -> DataFrame:
-    """Point-in-time range join without a nested loop: every booking is
-    copied to each requested valid date whose history window
-    [D-(n+1), D-1] contains its day. The generated sequence is clipped to the
-    requested span, so the fan-out is at most min(#dates, n+1)."""
-    ds = _dates(dates)
-    lo, hi = ds[0], ds[-1]
-    b = bookings.filter(F.col(day_col).between(F.lit(lo - _dt.timedelta(days=horizon + 1)),
-                                               F.lit(hi - _dt.timedelta(days=1))))
-    first = F.greatest(F.date_add(F.col(day_col), 1), F.lit(lo))
-    last = F.least(F.date_add(F.col(day_col), horizon + 1), F.lit(hi))
-    out = b.withColumn("valid_date", F.explode(F.sequence(first, last)))
-    if len(ds) != (hi - lo).days + 1:        # non-contiguous spine
-        out = out.filter(F.col("valid_date").isin(*ds))
-    return out
+    """See bookings.fan_out (copy rows to every valid date whose window holds them)."""
+    return fan_out(bookings, day_col, dates, horizon)
 
 
 def active_cohort_batch(trips: DataFrame, dates, cfg: EngineConfig) -> DataFrame:
-    """(valid_date, customer_id) of the active cohort of every date: distinct
-    ended bookings in the date's window, percent rank per date >= percentile."""
-    base = trips.filter(ride_filters(cfg)).select("customer_id", "booking_id", "day")
-    fan = history_fanout(base, dates, cfg.history_horizon)
-    counts = (fan.groupBy("valid_date", "customer_id")
-                 .agg(F.countDistinct("booking_id").alias("num_trips")))
-    ranked = percent_rank_by_date(counts, "num_trips")
-    return ranked.filter(F.col("quantile") >= cfg.percentile).select("valid_date", "customer_id")
+    """(valid_date, customer_id) of the active cohort of every date."""
+    return active_cohort(trips, dates, cfg)
 
 
 def percent_rank_by_date(counts: DataFrame, value_col: str) -> DataFrame:
-    """Rounded percent rank of ``value_col`` within each valid_date (via the
-    per-date histogram, see windows.percent_rank_by_histogram)."""
-    from pyspark.sql import Window
-    from ..functions.geo import half_up_round
-    hist = counts.groupBy("valid_date", value_col).agg(F.count(F.lit(1)).alias("_n"))
-    w_before = (Window.partitionBy("valid_date").orderBy(value_col)
-                .rowsBetween(Window.unboundedPreceding, -1))
-    w_all = Window.partitionBy("valid_date")
-    hist = hist.select("valid_date", value_col,
-                       F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_below"),
-                       F.sum("_n").over(w_all).alias("_total"))
-    pr = F.when(F.col("_total") > 1, F.col("_below") / (F.col("_total") - 1)).otherwise(F.lit(0.0))
-    return counts.join(hist.select("valid_date", value_col, half_up_round(pr, 2).alias("quantile")),
-                       ["valid_date", value_col])
+    """Rounded percent rank of ``value_col`` within each valid_date."""
+    return percent_rank_by_histogram(counts, value_col, "quantile", 2, by=["valid_date"])
 
 
 def _event_base(ev: DataFrame, dates, cfg: EngineConfig, cohort: DataFrame) -> DataFrame:

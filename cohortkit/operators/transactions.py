@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..config import EngineConfig
 from ..functions.predicates import like_any, null_or_less, nonzero_coords
-from .bookings import in_window, ride_base_bookings, ride_filters
+from .bookings import fan_out, ride_base_bookings, ride_filters
 
 TXN_COLS = ("userid", "transaction_id", "service")
 
@@ -26,8 +26,8 @@ class Branch:
 
 
 def _out(df: DataFrame, user, txn, service) -> DataFrame:
-    return df.select(user.cast("long").alias("userid"), txn.cast("string").alias("transaction_id"),
-                     service.alias("service"))
+    return df.select("valid_date", user.cast("long").alias("userid"),
+                     txn.cast("string").alias("transaction_id"), service.alias("service"))
 
 
 def order_service(merchant="merchant_name", order_type="order_type"):
@@ -48,26 +48,26 @@ def _rides(T, date, cfg, ctx):
 def _rides_food(T, date, cfg, ctx):
     """Food program's ride branch: any ended ride in the service-area list of
     customers that have frequent places (no intercity/scheduled exclusion)."""
-    t = T["trips"].filter(in_window("day", date, cfg.history_horizon)
-                          & ride_filters(cfg, ended=True, intercity_later=False)
+    t = T["trips"].filter(ride_filters(cfg, ended=True, intercity_later=False)
                           & F.col("service_area_id").isin(*cfg.food_service_area_ids))
-    t = t.join(ctx["customers"], "customer_id", "left_semi")
+    t = fan_out(t, "day", date, cfg.history_horizon)
+    t = t.join(ctx["customers"], ["valid_date", "customer_id"], "left_semi")
     return _out(t, F.col("customer_id"), F.col("booking_id"), F.lit("ride_hailing")).distinct()
 
 
 def _orders(T, date, cfg, ctx, exclude_food=False):
-    o = T["mkt_orders"].filter(in_window("day", date, cfg.history_horizon)
-                               & F.col("country").isin(*cfg.event_countries)
+    o = T["mkt_orders"].filter(F.col("country").isin(*cfg.event_countries)
                                & (F.lower("order_status") == "delivered"))
+    o = fan_out(o, "day", date, cfg.history_horizon)
     if exclude_food:
         o = o.filter(F.col("order_type") != "food")
     return _out(o, F.col("customer_id"), F.col("order_id"), order_service())
 
 
 def _p2p(T, date, cfg, ctx):
-    p = T["p2p"].filter(in_window("day", date, cfg.history_horizon)
-                        & (F.col("transaction_status_id") == 1)
+    p = T["p2p"].filter((F.col("transaction_status_id") == 1)
                         & F.col("country").isin(*cfg.event_countries))
+    p = fan_out(p, "day", date, cfg.history_horizon)
     pilots = T["pilot_users"].select("user_id", "cash_out_invite_id")
     p = (p.join(pilots, p.sender_id == pilots.user_id, "left")
           .filter(null_or_less("cash_out_invite_id", 1)))
@@ -75,26 +75,24 @@ def _p2p(T, date, cfg, ctx):
 
 
 def _bills(T, date, cfg, ctx):
-    b = T["bills"].filter(in_window("transaction_date", date, cfg.history_horizon)
-                          & (F.col("successful_transactions") == 1))
+    b = fan_out(T["bills"].filter(F.col("successful_transactions") == 1),
+                "transaction_date", date, cfg.history_horizon)
     return _out(b, F.col("customer_id"), F.col("transaction_id"), F.lit("pay_bills"))
 
 
 def _partner(T, date, cfg, ctx):
-    a = T["partner_txn"].withColumn("_d", F.to_date("booking_creation_date"))
-    a = a.filter(in_window("_d", date, cfg.history_horizon)
-                 & (F.lower("order_status") == "order completed"))
+    a = T["partner_txn"].filter(F.lower("order_status") == "order completed")
+    a = fan_out(a, F.to_date("booking_creation_date"), date, cfg.history_horizon)
     pm = T["partner_map"]
     j = a.join(pm, a.partner_customer_id == pm.identifier, "inner")
     return _out(j, F.col("sub").cast("long"), F.col("appointment_ref_code"), F.lit("laundryshoes"))
 
 
 def _remittance(T, date, cfg, ctx):
-    r = T["remittance"].withColumn("_d", F.to_date("created_at"))
-    r = r.filter(in_window("_d", date, cfg.history_horizon)
-                 & (F.lower("invoice_status") == "paid")
-                 & F.lower("status").isin("paid", "completed")
-                 & F.col("sender_country").isin("AE", "JO"))
+    r = T["remittance"].filter((F.lower("invoice_status") == "paid")
+                               & F.lower("status").isin("paid", "completed")
+                               & F.col("sender_country").isin("AE", "JO"))
+    r = fan_out(r, F.to_date("created_at"), date, cfg.history_horizon)
     return _out(r, F.col("sender_user_id").try_cast("long"), F.col("id"),
                 F.lit("send_abroad_remittance"))
 
@@ -127,15 +125,15 @@ def transactions(T, date, cfg: EngineConfig, branches=RIDE_BRANCHES, ctx=None) -
 
 def bike_branch(T, date, cfg: EngineConfig) -> DataFrame:
     """Pre-aggregated daily statistics: sum of positive daily trip counts."""
-    b = T["bike_daily"].filter(in_window("day", date, cfg.history_horizon)
-                               & (F.col("trip_cnt") > 0) & F.col("customer_id").isNotNull())
-    return (b.groupBy(F.col("customer_id").alias("userid"))
+    b = T["bike_daily"].filter((F.col("trip_cnt") > 0) & F.col("customer_id").isNotNull())
+    b = fan_out(b, "day", date, cfg.history_horizon)
+    return (b.groupBy("valid_date", F.col("customer_id").alias("userid"))
              .agg(F.lit("bike").alias("service"), F.sum("trip_cnt").cast("long").alias("trx_amt")))
 
 
 def txn_by_service(txn: DataFrame) -> DataFrame:
     return (txn.filter(F.col("userid").isNotNull())
-               .groupBy("userid", "service")
+               .groupBy("valid_date", "userid", "service")
                .agg(F.countDistinct("transaction_id").alias("trx_amt")))
 
 
@@ -143,7 +141,7 @@ def txn_features(T, date, cfg: EngineConfig, branches=RIDE_BRANCHES, ctx=None) -
     """(customer_id, trx_amt): distinct transactions per service summed per user."""
     per_service = txn_by_service(transactions(T, date, cfg, branches, ctx))
     both = per_service.unionByName(bike_branch(T, date, cfg))
-    return (both.groupBy(F.col("userid").alias("customer_id"))
+    return (both.groupBy("valid_date", F.col("userid").alias("customer_id"))
                 .agg(F.sum("trx_amt").cast("long").alias("trx_amt")))
 
 

@@ -31,24 +31,26 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
 
 
 def percent_rank_by_histogram(df: DataFrame, value_col: str, out_col: str = "quantile",
-                              digits: int | None = 2) -> DataFrame:
+                              digits: int | None = 2, by: list[str] | None = None) -> DataFrame:
     """Adds ``percent_rank() over (order by value_col)`` (optionally rounded):
     (#rows with a strictly smaller value) / (#rows - 1), 0 for a single row.
 
     Only the histogram (one row per distinct value) is ranked, so no task ever
     holds the whole input; the histogram joins back on the value."""
-    hist = df.groupBy(value_col).agg(F.count(F.lit(1)).alias("_n"))
-    w_before = Window.orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy()
+    by = list(by or [])
+    hist = df.groupBy(*by, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    w_before = (Window.partitionBy(*by).orderBy(value_col)
+                .rowsBetween(Window.unboundedPreceding, -1))
+    w_all = Window.partitionBy(*by)
     hist = hist.select(
-        value_col,
+        *by, value_col,
         F.coalesce(F.sum("_n").over(w_before), F.lit(0)).alias("_below"),
         F.sum("_n").over(w_all).alias("_total"))
     pr = F.when(F.col("_total") > 1,
                 F.col("_below") / (F.col("_total") - 1)).otherwise(F.lit(0.0))
     if digits is not None:
         pr = half_up_round(pr, digits)
-    return df.join(hist.select(value_col, pr.alias(out_col)), value_col)
+    return df.join(hist.select(*by, value_col, pr.alias(out_col)), [*by, value_col])
 
 
 def descending_cumsum(df: DataFrame, score_col: str, value_cols: list[str],

@@ -57,7 +57,8 @@ def date_spine_q(spark, sf):
 SELECT customer_id, count(DISTINCT booking_id) AS num_trips FROM trips
 WHERE {S.window('day', D, C.history_horizon)} AND {S.ride_filter(C)} GROUP BY customer_id"""))
 def trips_per_customer(spark, sf):
-    return B.trips_per_customer(B.scan_history(Tables(spark, sf)["trips"], D, C), True)
+    return (B.trips_per_customer(B.scan_history(Tables(spark, sf)["trips"], D, C), True)
+            .select("customer_id", "num_trips"))
 
 
 @register("active_cohort", oracle(("trips",), f"""
@@ -67,7 +68,8 @@ q AS (SELECT customer_id, num_trips,
              {S.round2('percent_rank() OVER (ORDER BY num_trips)')} AS quantile FROM c)
 SELECT customer_id, num_trips, quantile FROM q"""))
 def active_cohort_q(spark, sf):
-    t = B.scan_history(Tables(spark, sf)["trips"], D, C).select("customer_id", "booking_id")
+    t = B.scan_history(Tables(spark, sf)["trips"], D, C).select("valid_date", "customer_id",
+                                                                "booking_id")
     return B.customer_quantiles(t, distinct=True).select("customer_id", "num_trips", "quantile")
 
 
@@ -116,7 +118,7 @@ _RIDE = S.ride_base_ctes(C, D) + "," + S.ride_location_ctes(C)
 @register("frequent_locations", oracle(("trips",), _RIDE + """
 SELECT customer_id, location, num_bookings FROM freq"""))
 def frequent_locations_q(spark, sf):
-    return _ride_parts(spark, sf)[4]
+    return _ride_parts(spark, sf)[4].select("customer_id", "location", "num_bookings")
 
 
 @register("frequent_location_map", oracle(("trips",), _RIDE + """
@@ -179,19 +181,20 @@ def txn_union_q(spark, sf):
 @register("txn_by_service", oracle(_TXN_VIEWS, _TXN + """
 SELECT userid, service, trx_amt FROM txn_service"""))
 def txn_by_service_q(spark, sf):
-    return TX.txn_by_service(TX.transactions(Tables(spark, sf), D, C))
+    return (TX.txn_by_service(TX.transactions(Tables(spark, sf), D, C))
+            .select("userid", "service", "trx_amt"))
 
 
 @register("txn_preaggregated_branch", oracle(_TXN_VIEWS, _TXN + """
 SELECT userid, service, trx_amt FROM bike"""))
 def txn_preaggregated_branch_q(spark, sf):
-    return TX.bike_branch(Tables(spark, sf), D, C)
+    return TX.bike_branch(Tables(spark, sf), D, C).select("userid", "service", "trx_amt")
 
 
 @register("txn_features", oracle(_TXN_VIEWS, _TXN + """
 SELECT customer_id, trx_amt FROM trx"""))
 def txn_features_q(spark, sf):
-    return TX.txn_features(Tables(spark, sf), D, C)
+    return TX.txn_features(Tables(spark, sf), D, C).select("customer_id", "trx_amt")
 
 
 @register("null_or_less", oracle(("p2p", "pilot_users"), f"""
@@ -234,7 +237,7 @@ def service_case_map_q(spark, sf):
 SELECT customer_id, home_work_coords FROM saved"""))
 def saved_places_latest_q(spark, sf):
     T, base, quant, bk, freq, locmap = _ride_parts(spark, sf)
-    s = FT.saved_places(T, D, C, locmap.select("customer_id"), SAVED_MIN_YEAR)
+    s = FT.saved_places(T, D, C, locmap.select("valid_date", "customer_id"), SAVED_MIN_YEAR)
     return s.select("customer_id", saved_canon().alias("home_work_coords"))
 
 
