@@ -1 +1,235 @@
-"""Registered queries (see registry)."""
+"""Queries of the dataset-build stage (time, profile, place and saved-place
+features, filters, training rows)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..config import BOUNDS_BY_COUNTRY
+from ..functions.geo import great_circle_km, great_circle_sql
+from ..functions.predicates import in_bbox, valid_service_area
+from ..functions.profiles import canon_map, l2_normalize_map, smooth_hours
+from ..operators import dataset as DS
+from ..operators import features as FT
+from ..operators import sessions as SS
+from ..sources.fixtures import Tables
+from . import sqlfrag as S
+from .q_features import _RIDE, _ride_parts
+from .q_sessions import BATCH
+from .registry import FEATURE_DATE, FIX_CFG, SAVED_MIN_YEAR, oracle, register
+
+D, C = FEATURE_DATE, FIX_CFG
+
+
+def gc(a, b, c, d) -> str:
+    return great_circle_sql(a, b, c, d)
+
+
+@register("great_circle_km", oracle(("trips",), f"""
+SELECT booking_id, {gc('pickup_lat', 'pickup_long', 'dropoff_lat', 'dropoff_long')} AS dist_km
+FROM trips WHERE dropoff_lat <> 0 AND dropoff_long <> 0"""))
+def great_circle_km_q(spark, sf):
+    t = Tables(spark, sf)["trips"].filter((F.col("dropoff_lat") != 0) & (F.col("dropoff_long") != 0))
+    return t.select("booking_id", great_circle_km("pickup_lat", "pickup_long", "dropoff_lat",
+                                                  "dropoff_long").alias("dist_km"))
+
+
+def _local_sql(ts: str) -> str:
+    whens = " ".join(f"WHEN '{c}' THEN to_timestamp({ts}) AT TIME ZONE '{tz}'"
+                     for c, tz in C.tz_by_country.items())
+    return f"CASE country_name {whens} END"
+
+
+def _weekend_sql(dow: str) -> str:
+    whens = " ".join(f"WHEN '{c}' THEN CAST({dow} IN {S.lst(days)} AS INTEGER)"
+                     for c, days in C.weekend_by_country.items())
+    return f"CASE country_name {whens} ELSE CAST({dow} IN (6, 7) AS INTEGER) END"
+
+
+@register("time_parts", oracle(("trips", "booking_events"), f"""
+lt AS (SELECT sessionuuid, country_name, {_local_sql('"timestamp" // 1000')} AS ts
+       FROM booking_events),
+tp AS (SELECT sessionuuid, country_name, ts, hour(ts) AS hour, isodow(ts) AS weekday,
+              hour(ts) * 60 + minute(ts) AS minutes FROM lt WHERE ts IS NOT NULL)
+SELECT sessionuuid, ts, hour, weekday, sin(2 * pi() * minutes / 1440.0) AS minutes_sin,
+       cos(2 * pi() * minutes / 1440.0) AS minutes_cos, {_weekend_sql('weekday')} AS is_weekend
+FROM tp"""))
+def time_parts_q(spark, sf):
+    e = Tables(spark, sf)["booking_events"].select(
+        "sessionuuid", "country_name", F.floor(F.col("timestamp") / 1000).cast("long").alias("ts"))
+    t = DS.time_features(e, C)
+    return t.select("sessionuuid", "ts", "hour", "weekday", "minutes_sin", "minutes_cos",
+                    "is_weekend")
+
+
+@register("hour_smoothing", oracle(("trips",), _RIDE + "," + """
+hn AS (SELECT customer_id, hour(ts) AS h, count(DISTINCT booking_id) AS n FROM hist
+       GROUP BY customer_id, hour(ts)),
+cust AS (SELECT DISTINCT customer_id FROM hn),
+grid AS (SELECT c.customer_id, g.h FROM cust c, range(0, 24) g(h)),
+sm AS (SELECT g.customer_id, g.h,
+              COALESCE(a.n, 0) + COALESCE(b.n, 0) + COALESCE(c.n, 0) AS s
+       FROM grid g
+       LEFT JOIN hn a ON a.customer_id = g.customer_id AND a.h = g.h
+       LEFT JOIN hn b ON b.customer_id = g.customer_id AND b.h = (g.h + 1) % 24
+       LEFT JOIN hn c ON c.customer_id = g.customer_id AND c.h = (g.h + 23) % 24)
+SELECT customer_id, string_agg(CAST(h AS VARCHAR) || '=' || CAST(s AS VARCHAR), ';' ORDER BY h)
+       AS hour_denoised_stats
+FROM sm GROUP BY customer_id"""))
+def hour_smoothing_q(spark, sf):
+    T, base, quant, bk, freq, locmap = _ride_parts(spark, sf)
+    h = FT.hour_profile(FT.frequent_dropoff_history(bk, freq, locmap))
+    return h.select("customer_id", canon_map(smooth_hours("hour_stats")).alias("hour_denoised_stats"))
+
+
+@register("l2_norm_profile", oracle(("trips",), _RIDE + "," + """
+wn AS (SELECT customer_id, isodow(ts) AS k, count(DISTINCT booking_id) AS n FROM hist
+       GROUP BY customer_id, isodow(ts)),
+wz AS (SELECT customer_id, k, n / sqrt(sum(n * n) OVER (PARTITION BY customer_id)) AS v FROM wn)
+SELECT customer_id, string_agg(CAST(k AS VARCHAR) || '=' || printf('%.6f', v), ';' ORDER BY k)
+       AS norm_week
+FROM wz GROUP BY customer_id"""))
+def l2_norm_profile_q(spark, sf):
+    T, base, quant, bk, freq, locmap = _ride_parts(spark, sf)
+    w = FT.week_profile(FT.frequent_dropoff_history(bk, freq, locmap))
+    return w.select("customer_id", canon_map(l2_normalize_map("week_stats"), "%.6f").alias("norm_week"))
+
+
+# pseudo-sessions: every distinct ride of a customer that has frequent places,
+# standing at its pickup point, with its drop-off
+_PTS = """
+pts AS (SELECT DISTINCT t.booking_id, t.customer_id, t.pickup_lat AS latitude, t.pickup_long AS longitude,
+               COALESCE(t.dropoff_lat, 0) AS dropoff_lat, COALESCE(t.dropoff_long, 0) AS dropoff_long
+        FROM trips t WHERE t.customer_id IN (SELECT customer_id FROM locs))"""
+
+
+def _pts(spark, sf):
+    T, base, quant, bk, freq, locmap = _ride_parts(spark, sf)
+    pts = (T["trips"].select("booking_id", "customer_id", F.col("pickup_lat").alias("latitude"),
+                             F.col("pickup_long").alias("longitude"),
+                             F.coalesce("dropoff_lat", F.lit(0.0)).alias("dropoff_lat"),
+                             F.coalesce("dropoff_long", F.lit(0.0)).alias("dropoff_long"))
+           .distinct())
+    return T, pts, locmap
+
+
+@register("location_features", oracle(("trips",), _RIDE + "," + _PTS + f""",
+lf AS (SELECT f.customer_id, f.location,
+              CAST(split_part(f.location, '|', 1) AS DOUBLE) AS klat,
+              CAST(split_part(f.location, '|', 2) AS DOUBLE) AS klon,
+              f.num_bookings / sqrt(sum(f.num_bookings * f.num_bookings)
+                                    OVER (PARTITION BY f.customer_id)) AS w,
+              row_number() OVER (PARTITION BY f.customer_id
+                                 ORDER BY f.num_bookings DESC, f.location) AS rk
+       FROM freq f WHERE f.customer_id IN (SELECT customer_id FROM locs)),
+pd AS (SELECT p.*, lf.location, lf.w, lf.rk,
+              {gc('p.latitude', 'p.longitude', 'lf.klat', 'lf.klon')} AS dist,
+              {gc('p.dropoff_lat', 'p.dropoff_long', 'lf.klat', 'lf.klon')} AS ddist
+       FROM pts p JOIN lf ON p.customer_id = lf.customer_id),
+nn AS (SELECT * FROM (SELECT booking_id, dist, w, row_number() OVER (PARTITION BY booking_id
+                                                 ORDER BY dist, location) AS rn FROM pd) x
+       WHERE rn = 1),
+ag AS (SELECT booking_id, min(dropoff_lat) AS dlat, min(dropoff_long) AS dlon, min(ddist) AS dmin,
+              max(CASE WHEN rk = 1 THEN dist END) AS d1, max(CASE WHEN rk = 2 THEN dist END) AS d2
+       FROM pd GROUP BY booking_id)
+SELECT ag.booking_id, nn.dist AS min_dist_to_known_loc,
+       CASE WHEN nn.dist <= {C.d_threshold_km} THEN nn.w ELSE 0.0 END AS norm_trips_curr_location,
+       CASE WHEN ag.dlat = 0 OR ag.dlon = 0 THEN 0
+            ELSE CAST(ag.dmin <= {C.d_threshold_km} AS INTEGER) END AS is_freq,
+       ag.d1 AS dist_to_most_freq, ag.d2 AS dist_to_second_freq
+FROM ag JOIN nn ON ag.booking_id = nn.booking_id"""))
+def location_features_q(spark, sf):
+    T, pts, locmap = _pts(spark, sf)
+    j = pts.join(locmap.select("customer_id", "locations"), "customer_id")
+    out = DS.location_features(j, C)
+    return out.select("booking_id", "min_dist_to_known_loc", "norm_trips_curr_location", "is_freq",
+                      "dist_to_most_freq", "dist_to_second_freq")
+
+
+@register("saved_place_flags", oracle(("trips", "bookmarks", "location_master"), _RIDE + ","
+                                      + S.saved_cte(D, "SELECT customer_id FROM locs", SAVED_MIN_YEAR)
+                                      + "," + _PTS + f""",
+sv AS (SELECT customer_id,
+              COALESCE(max(CASE WHEN location_type = 'home' THEN latitude END), 0) AS hlat,
+              COALESCE(max(CASE WHEN location_type = 'home' THEN longitude END), 0) AS hlon,
+              COALESCE(max(CASE WHEN location_type = 'work' THEN latitude END), 0) AS wlat,
+              COALESCE(max(CASE WHEN location_type = 'work' THEN longitude END), 0) AS wlon
+       FROM saved_rows GROUP BY customer_id),
+pj AS (SELECT p.booking_id, p.latitude, p.longitude, COALESCE(sv.hlat, 0) AS hlat,
+              COALESCE(sv.hlon, 0) AS hlon, COALESCE(sv.wlat, 0) AS wlat, COALESCE(sv.wlon, 0) AS wlon
+       FROM pts p LEFT JOIN sv ON p.customer_id = sv.customer_id)
+SELECT booking_id,
+       CASE WHEN hlat <> 0 THEN CAST({gc('hlat', 'hlon', 'latitude', 'longitude')} <= {C.d_threshold_km}
+                                      AS INTEGER) ELSE 0 END AS is_home,
+       CASE WHEN hlat = 0 AND wlat <> 0
+            THEN CAST({gc('wlat', 'wlon', 'latitude', 'longitude')} <= {C.d_threshold_km} AS INTEGER)
+            ELSE 0 END AS is_work,
+       CASE WHEN hlat <> 0 OR wlat <> 0 THEN 1 ELSE 0 END AS has_saved
+FROM pj"""))
+def saved_place_flags_q(spark, sf):
+    T, pts, locmap = _pts(spark, sf)
+    saved = FT.saved_places(T, D, C, locmap.select("valid_date", "customer_id"), SAVED_MIN_YEAR)
+    j = (pts.join(locmap.select("customer_id"), "customer_id", "left_semi")
+            .join(saved.drop("valid_date"), "customer_id", "left"))
+    return DS.saved_place_flags(j, C).select("booking_id", "is_home", "is_work", "has_saved")
+
+
+def _bbox_sql() -> str:
+    parts = [f"(country_name = '{c}' AND latitude BETWEEN {la0} AND {la1} "
+             f"AND longitude BETWEEN {lo0} AND {lo1})"
+             for c, ((la0, la1), (lo0, lo1)) in BOUNDS_BY_COUNTRY.items()]
+    return "(" + " OR ".join(parts) + ")"
+
+
+@register("bbox_filter", oracle(("superapp_events",), f"""
+SELECT country_name, count(*) AS n_events,
+       CAST(sum(CASE WHEN {_bbox_sql()} THEN 1 ELSE 0 END) AS BIGINT) AS n_inside
+FROM superapp_events GROUP BY country_name"""))
+def bbox_filter_q(spark, sf):
+    e = Tables(spark, sf)["superapp_events"]
+    inside = F.coalesce(in_bbox("latitude", "longitude", "country_name", C.bounds_by_country),
+                        F.lit(False))
+    return e.groupBy("country_name").agg(F.count(F.lit(1)).alias("n_events"),
+                                         F.sum(inside.cast("long")).alias("n_inside"))
+
+
+@register("service_area_filter", oracle(("superapp_events",), f"""
+SELECT service_area_id, count(*) AS n_events,
+       TRY_CAST(TRY_CAST(service_area_id AS DOUBLE) AS BIGINT) IN {S.lst(C.valid_service_area_ids)}
+           AS valid
+FROM superapp_events GROUP BY service_area_id"""))
+def service_area_filter_q(spark, sf):
+    e = Tables(spark, sf)["superapp_events"]
+    return (e.groupBy("service_area_id")
+             .agg(F.count(F.lit(1)).alias("n_events"))
+             .withColumn("valid", valid_service_area("service_area_id", C.valid_service_area_ids)))
+
+
+@register("rh_frac", oracle(_RIDE_TXN_VIEWS := ("trips", "mkt_orders", "p2p", "pilot_users", "bills",
+                                                "partner_txn", "partner_map", "remittance",
+                                                "bike_daily"),
+                            S.ride_base_ctes(C, D) + "," + S.txn_cte(
+                                C, D, "SELECT customer_id AS userid, CAST(booking_id AS VARCHAR) AS "
+                                      "transaction_id, 'ride_hailing' AS service FROM base") + """
+SELECT q.customer_id, CAST(q.num_trips AS DOUBLE) / t.trx_amt AS rh_frac
+FROM quant q LEFT JOIN trx t ON q.customer_id = t.customer_id"""))
+def rh_frac_q(spark, sf):
+    from ..operators import bookings as B
+    from ..operators import transactions as TX
+    T = Tables(spark, sf)
+    base = B.ride_base_bookings(T["trips"], D, C)
+    q = B.customer_quantiles(base, distinct=False)
+    t = TX.txn_features(T, D, C, TX.RIDE_BRANCHES, {"base_bookings": base})
+    j = q.join(t, ["valid_date", "customer_id"], "left")
+    return j.select("customer_id", F.try_divide(F.col("num_trips").cast("double"),
+                                                F.col("trx_amt").cast("double")).alias("rh_frac"))
+
+
+@register("training_rows", None)
+def training_rows_q(spark, sf):
+    """Flat training table over the 30-day batch (rows-only check; each
+    feature has its own oracle query above)."""
+    T = Tables(spark, sf)
+    sess = SS.sessions(T, BATCH, C)
+    feats = FT.ride_features(T, BATCH, C, SAVED_MIN_YEAR)
+    return DS.training_rows(sess, feats, C)
