@@ -57,8 +57,8 @@ def descending_cumsum(df: DataFrame, score_col: str, value_cols: list[str],
                       n_buckets: int = 64, rel_error: float = 1e-3,
                       prefix: str = "cum_") -> DataFrame:
     """For every row, the sum of ``value_cols`` over all rows with a score
-    greater than or equal to the row's score. Scores must be unique per row
-    (aggregate ties first).
+    greater than or equal to the row's score (``cum_<c>``) and the grand total
+    (``total_<c>``). Scores must be unique per row (aggregate ties first).
 
     Rows are cut into ~``n_buckets`` score ranges by approximate quantiles
     (so buckets hold similar row counts), per-bucket totals are suffix-summed
@@ -70,8 +70,10 @@ def descending_cumsum(df: DataFrame, score_col: str, value_cols: list[str],
          .setHandleInvalid("keep").transform(df))
     tot = b.groupBy("_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in value_cols])
     w_above = Window.orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy()
     offsets = tot.select("_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(w_above), F.lit(0))
-                                      .alias(f"_off_{c}") for c in value_cols])
+                                      .alias(f"_off_{c}") for c in value_cols],
+                         *[F.sum(f"_t_{c}").over(w_all).alias(f"total_{c}") for c in value_cols])
     w_in = (Window.partitionBy("_bucket").orderBy(F.col(score_col).desc())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # offsets has one row per bucket: its size is bounded by n_buckets

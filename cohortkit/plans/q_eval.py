@@ -1 +1,322 @@
-"""Registered queries (see registry)."""
+"""Queries of the evaluation / calibration / model stage, over the scored
+fixture view (orders with a pseudo-random score and label)."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ..operators import calibrate as CB
+from ..operators import evaluate as EV
+from ..operators import model as MD
+from ..sources.fixtures import Tables
+from .registry import oracle, register
+
+THRESHOLD = 0.5
+TARGET_PRECISION = 0.6
+ECE_BINS = 500
+VIF_COLS = ("l_quantity", "l_discount", "l_tax", "price_1e4")
+_SC = ("scored",)
+
+_COUNTS = """
+sc AS (SELECT score, CAST(sum(CASE WHEN target = 1 THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+              CAST(sum(CASE WHEN target <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS neg
+       FROM scored GROUP BY score),
+cu AS (SELECT score, pos, neg, sum(pos) OVER (ORDER BY score DESC) AS tp,
+              sum(neg) OVER (ORDER BY score DESC) AS fp, sum(pos) OVER () AS p_all FROM sc),
+pr AS (SELECT score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+              CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) ELSE 0.0 END AS precision,
+              CASE WHEN p_all > 0 THEN CAST(tp AS DOUBLE) / p_all ELSE 1.0 END AS recall FROM cu)"""
+
+
+def _scored(spark, sf):
+    return Tables(spark, sf)["scored"]
+
+
+@register("threshold_sweep", oracle(_SC, """
+t AS (SELECT unnest([0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS threshold),
+tot AS (SELECT count(*) AS n, sum(CASE WHEN rh = 1 THEN 1 ELSE 0 END) AS n_rh,
+               sum(CASE WHEN rh = 1 AND is_freq = 1 THEN 1 ELSE 0 END) AS n_rel FROM scored),
+per AS (SELECT t.threshold, count(s.score) AS sessions,
+               sum(CASE WHEN s.rh = 1 THEN 1 ELSE 0 END) AS rh_sessions,
+               sum(CASE WHEN s.is_freq = 1 THEN 1 ELSE 0 END) AS relevant_sessions
+        FROM t LEFT JOIN scored s ON s.score > t.threshold GROUP BY t.threshold)
+SELECT CAST(per.threshold AS DOUBLE) AS threshold,
+       CAST(sessions AS DOUBLE) / n AS sa_coverage,
+       CAST(rh_sessions AS DOUBLE) / n_rh AS rh_coverage,
+       CAST(rh_sessions AS DOUBLE) / sessions AS relevance_rh_total,
+       CAST(relevant_sessions AS DOUBLE) / sessions AS relevance_freq_only,
+       CAST(relevant_sessions AS DOUBLE) / n_rel AS pct_freq_detected
+FROM per, tot"""))
+def threshold_sweep_q(spark, sf):
+    return EV.threshold_sweep(_scored(spark, sf))
+
+
+@register("pr_curve", oracle(_SC, _COUNTS + """
+SELECT threshold, tp, fp, precision, recall FROM pr"""))
+def pr_curve_q(spark, sf):
+    return EV.pr_curve(_scored(spark, sf))
+
+
+@register("optimal_threshold", oracle(_SC, _COUNTS + f""",
+best AS (SELECT max(recall) AS r FROM pr WHERE precision >= {TARGET_PRECISION})
+SELECT min(threshold) AS threshold, max(recall) AS recall FROM pr, best WHERE pr.recall = best.r"""))
+def optimal_threshold_q(spark, sf):
+    return EV.optimal_threshold(EV.pr_curve(_scored(spark, sf)), TARGET_PRECISION)
+
+
+@register("roc_auc", oracle(_SC, _COUNTS + """
+SELECT sum(neg * ((tp - pos) + pos / 2.0)) / (sum(pos) * CAST(sum(neg) AS DOUBLE)) AS roc_auc
+FROM cu"""))
+def roc_auc_q(spark, sf):
+    return EV.roc_auc(_scored(spark, sf))
+
+
+@register("log_loss", oracle(_SC, f"""
+SELECT avg(-(target * ln(p) + (1 - target) * ln(1 - p))) AS log_loss
+FROM (SELECT CAST(target AS DOUBLE) AS target,
+             least(greatest(score, {EV.EPS!r}), {1 - EV.EPS!r}) AS p FROM scored) x"""))
+def log_loss_q(spark, sf):
+    return EV.log_loss(_scored(spark, sf))
+
+
+@register("confusion_matrix", oracle(_SC, f"""
+SELECT CAST(target AS INTEGER) AS actual, CAST(score > {THRESHOLD} AS INTEGER) AS predicted,
+       count(*) AS n FROM scored GROUP BY ALL"""))
+def confusion_matrix_q(spark, sf):
+    return EV.confusion_matrix(_scored(spark, sf), THRESHOLD)
+
+
+@register("classification_report", oracle(_SC, f"""
+c AS (SELECT CAST(sum(CASE WHEN target = 0 AND score <= {THRESHOLD} THEN 1 ELSE 0 END) AS DOUBLE) c00,
+             CAST(sum(CASE WHEN target = 0 AND score > {THRESHOLD} THEN 1 ELSE 0 END) AS DOUBLE) c01,
+             CAST(sum(CASE WHEN target = 1 AND score <= {THRESHOLD} THEN 1 ELSE 0 END) AS DOUBLE) c10,
+             CAST(sum(CASE WHEN target = 1 AND score > {THRESHOLD} THEN 1 ELSE 0 END) AS DOUBLE) c11
+      FROM scored),
+m AS (SELECT *, coalesce(c00 / nullif(c00 + c10, 0), 0) AS p0, coalesce(c00 / nullif(c00 + c01, 0), 0) AS r0,
+             coalesce(c11 / nullif(c11 + c01, 0), 0) AS p1, coalesce(c11 / nullif(c11 + c10, 0), 0) AS r1,
+             c00 + c01 AS s0, c10 + c11 AS s1 FROM c),
+f AS (SELECT *, coalesce(2 * p0 * r0 / nullif(p0 + r0, 0), 0) AS f0,
+             coalesce(2 * p1 * r1 / nullif(p1 + r1, 0), 0) AS f1,
+             coalesce((c00 + c11) / nullif(s0 + s1, 0), 0) AS acc FROM m)
+SELECT '0' AS label, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM f
+UNION ALL SELECT '1', p1, r1, f1, s1 FROM f
+UNION ALL SELECT 'accuracy', acc, acc, acc, s0 + s1 FROM f
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, s0 + s1 FROM f
+UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / (s0 + s1), (r0 * s0 + r1 * s1) / (s0 + s1),
+                 (f0 * s0 + f1 * s1) / (s0 + s1), s0 + s1 FROM f"""))
+def classification_report_q(spark, sf):
+    return EV.classification_report(_scored(spark, sf), THRESHOLD)
+
+
+_EDGES = ", ".join(repr(float(e)) for e in np.linspace(0, 1, 6)[1:-1])
+
+
+@register("calibration_curve", oracle(_SC, f"""
+SELECT CAST(({" + ".join(f"CASE WHEN {e} < score THEN 1 ELSE 0 END" for e in _EDGES.split(", "))}) AS INTEGER) AS bin,
+       avg(CAST(target AS DOUBLE)) AS prob_true, avg(score) AS prob_pred, count(*) AS n
+FROM scored GROUP BY 1"""))
+def calibration_curve_q(spark, sf):
+    return EV.calibration_curve(_scored(spark, sf), 5)
+
+
+@register("ece", oracle(_SC, f"""
+b AS (SELECT i AS bin, (i - 1) * (CAST(1 AS DOUBLE) / {ECE_BINS}) AS lo,
+             CASE WHEN i = {ECE_BINS} THEN CAST(1 AS DOUBLE) ELSE i * (CAST(1 AS DOUBLE) / {ECE_BINS}) END AS hi
+      FROM range(1, {ECE_BINS + 1}) r(i)),
+pb AS (SELECT b.bin, count(*) AS n, avg(s.score) AS conf,
+              avg(CASE WHEN CAST(s.score > 0.5 AS INTEGER) = s.target THEN 1.0 ELSE 0.0 END) AS acc
+       FROM scored s JOIN b ON s.score > b.lo AND s.score <= b.hi GROUP BY b.bin)
+SELECT (SELECT sum(abs(conf - acc) * n) FROM pb) / (SELECT count(*) FROM scored) AS ece"""))
+def ece_q(spark, sf):
+    return EV.expected_calibration_error(_scored(spark, sf), ECE_BINS)
+
+
+def _num(spark, sf):
+    li = Tables(spark, sf)["lineitem"]
+    return li.select("l_quantity", "l_discount", "l_tax",
+                     (F.col("l_extendedprice") / 10000.0).alias("price_1e4"))
+
+
+_GRAM_SQL = " UNION ALL ".join(
+    f"SELECT {i} AS i, {j} AS j, sum(CAST({a} AS DOUBLE) * {b}) AS g FROM num"
+    for i, a in enumerate(VIF_COLS) for j, b in enumerate(VIF_COLS))
+
+
+@register("vif_gram", oracle((), f"""
+num AS (SELECT l_quantity, l_discount, l_tax, l_extendedprice / 10000.0 AS price_1e4 FROM lineitem)
+{_GRAM_SQL}"""))
+def vif_gram_q(spark, sf):
+    return EV.gram_matrix(_num(spark, sf), list(VIF_COLS))
+
+
+@register("vif", None)
+def vif_q(spark, sf):
+    return EV.variance_inflation(_num(spark, sf), list(VIF_COLS))
+
+
+# --- calibration ----------------------------------------------------------------
+
+@register("isotonic_tie_pool", oracle(_SC, """
+SELECT round_even(score * 10000000.0, 0) / 10000000.0 AS x, avg(CAST(target AS DOUBLE)) AS y,
+       count(*) AS n FROM scored GROUP BY 1"""))
+def isotonic_tie_pool_q(spark, sf):
+    return CB.tie_pool(_scored(spark, sf), "score", "target", 7)
+
+
+def _iso(spark, sf):
+    s = MD.time_split(_scored(spark, sf), 1500, 300)
+    train = s.filter(F.col("split") == "train")
+    return s, CB.Isotonic(0.0, 1.0, True, approximation=7).fit(train, "score", "target")
+
+
+@register("isotonic_fit", None)
+def isotonic_fit_q(spark, sf):
+    """Fitted knots (boundary, prediction) of the calibration on train scores."""
+    return _iso(spark, sf)[1].knots()
+
+
+@register("isotonic_apply", None)
+def isotonic_apply_q(spark, sf):
+    s, iso = _iso(spark, sf)
+    test = s.filter(F.col("split") == "test")
+    return iso.transform(test, "score", "calibrated").select("sessionuuid", "score", "calibrated")
+
+
+@register("linear_moments", oracle(_SC, """
+SELECT count(*) AS n, sum(score) AS s_score, sum(is_evening) AS s_evening, sum(target) AS s_y,
+       sum(score * score) AS s_score2, sum(score * is_evening) AS s_score_evening,
+       sum(is_evening * is_evening) AS s_evening2, sum(score * target) AS s_score_y,
+       sum(is_evening * target) AS s_evening_y
+FROM (SELECT score, CAST(CAST(hour(ts) > 16 AS INTEGER) AS DOUBLE) AS is_evening,
+             CAST(target AS DOUBLE) AS target FROM scored WHERE is_work = 1) x"""))
+def linear_moments_q(spark, sf):
+    w = _scored(spark, sf).filter(F.col("is_work") == 1).select(
+        "score", (F.hour("ts") > 16).cast("int").cast("double").alias("is_evening"),
+        F.col("target").cast("double").alias("target"))
+    return w.agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("s_score"),
+                 F.sum("is_evening").alias("s_evening"), F.sum("target").alias("s_y"),
+                 F.sum(F.col("score") * F.col("score")).alias("s_score2"),
+                 F.sum(F.col("score") * F.col("is_evening")).alias("s_score_evening"),
+                 F.sum(F.col("is_evening") * F.col("is_evening")).alias("s_evening2"),
+                 F.sum(F.col("score") * F.col("target")).alias("s_score_y"),
+                 F.sum(F.col("is_evening") * F.col("target")).alias("s_evening_y"))
+
+
+@register("nonneg_linear_adjust", None)
+def nonneg_linear_adjust_q(spark, sf):
+    """Non-negative linear adjustment on (score, is_evening) of work-place
+    sessions, then isotonic calibration of the adjusted score."""
+    s, iso = _iso(spark, sf)
+    w = s.filter(F.col("is_work") == 1).withColumn("is_evening", (F.hour("ts") > 16).cast("int"))
+    b0, b = CB.nonneg_least_squares(w.filter(F.col("split") == "train"),
+                                    ["score", "is_evening"], "target")
+    adj = CB.linear_adjust(w.filter(F.col("split") == "test"), b0, b, ["score", "is_evening"])
+    return iso.transform(adj, "adjusted", "calibrated").select("sessionuuid", "adjusted", "calibrated")
+
+
+# --- targets, weights, splits, samples -----------------------------------------
+
+@register("targets", oracle(_SC, """
+SELECT sessionuuid, CAST(coalesce(is_freq, 0) + rh AS INTEGER) AS multiclass,
+       CAST(rh AS INTEGER) AS rh_vs_rest, CAST(is_freq AS INTEGER) AS pattern_vs_rest
+FROM scored"""))
+def targets_q(spark, sf):
+    s = _scored(spark, sf).drop("target")
+    return (MD.add_target(s, "multiclass").withColumnRenamed("target", "multiclass")
+            .transform(lambda d: MD.add_target(d, "rh_vs_rest").withColumnRenamed("target", "rh_vs_rest"))
+            .transform(lambda d: MD.add_target(d, "pattern_vs_rest")
+                       .withColumnRenamed("target", "pattern_vs_rest"))
+            .select("sessionuuid", "multiclass", "rh_vs_rest", "pattern_vs_rest"))
+
+
+@register("sample_weights", oracle(_SC, """
+SELECT sessionuuid, CASE WHEN rh = 1 AND is_trip_ended = 0 THEN 0.5
+                         WHEN rh = 1 AND is_freq = 0 THEN 0.75 ELSE 1.0 END AS sample_weight
+FROM scored"""))
+def sample_weights_q(spark, sf):
+    return MD.add_sample_weight(_scored(spark, sf)).select("sessionuuid", "sample_weight")
+
+
+@register("time_split", oracle(_SC, """
+d AS (SELECT valid_date, row_number() OVER (ORDER BY valid_date) AS i
+      FROM (SELECT DISTINCT valid_date FROM scored) x)
+SELECT s.sessionuuid, CASE WHEN d.i <= 60 THEN 'train' WHEN d.i <= 75 THEN 'val' ELSE 'test' END AS split
+FROM scored s JOIN d ON s.valid_date = d.valid_date"""))
+def time_split_q(spark, sf):
+    return MD.time_split(_scored(spark, sf), 60, 15).select("sessionuuid", "split")
+
+
+@register("target_counts", oracle(_SC, """
+SELECT target, count(*) AS n FROM scored GROUP BY target"""))
+def target_counts_q(spark, sf):
+    return _scored(spark, sf).groupBy("target").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("decisions", oracle(_SC, """
+SELECT sessionuuid, score, CAST(score > 0.5 AS INTEGER) AS decision_base,
+       CAST(score > 0.7 AS INTEGER) AS decision_strict FROM scored"""))
+def decisions_q(spark, sf):
+    d = MD.decisions(_scored(spark, sf), {"decision_base": 0.5, "decision_strict": 0.7})
+    return d.select("sessionuuid", "score", "decision_base", "decision_strict")
+
+
+@register("hard_negatives", oracle(_SC, """
+SELECT sessionuuid, customer_id, score FROM scored WHERE score > 0.98 AND target = 0"""))
+def hard_negatives_q(spark, sf):
+    s = _scored(spark, sf)
+    return (s.filter((F.col("score") > 0.98) & (F.col("target") == 0))
+             .orderBy("customer_id").select("sessionuuid", "customer_id", "score"))
+
+
+@register("evening_subset", oracle(_SC, """
+SELECT sessionuuid, CAST(hour(ts) > 16 AS INTEGER) AS is_evening FROM scored WHERE is_work = 1"""))
+def evening_subset_q(spark, sf):
+    s = _scored(spark, sf).filter(F.col("is_work") == 1)
+    return s.select("sessionuuid", (F.hour("ts") > 16).cast("int").alias("is_evening"))
+
+
+@register("exact_sample", None)
+def exact_sample_q(spark, sf):
+    return MD.exact_sample(_scored(spark, sf), 2000, "sessionuuid").select("sessionuuid", "score")
+
+
+@register("stratified_sample", None)
+def stratified_sample_q(spark, sf):
+    return MD.stratified_sample(_scored(spark, sf), 0.1, "target", "sessionuuid").select(
+        "sessionuuid", "target")
+
+
+# --- boosted trees -----------------------------------------------------------------
+
+def _gbt_data(spark, sf):
+    """Order-level rows: price, priority and calendar inputs; label = whether
+    the pseudo-random score exceeds the label draw (the scored view's target)."""
+    T = Tables(spark, sf)
+    o = T["orders"].select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderdate")
+    s = T["scored"].select(F.substring("sessionuuid", 2, 19).cast("long").alias("o_orderkey"),
+                           "score", "target", "rh", "is_freq", "is_trip_ended", "valid_date")
+    d = o.join(s, "o_orderkey")
+    d = d.select("o_orderkey", "valid_date", "target", "rh", "is_freq", "is_trip_ended",
+                 (F.col("o_totalprice") / 1e5).alias("price"),
+                 F.substring("o_orderpriority", 1, 1).cast("int").alias("priority"),
+                 F.dayofweek("o_orderdate").alias("dow"), "score")
+    d = MD.add_sample_weight(d)
+    d = MD.time_split(d, 1500, 300)
+    return d, ["price", "priority", "dow", "score"]
+
+
+@register("gbt_train_score", None)
+def gbt_train_score_q(spark, sf):
+    d, feats = _gbt_data(spark, sf)
+    d = d.withColumn("is_val", F.col("split") == "val")
+    model = MD.gbt_pipeline(feats, max_iter=20, max_depth=5, validation_col="is_val").fit(
+        d.filter(F.col("split") != "test"))
+    return MD.score(model, d.filter(F.col("split") == "test")).select("o_orderkey", "target", "score")
+
+
+@register("feature_importance", None)
+def feature_importance_q(spark, sf):
+    d, feats = _gbt_data(spark, sf)
+    model = MD.gbt_pipeline(feats, max_iter=20, max_depth=5).fit(d.filter(F.col("split") == "train"))
+    return MD.feature_importance(model, feats)
