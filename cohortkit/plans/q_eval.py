@@ -320,3 +320,25 @@ def feature_importance_q(spark, sf):
     d, feats = _gbt_data(spark, sf)
     model = MD.gbt_pipeline(feats, max_iter=20, max_depth=5).fit(d.filter(F.col("split") == "train"))
     return MD.feature_importance(model, feats)
+
+
+@register("model_roundtrip", None)
+def model_roundtrip_q(spark, sf):
+    """Boosted-tree pipeline and isotonic calibration saved to the shared
+    checkpoint folder, loaded back and applied to the test split."""
+    import uuid
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.regression import IsotonicRegressionModel
+    from ..session import checkpoint_dir
+    d, feats = _gbt_data(spark, sf)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
+    model = MD.gbt_pipeline(feats, max_iter=10, max_depth=4).fit(d.filter(F.col("split") == "train"))
+    model.write().overwrite().save(f"{base}/gbt")
+    iso = CB.Isotonic(0.0, 1.0, True, approximation=7).fit(d.filter(F.col("split") == "train"))
+    iso.model.write().overwrite().save(f"{base}/isotonic")
+    loaded = PipelineModel.load(f"{base}/gbt")
+    iso2 = CB.Isotonic(0.0, 1.0, True, approximation=7)
+    iso2.model = IsotonicRegressionModel.load(f"{base}/isotonic")
+    scored = MD.score(loaded, d.filter(F.col("split") == "test"), "model_score")
+    return iso2.transform(scored, "model_score", "calibrated").select("o_orderkey", "model_score",
+                                                                     "calibrated")
