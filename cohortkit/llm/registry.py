@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,8 @@ def vocabulary() -> str:
 @query
 def op1_bpe_tree_concatenation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op1(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op2(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
