@@ -88,3 +88,12 @@ def hash_words(ws: list[bytes]) -> np.ndarray:
     a = np.empty(len(ws), dtype=object)
     a[:] = ws
     return hash_array(a, categorize=False)
+
+
+def join_on(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which nulls are equal; ``b``'s keys are dropped."""
+    b = b.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__right_{k}"))
+    return a.join(b, on, how).drop(*[f"__right_{k}" for k in keys])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, toxicity
+from . import bpe, mixing, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +33,8 @@ def op1_bpe_tree_concatenation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.op2(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op7(table(spark, sf_dir, "documents"))

@@ -41,7 +41,8 @@ def test_held_out_accuracy_and_unseen_misspelling(spark, rows):
     assert sum(p == b for p, b in held) >= 0.97 * len(held)
     f = toxicity.scorer(model)
     clean = " ".join(rows[1][1].split()[:40])
-    assert f(clean + " zwibbolo") > 0.5 > f(clean)
+    assert f(clean + " zwibbolo kvaddim zwibbut") > 0.5 > f(clean)
+    assert f(clean + " zwibbolo") > f(clean) + 0.02
     assert f(clean) == f(clean.upper())
 
 
