@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, toxicity
+from . import bpe, mixing, toxicity, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op7(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op4(table(spark, sf_dir, "pages"))
+
+
+ORACLE_SQL["op4_warc_transactions"] = warc.ORACLE
+
+
+@query
+def op10_url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.op10(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
