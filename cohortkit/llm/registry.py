@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, toxicity, urlrules, warc
+from . import bpe, fingerprint, mixing, toxicity, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ ORACLE_SQL["op4_warc_transactions"] = warc.ORACLE
 @query
 def op10_url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.op10(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op5_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.op5(table(spark, sf_dir, "documents"))
