@@ -97,3 +97,8 @@ def join_on(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") ->
     for k in keys:
         on = on & F.col(k).eqNullSafe(F.col(f"__right_{k}"))
     return a.join(b, on, how).drop(*[f"__right_{k}" for k in keys])
+
+
+def let(x: Column, f) -> Column:
+    """f(x) with x evaluated once, also where f uses it inside a lambda."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
