@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, mixing, secrets, toxicity, urlrules, warc
+from . import bpe, fingerprint, jaccard, mixing, secrets, toxicity, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op5_scaled_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op6(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.op8(table(spark, sf_dir, "documents"))
