@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, jaccard, mixing, secrets, toxicity, urlrules, warc
+from . import bpe, fingerprint, jaccard, mixing, neighbours, pitmanyor, secrets, toxicity, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,13 @@ def op6_randomness_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.op8(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitmanyor.op9(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.op3(table(spark, sf_dir, "embeddings"))
