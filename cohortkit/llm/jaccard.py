@@ -159,18 +159,20 @@ def _texts(b: pa.RecordBatch, step: int = 512) -> Iterator[tuple[list, list]]:
 
 
 def members(docs: DataFrame) -> DataFrame:
-    """doc_id, n (size of the set), node (null for an empty set), weak (a band or null)."""
+    """doc_id, digest of the text, n (size of the set), node (null for an empty set), weak (a band or null)."""
     def run(batches):
         for b in batches:
-            for ids, texts in _texts(b):
-                ss = sets_of(texts)
+            for at in range(0, b.num_rows, 512):
+                part = b.slice(at, 512)
+                ss = sets_of(part.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(ids, b.schema.field(0).type), pa.array([len(s) for s in ss], pa.int64()),
+                    part.column(0), part.column(2), pa.array([len(s) for s in ss], pa.int64()),
                     pa.array([node_of(s) if len(s) else None for s in ss], pa.int64()),
-                    pa.array([band_of(len(s)) if weak(s) else None for s in ss], pa.int32())], names=["doc_id", "n", "node", "weak"])
+                    pa.array([band_of(len(s)) if weak(s) else None for s in ss], pa.int32())], names=["doc_id", "digest", "n", "node", "weak"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, node long, weak int")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
+    return rows.mapInArrow(run, f"doc_id {kind}, digest long, n long, node long, weak int")
 
 
 def buckets(docs: DataFrame, by_prefix: frozenset[int]) -> DataFrame:
@@ -394,25 +396,36 @@ def link(docs: DataFrame, rows: DataFrame, few: int = FEW) -> DataFrame:
 
 
 def joined(docs: DataFrame, few: int = FEW) -> DataFrame:
-    """doc_id, n_shingles, component_id and ``node`` (its class) of every row."""
+    """doc_id, digest, n_shingles, component_id, ``node`` (its class) and ``label``
+    (a node that names the component) of every row; the last two are null for an empty set."""
     rows = written(members(docs), "jaccard-members")
     labels = written(components(link(docs, rows, few)), "jaccard-labels")
     classes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
     classes = classes.join(labels, "node", "left").where("copies > 1 or label is not null").withColumn("label", F.coalesce("label", "node"))
     classes = written(classes, "jaccard-classes")
     least = classes.groupBy("label").agg(F.min("least").alias("component_id"))
-    classes = written(classes.select("node", "label").join(least, "label").select("node", "component_id"), "jaccard-ids")
+    classes = written(classes.select("node", "label").join(least, "label"), "jaccard-ids")
     return join_on(rows, classes, ["node"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "node")
+        "doc_id", "digest", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+        "node", F.coalesce("label", "node").alias("label"))
 
 
 def op8(docs: DataFrame, few: int = FEW) -> DataFrame:
-    return joined(docs, few).drop("node")
+    return joined(docs, few).select("doc_id", "n_shingles", "component_id")
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """One row of each component, that of its smallest id (of rows alike in id
-    the one with the smallest text); columns as they are."""
-    ids = joined(docs.select("doc_id", "text")).where("doc_id <=> component_id").select("doc_id").distinct()
-    least = docs.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64(*docs.columns), *[F.col(c) for c in docs.columns])).alias("__r"))
-    return join_on(least, written(ids, "jaccard-kept"), ["doc_id"], "left_semi").select(*[F.col(f"__r.{c}") for c in docs.columns])
+    """One row of each component, that of the smallest doc_id (null is largest),
+    ties by the text's digest; texts without words all stay. Columns as they are."""
+    rows = written(joined(docs.select("doc_id", "text")).where("label is not null").select("doc_id", "digest", "label"), "jaccard-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("w")
+    stay = written(rows.groupBy("label").agg(first, F.count("*").alias("n")).select("w.doc_id", F.col("w.digest").alias("__digest"), "n"), "jaccard-kept")
+    again = rows.withColumnRenamed("digest", "__digest").groupBy("doc_id", "__digest").agg(F.count("*").alias("rows")).where("rows > 1")
+    again = written(join_on(again, stay, ["doc_id", "__digest"], "left_semi").select("doc_id", "__digest"), "jaccard-again")
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.where(~wordless).withColumn("__digest", F.xxhash64("text"))
+    out = join_on(keyed, stay.select("doc_id", "__digest"), ["doc_id", "__digest"], "left_semi")
+    if again.take(1):  # rows alike in id and text: one of them
+        twice = join_on(out, again, ["doc_id", "__digest"], "left_semi").dropDuplicates(["doc_id", "__digest"])
+        out = join_on(out, again, ["doc_id", "__digest"], "left_anti").unionByName(twice)
+    return out.drop("__digest").unionByName(docs.where(wordless))

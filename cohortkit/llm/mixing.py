@@ -166,16 +166,18 @@ def pieces(rows: DataFrame) -> DataFrame:
 
 
 def mix_counts(docs: DataFrame, seed: int = 11) -> DataFrame:
-    """doc_id, source, digest, size, source_size, target and ``taken`` of every row."""
+    """doc_id, source, digest, size, source_size, target and ``taken`` of every
+    row. Both joins of blocks sort and merge: their sides grow with the words,
+    and shrink so well in a shuffle that Spark would take them for small."""
     rows = sized(docs)
     src = written(targets(rows), "mix-targets")
     at = placed(rows, src)
     times = draws(src, seed).groupBy("source", "block").agg(F.count("*").alias("times"))
     p = pieces(at)
-    took = (join_on(p, times, ["source", "block"]).groupBy("source", "start")
+    took = (join_on(p, times.hint("merge"), ["source", "block"]).groupBy("source", "start")
             .agg(F.sum((F.col("to") - F.col("from")) * F.col("times")).alias("taken")))
     taken = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long")
-    return join_on(at, took, ["source", "start"], "left").select(
+    return join_on(at, took.hint("merge"), ["source", "start"], "left").select(
         "doc_id", "source", "digest", "size", F.col("words").alias("source_size"), "target", taken.alias("taken"))
 
 

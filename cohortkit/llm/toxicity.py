@@ -230,6 +230,19 @@ def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, `{out}` double")
 
 
+def filtered(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``limit``."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = scorer(sent.value)
+        for b in batches:
+            yield b.filter(pa.array([f(t) < limit for t in b.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op2(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, fit(docs, labels)).select(
         "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
