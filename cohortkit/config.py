@@ -66,6 +66,13 @@ BOUNDS_BY_COUNTRY = {
     "Jordan": ((30.0, 33.0), (34.0, 37.0)),
 }
 
+# Service types of home-services appointments that count as wellness (LIKE).
+WELLNESS_PATTERNS = ("%premium men%salon%", "%women%spa%", "%women%salon%", "%men%spa%")
+
+# Car-rental statuses that are no transaction.
+MONTHLY_RENTAL_OFF = ("failed", "cancelled")
+DAILY_RENTAL_OFF = ("pending_payment", "cancelled", "pending_approval")
+
 VALID_SERVICE_AREA_IDS = (1, 21, 64, 68, 111, 87, 49, 47)
 
 D_THRESHOLD_KM = 0.2          # "same place" radius for all distance features

@@ -83,16 +83,13 @@ def saved_places(T, dates, cfg: EngineConfig, customers: DataFrame,
                  min_year: int = 2019) -> DataFrame:
     """(valid_date, customer_id, home_work_coords map<string, struct<lat,long>>):
     latest saved home / work place per customer strictly before each valid
-    date. Bookmarks fan out to the requested dates after them (bounded by the
-    number of dates)."""
+    date. Bookmarks meet the dates of their own customer only."""
     ds = _dates(dates)
-    horizon = (ds[-1] - ds[0]).days + 36500          # "any time before D"
-    usl = T["bookmarks"].filter(F.col("country_id").isin(1, 19))
-    usl = fan_out(usl, F.to_date("last_updated"), ds, horizon)
-    usl = usl.filter(F.col("last_updated") < F.col("valid_date"))
-    usl = (usl.join(customers.withColumnRenamed("customer_id", "user_id"),
-                    ["valid_date", "user_id"], "left_semi")
-              .select("valid_date", F.col("user_id").alias("customer_id"), "provider_id"))
+    # customers first, then any bookmark before the date: no lower bound
+    usl = (T["bookmarks"].filter(F.col("country_id").isin(1, 19))
+           .join(customers.withColumnRenamed("customer_id", "user_id"), "user_id")
+           .filter(F.col("last_updated") < F.col("valid_date"))
+           .select("valid_date", F.col("user_id").alias("customer_id"), "provider_id"))
     name = F.lower("search_display_name")
     sli = (T["location_master"]
            .filter((F.col("year") > min_year) & F.col("date").isNotNull()
@@ -174,7 +171,8 @@ def food_features(T, date, cfg: EngineConfig) -> DataFrame:
     hist = bookings.join(locmap.select(*k), k, "left_semi")
     week = week_profile(hist, "week_stats")
     hour = hour_profile(hist, "hour_stats")
-    trx = txn_features(T, date, cfg, FOOD_BRANCHES, {"customers": locmap.select(*k)})
+    trx = txn_features(T, date, cfg, FOOD_BRANCHES,
+                       {"customers": locmap.select(*k), "food_base": base})
     out = (locmap.join(week, k, "left")
                  .join(hour, k, "left")
                  .join(trx, k, "left")

@@ -12,8 +12,8 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import EngineConfig
-from ..functions.predicates import like_any, null_or_less, nonzero_coords
+from ..config import DAILY_RENTAL_OFF, MONTHLY_RENTAL_OFF, WELLNESS_PATTERNS, EngineConfig
+from ..functions.predicates import null_or_less
 from .bookings import fan_out, ride_base_bookings, ride_filters
 
 TXN_COLS = ("userid", "transaction_id", "service")
@@ -55,13 +55,36 @@ def _rides_food(T, date, cfg, ctx):
     return _out(t, F.col("customer_id"), F.col("booking_id"), F.lit("ride_hailing")).distinct()
 
 
-def _orders(T, date, cfg, ctx, exclude_food=False):
+def appointment_service(attributes="appointment_attributes", kind="service_type",
+                        professional="assigned_professional"):
+    """CASE home-services appointment -> service, first rule that holds."""
+    has = lambda c, *ps: reduce(lambda x, y: x | y, [F.lower(F.col(c)).like(p) for p in ps])
+    return (F.when(has(attributes, "%duration%") | has(kind, "%home cleaning%"), F.lit("justmop"))
+             .when(has(attributes, "%pcr%") | has(kind, "%pcr%") | has(professional, "%nurse%"), F.lit("pcr"))
+             .when(has(kind, *WELLNESS_PATTERNS), F.lit("wellness"))
+             .otherwise(F.lit("na")))
+
+
+def _food(T, date, cfg, ctx):
+    """Food program only: its own base orders."""
+    return _out(ctx["food_base"], F.col("customer_id"), F.col("booking_id"), F.lit("food"))
+
+
+def _orders(T, date, cfg, ctx):
+    """Delivered marketplace orders, by their booking id."""
     o = T["mkt_orders"].filter(F.col("country").isin(*cfg.event_countries)
                                & (F.lower("order_status") == "delivered"))
     o = fan_out(o, "day", date, cfg.history_horizon)
-    if exclude_food:
-        o = o.filter(F.col("order_type") != "food")
-    return _out(o, F.col("customer_id"), F.col("order_id"), order_service())
+    return _out(o, F.col("customer_id"), F.col("booking_id"), order_service())
+
+
+def _orders_but_food(T, date, cfg, ctx):
+    """Food program: orders of its customers, food left to the food branch."""
+    o = T["mkt_orders"].filter(F.col("country").isin(*cfg.event_countries)
+                               & (F.lower("order_status") == "delivered") & (F.col("order_type") != "food"))
+    o = fan_out(o, "day", date, cfg.history_horizon)
+    o = o.join(ctx["customers"], ["valid_date", "customer_id"], "left_semi")
+    return _out(o, F.col("customer_id"), F.col("booking_id"), order_service())
 
 
 def _p2p(T, date, cfg, ctx):
@@ -80,12 +103,29 @@ def _bills(T, date, cfg, ctx):
     return _out(b, F.col("customer_id"), F.col("transaction_id"), F.lit("pay_bills"))
 
 
-def _partner(T, date, cfg, ctx):
-    a = T["partner_txn"].filter(F.lower("order_status") == "order completed")
-    a = fan_out(a, F.to_date("booking_creation_date"), date, cfg.history_horizon)
-    pm = T["partner_map"]
-    j = a.join(pm, a.partner_customer_id == pm.identifier, "inner")
-    return _out(j, F.col("sub").cast("long"), F.col("appointment_ref_code"), F.lit("laundryshoes"))
+def _tenant(view, day, keep, txn, service):
+    """A partner tenant's branch: its customers get their ids from the map."""
+    def build(T, date, cfg, ctx):
+        a = fan_out(T[view].filter(keep()), F.to_date(day), date, cfg.history_horizon)
+        pm = T["partner_map"]
+        j = a.join(pm, a.partner_customer_id == pm.identifier, "inner")
+        return _out(j, F.col("sub").cast("long"), F.col(txn), service())
+    return build
+
+
+_home_services = _tenant("home_services", "appointment_create_date", lambda: F.lower("cancellation") == "no",
+                         "appointment_ref_code", appointment_service)
+_car_monthly = _tenant("car_rental_monthly", "booked_date", lambda: ~F.lower("status").isin(*MONTHLY_RENTAL_OFF),
+                       "booking_id", lambda: F.lit("swapp_monthlydaily|monthly"))
+_car_daily = _tenant("car_rental_daily", "booked_date", lambda: ~F.lower("status").isin(*DAILY_RENTAL_OFF),
+                     "booking_id", lambda: F.lit("swapp_monthlydaily|daily"))
+_laundry = _tenant("partner_txn", "booking_creation_date", lambda: F.lower("order_status") == "order completed",
+                   "appointment_ref_code", lambda: F.lit("laundryshoes"))
+
+
+def _tickets(T, date, cfg, ctx):
+    t = fan_out(T["tickets"].filter(F.lower("order_status") == "success"), "txn_date", date, cfg.history_horizon)
+    return _out(t, F.col("user_id").cast("long"), F.col("order_ref"), F.lit("tickets_and_passes"))
 
 
 def _remittance(T, date, cfg, ctx):
@@ -97,23 +137,21 @@ def _remittance(T, date, cfg, ctx):
                 F.lit("send_abroad_remittance"))
 
 
-RIDE_BRANCHES = (
-    Branch("rides", _rides),
-    Branch("orders", _orders),
+_SHARED = (
     Branch("p2p", _p2p),
     Branch("bills", _bills),
-    Branch("partner", _partner),
+    Branch("home_services", _home_services),
+    Branch("car_rental_monthly", _car_monthly),
+    Branch("car_rental_daily", _car_daily),
+    Branch("laundry", _laundry),
+    Branch("tickets", _tickets),
     Branch("remittance", _remittance),
 )
 
-FOOD_BRANCHES = (
-    Branch("rides", _rides_food),
-    Branch("orders", lambda T, d, c, x: _orders(T, d, c, x, exclude_food=True)),
-    Branch("p2p", _p2p),
-    Branch("bills", _bills),
-    Branch("partner", _partner),
-    Branch("remittance", _remittance),
-)
+RIDE_BRANCHES = (Branch("rides", _rides), Branch("orders", _orders)) + _SHARED
+
+FOOD_BRANCHES = (Branch("rides", _rides_food), Branch("food", _food),
+                 Branch("orders", _orders_but_food)) + _SHARED
 
 
 def transactions(T, date, cfg: EngineConfig, branches=RIDE_BRANCHES, ctx=None) -> DataFrame:
@@ -143,7 +181,3 @@ def txn_features(T, date, cfg: EngineConfig, branches=RIDE_BRANCHES, ctx=None) -
     both = per_service.unionByName(bike_branch(T, date, cfg))
     return (both.groupBy("valid_date", F.col("userid").alias("customer_id"))
                 .agg(F.sum("trx_amt").cast("long").alias("trx_amt")))
-
-
-__all__ = ["Branch", "RIDE_BRANCHES", "FOOD_BRANCHES", "transactions", "txn_by_service",
-           "txn_features", "bike_branch", "order_service", "like_any", "nonzero_coords"]

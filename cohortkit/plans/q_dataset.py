@@ -205,9 +205,7 @@ def service_area_filter_q(spark, sf):
              .withColumn("valid", valid_service_area("service_area_id", C.valid_service_area_ids)))
 
 
-@register("rh_frac", oracle(_RIDE_TXN_VIEWS := ("trips", "mkt_orders", "p2p", "pilot_users", "bills",
-                                                "partner_txn", "partner_map", "remittance",
-                                                "bike_daily"),
+@register("rh_frac", oracle(("trips",) + S.TXN_VIEWS,
                             S.ride_base_ctes(C, D) + "," + S.txn_cte(
                                 C, D, "SELECT customer_id AS userid, CAST(booking_id AS VARCHAR) AS "
                                       "transaction_id, 'ride_hailing' AS service FROM base") + """

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.geo import location_key
 from ..functions.predicates import like_any
 from ..functions.profiles import canon_map
-from ..functions.timefeat import iso_weekday
 from ..operators import bookings as B
 from ..operators import features as FT
 from ..operators import transactions as TX
@@ -310,7 +309,7 @@ _FOOD_RIDES_TXN = f"""SELECT DISTINCT customer_id AS userid, CAST(booking_id AS
     _TXN_VIEWS, _FOOD_BASE + ","
     + S.profile_cte("fweek", "fhist", "isodow(ts)", "week_stats") + ","
     + S.profile_cte("fhour", "fhist", "hour(ts)", "hour_stats") + ","
-    + S.txn_cte(C, D, _FOOD_RIDES_TXN, exclude_food=True) + f"""
+    + S.txn_cte(C, D, _FOOD_RIDES_TXN, food=True) + f"""
 SELECT '{D}' AS valid_date, l.customer_id, q.num_orders, q.quantile, t.trx_amt,
        w.week_stats, h.hour_stats, l.locations
 FROM flocs l
@@ -326,4 +325,17 @@ def features_food_q(spark, sf):
                     canon_map("locations").alias("locations"))
 
 
-__all__ = ["iso_weekday"]
+@register("txn_union_food", oracle(_TXN_VIEWS, _FOOD_BASE + "," + S.txn_cte(C, D, _FOOD_RIDES_TXN, food=True) + """
+SELECT service, count(*) AS n_rows, count(DISTINCT userid) AS n_users,
+       count(DISTINCT transaction_id) AS n_txn FROM txn GROUP BY service"""))
+def txn_union_food_q(spark, sf):
+    T = Tables(spark, sf)
+    base = FT.food_base_orders(T, D, C)
+    quant = B.customer_quantiles(base, distinct=False, out_col="num_orders")
+    bookings = FT.keyed_bookings(base, quant, C.percentile, with_pickup=False)
+    freq = FT.frequent_locations(bookings, C.min_bookings_per_location, with_pickup=False)
+    customers = FT.location_map(freq, C.min_locations_food).select("valid_date", "customer_id")
+    t = TX.transactions(T, D, C, TX.FOOD_BRANCHES, {"customers": customers, "food_base": base})
+    return t.groupBy("service").agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.countDistinct("userid").alias("n_users"),
+                                    F.countDistinct("transaction_id").alias("n_txn"))

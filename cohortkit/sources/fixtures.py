@@ -200,6 +200,38 @@ SELECT 'P' || CAST(o.o_custkey AS STRING) AS partner_customer_id,
 FROM {orders} o WHERE o.o_orderpriority = '3-MEDIUM'
 """)
 
+# home-services appointments, keyed by the partner's customer identifier
+VIEWS["home_services"] = (("orders",), """
+SELECT 'P' || CAST(o.o_custkey AS STRING) AS partner_customer_id,
+       'H' || CAST(o.o_orderkey AS STRING) AS appointment_ref_code,
+       o.o_orderdate AS appointment_create_date,
+       CASE o.o_orderkey % 4 WHEN 0 THEN 'Duration: 2h' WHEN 1 THEN 'PCR at home' ELSE 'none' END
+           AS appointment_attributes,
+       CASE o.o_orderkey % 6 WHEN 0 THEN 'Home Cleaning' WHEN 2 THEN 'Premium Men Salon'
+            WHEN 3 THEN 'Women Spa' WHEN 5 THEN 'PCR Test' ELSE 'Gardening' END AS service_type,
+       CASE WHEN o.o_orderkey % 10 = 0 THEN 'Nurse Amal' ELSE 'Omar' END AS assigned_professional,
+       CASE WHEN o.o_orderstatus = 'P' THEN 'Yes' ELSE 'No' END AS cancellation
+FROM {orders} o WHERE o.o_orderpriority = '1-URGENT'
+""")
+
+# car rentals by the month and by the day
+for _kind, _priority, _off in (("monthly", "2-HIGH", "Cancelled"), ("daily", "5-LOW", "Pending_Payment")):
+    VIEWS[f"car_rental_{_kind}"] = (("orders",), f"""
+SELECT 'P' || CAST(o.o_custkey AS STRING) AS partner_customer_id, o.o_orderkey AS booking_id,
+       CAST(o.o_orderdate AS DATE) AS booked_date,
+       CASE WHEN o.o_orderkey % 7 = 0 THEN '{_off}' WHEN o.o_orderkey % 7 = 1 THEN 'pending_approval'
+            WHEN o.o_orderkey % 7 = 2 THEN 'failed' ELSE 'Completed' END AS status
+FROM {{orders}} o WHERE o.o_orderpriority = '{_priority}'
+""")
+
+# tickets and passes
+VIEWS["tickets"] = (("orders",), """
+SELECT CAST(o.o_custkey AS STRING) AS user_id, 'K' || CAST(o.o_orderkey AS STRING) AS order_ref,
+       CAST(o.o_orderdate AS DATE) AS txn_date,
+       CASE o.o_orderstatus WHEN 'F' THEN 'Success' ELSE 'failed' END AS order_status
+FROM {orders} o WHERE o.o_orderpriority = '4-NOT SPECIFIED'
+""")
+
 # partner identifier -> customer id mapping
 VIEWS["partner_map"] = (("customer",), """
 SELECT 'P' || CAST(c.c_custkey AS STRING) AS identifier, CAST(c.c_custkey AS STRING) AS sub
