@@ -59,7 +59,7 @@ class Isotonic:
         """Fitted (boundary, prediction) pairs as a DataFrame."""
         m = self.model
         b, p = m.boundaries.toArray().tolist(), m.predictions.toArray().tolist()
-        spark = SparkSession.getActiveSession()
+        spark = SparkSession.builder.getOrCreate()
         return spark.createDataFrame(list(zip(b, p)), "boundary double, prediction double")
 
     def transform(self, df: DataFrame, x: str = "score", out: str = "calibrated") -> DataFrame:

@@ -69,13 +69,20 @@ def optimal_threshold(pr: DataFrame, target_precision: float = 0.9) -> DataFrame
     """(threshold, recall): the largest recall reached with precision >= target,
     reported at the LOWEST threshold having that recall (so the precision there
     may be below target). NULLs when no real threshold reaches the target."""
-    best = pr.filter(F.col("precision") >= target_precision).agg(F.max("recall")).first()[0]
-    if best is None:
-        return pr.sparkSession.createDataFrame([(None, None)], "threshold double, recall double")
-    # recall never increases with the threshold: the rows with this recall are
-    # one contiguous threshold range; report its lower end
-    return (pr.filter(F.col("recall") == F.lit(best))
-              .agg(F.min("threshold").alias("threshold"), F.max("recall").alias("recall")))
+    # one pass: by recall, its lowest threshold and whether it ever has the precision;
+    # recall is constant over a contiguous threshold range
+    by_recall = pr.groupBy("recall").agg(F.min("threshold").alias("threshold"), F.max("precision").alias("p"))
+    top = F.max(F.when(F.col("p") >= target_precision, F.struct("recall", "threshold")))
+    return by_recall.agg(top.alias("t")).select(
+        F.col("t.threshold").cast("double").alias("threshold"), F.col("t.recall").cast("double").alias("recall"))
+
+
+def roc_curve(scored: DataFrame, score="score", label="target", n_buckets: int = 64) -> DataFrame:
+    """ROC curve over all distinct scores (decision ``score >= threshold``): threshold, fpr, tpr."""
+    c = descending_cumsum(score_counts(scored, score, label), "score", ["pos", "neg"], n_buckets)
+    rate = lambda x, n: F.when(F.col(n) > 0, F.col(x) / F.col(n)).otherwise(F.lit(0.0))
+    return c.select(F.col("score").alias("threshold"), rate("cum_neg", "total_neg").alias("fpr"),
+                    rate("cum_pos", "total_pos").alias("tpr"))
 
 
 def roc_auc(scored: DataFrame, score="score", label="target", n_buckets: int = 64) -> DataFrame:

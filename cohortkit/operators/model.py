@@ -64,11 +64,14 @@ def exact_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, frac: float, stratum: str, key: str, seed: int = 42,
-                      n_buckets: int = 4096) -> DataFrame:
+                      n_buckets: int | None = None) -> DataFrame:
     """Exactly ceil(frac * n_s) rows of every stratum s, the ones with the
     smallest seeded hash. Two passes keep every task small even when one
     stratum holds most rows: a (stratum, hash bucket) histogram locates the
-    cut bucket per stratum, and only rows of that bucket are ranked."""
+    cut bucket per stratum, and only rows of that bucket are ranked. Without
+    ``n_buckets`` there is one for about 1,000 rows, 4,096 at least."""
+    if n_buckets is None:
+        n_buckets = max(4096, df.count() // 1000)
     h = F.xxhash64(F.col(key), F.lit(seed))
     span = 2.0 ** 64 / n_buckets
     b = F.floor((h.cast("double") + F.lit(2.0 ** 63)) / F.lit(span)).cast("int")
@@ -82,7 +85,7 @@ def stratified_sample(df: DataFrame, frac: float, stratum: str, key: str, seed:
     hist = hist.withColumn("_k", F.ceil(F.col("_n") * F.lit(frac)))
     cut = hist.filter((F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_c") >= F.col("_k")))
     cut = cut.select(stratum, F.col("_b").alias("_cb"), (F.col("_k") - F.col("_before")).alias("_r"))
-    j = x.join(F.broadcast(cut), stratum)      # one row per stratum
+    j = x.join(cut, stratum)      # one row per stratum; broadcast by Spark if small
     below = j.filter(F.col("_b") < F.col("_cb"))
     edge = j.filter(F.col("_b") == F.col("_cb"))
     edge = edge.withColumn("_rn", F.row_number().over(
@@ -119,5 +122,5 @@ def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
 
 def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:
     imp = model.stages[-1].featureImportances.toArray().tolist()
-    spark = SparkSession.getActiveSession()
+    spark = SparkSession.builder.getOrCreate()
     return spark.createDataFrame(list(zip(features, imp)), "feature string, importance double")

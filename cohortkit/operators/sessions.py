@@ -130,11 +130,11 @@ def clean_sessions(s: DataFrame) -> DataFrame:
            .join(pos_sessions, ["valid_date", "sessionuuid"], "left_anti"))
     booked = booked.filter(F.col("is_trip_ended") == 1).unionByName(neg)
     booked = keep_first(booked, ["valid_date", "booking_id"],
-                        [-F.col("is_trip_ended"), F.col("ts"), F.col("sessionuuid")])
+                        [-F.col("is_trip_ended"), F.col("ts"), F.col("sessionuuid")], nulls_first=True)
     unbooked = (s.filter(F.col("booking_id") == 0)
                 .join(booked.select("valid_date", "sessionuuid").distinct(),
                       ["valid_date", "sessionuuid"], "left_anti"))
-    unbooked = keep_first(unbooked, ["valid_date", "customer_id", "sessionuuid"], [F.col("ts")])
+    unbooked = keep_first(unbooked, ["valid_date", "customer_id", "sessionuuid"], [F.col("ts")], nulls_first=True)
     return booked.unionByName(unbooked).select(*SESSION_COLS)
 
 
@@ -157,6 +157,7 @@ def dedup_across_days(frame: DataFrame) -> DataFrame:
                 .join(booked.select("sessionuuid").distinct(), "sessionuuid", "left_anti"))
     order_cols = [c for c in frame.columns if c not in ("sessionuuid",)]
     b = keep_first(booked, ["sessionuuid"],
-                   [-F.col("is_trip_ended"), F.col("ts"), F.col("valid_date"), F.col("booking_id")])
-    u = keep_first(unbooked, ["sessionuuid"], [F.col("ts"), F.col("valid_date")])
+                   [-F.col("is_trip_ended"), F.col("ts"), F.col("valid_date"), F.col("booking_id")],
+                   nulls_first=True)
+    u = keep_first(unbooked, ["sessionuuid"], [F.col("ts"), F.col("valid_date")], nulls_first=True)
     return b.unionByName(u).select("sessionuuid", *order_cols)

@@ -1,8 +1,9 @@
 """Ranking helpers that avoid single-partition windows over input-sized data.
 
-* ``keep_first``: one row per key by a total order, as a hash aggregate of
+* ``keep_first``: one row per key by a total order, as an aggregate of
   ``min(struct(order..., payload))`` -> partial aggregation before the shuffle,
   so a hot key (a third of all rows) is collapsed map-side to one row per task.
+  Struct buffers make it a sort aggregate on both sides.
 * ``percent_rank_by_histogram``: global ``percent_rank`` over a count column via
   the histogram of distinct values (bounded by sqrt(2 * rows)).
 * ``descending_cumsum``: prefix sums in descending score order via quantile
@@ -19,12 +20,14 @@ from pyspark.sql import functions as F
 from ..functions.geo import half_up_round
 
 
-def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+def keep_first(df: DataFrame, keys: list[str], order: list[Column], nulls_first: bool = False) -> DataFrame:
     """Keep one row per ``keys``: the smallest by ``order`` (ascending; negate a
-    numeric column for descending). Remaining ties are broken by the other
-    columns in their column order, so the result is deterministic."""
+    numeric column for descending), NULL order keys last as in warehouse SQL or,
+    with ``nulls_first``, first as in data-frame sorts. Remaining ties are broken
+    by the other columns in their column order, so the result is deterministic."""
     others = [c for c in df.columns if c not in keys]
-    probe = F.struct(*[e.alias(f"_o{i}") for i, e in enumerate(order)],
+    placed = [x for e in order for x in (e.isNotNull() if nulls_first else e.isNull(), e)]
+    probe = F.struct(*[e.alias(f"_o{i}") for i, e in enumerate(placed)],
                      F.struct(*[F.col(c) for c in others]).alias("_p"))
     return (df.groupBy(*keys).agg(F.min(probe).alias("_m"))
               .select(*keys, *[F.col(f"_m._p.{c}").alias(c) for c in others]))

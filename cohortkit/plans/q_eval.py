@@ -72,6 +72,16 @@ def roc_auc_q(spark, sf):
     return EV.roc_auc(_scored(spark, sf))
 
 
+@register("roc_curve", oracle(_SC, """
+c AS (SELECT score, sum(target) AS pos, count(*) - sum(target) AS neg FROM scored GROUP BY score),
+n AS (SELECT CAST(sum(pos) AS DOUBLE) AS pos, CAST(sum(neg) AS DOUBLE) AS neg FROM c)
+SELECT c.score AS threshold, (SELECT sum(x.neg) FROM c x WHERE x.score >= c.score) / n.neg AS fpr,
+       (SELECT sum(x.pos) FROM c x WHERE x.score >= c.score) / n.pos AS tpr
+FROM c, n"""))
+def roc_curve_q(spark, sf):
+    return EV.roc_curve(_scored(spark, sf))
+
+
 @register("log_loss", oracle(_SC, f"""
 SELECT avg(-(target * ln(p) + (1 - target) * ln(1 - p))) AS log_loss
 FROM (SELECT CAST(target AS DOUBLE) AS target,

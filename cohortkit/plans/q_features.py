@@ -212,7 +212,7 @@ FROM partner_txn a JOIN partner_map pm ON pm.identifier = a.partner_customer_id
 WHERE {S.window('CAST(a.booking_creation_date AS DATE)', D, C.history_horizon)}
   AND lower(a.order_status) = 'order completed'"""))
 def partner_id_join_q(spark, sf):
-    return TX._partner(Tables(spark, sf), D, C, {}).select("userid", "transaction_id")
+    return TX._laundry(Tables(spark, sf), D, C, {}).select("userid", "transaction_id")
 
 
 @register("service_case_map", oracle(("mkt_orders",), """

@@ -12,7 +12,6 @@ the two engines produce bit-identical doubles.
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -332,42 +331,24 @@ def oracle_with(*names: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" if parts else ""
 
 
-# materialised fixture views, per (session, folder, view)
-_MATERIALISED: dict[tuple, DataFrame] = {}
-
-
 class Tables:
     """Loader for base tables and fixture views of one scale-factor folder.
 
-    Base tables are plain parquet scans. A fixture view stands for an input
-    table of the pipeline, so it is written once per session and folder with a
-    reliable checkpoint into the shared checkpoint folder
-    (``spark.checkpoint.dir``) and read back as a table; this keeps the
-    adapter SQL out of every query plan. ``materialise=False`` keeps views
-    lazy.
+    Base tables are plain parquet scans and fixture views lazy SQL over them, so
+    that filters and column pruning reach the scans of every query.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialise: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.materialise = materialise
         self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in VIEWS:
-                key = (id(self.spark._jsparkSession), self.sf_dir, name)
-                if self.materialise and key in _MATERIALISED:
-                    self._cache[name] = _MATERIALISED[key]
-                    return self._cache[name]
                 deps, _ = VIEWS[name]
                 text = _render(name, "spark")
-                df = self.spark.sql(text, **{d: self[d] for d in deps})
-                if self.materialise:
-                    from ..session import cut_lineage
-                    df = cut_lineage(df)
-                    _MATERIALISED[key] = df
-                self._cache[name] = df
+                self._cache[name] = self.spark.sql(text, **{d: self[d] for d in deps})
             else:
                 self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
@@ -376,8 +357,3 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         return self[name]
-
-
-@lru_cache(maxsize=None)
-def view_names() -> tuple[str, ...]:
-    return tuple(VIEWS)

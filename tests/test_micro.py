@@ -268,3 +268,31 @@ def test_plans_have_no_python_or_cartesian(spark):
         plan = REGISTRY[name].spark(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+# --- null order keys, transaction sources, scans --------------------------------
+
+def test_keep_first_places_null_order_keys(spark):
+    df = spark.createDataFrame([(1, None, "a"), (1, 5, "b"), (2, None, "c"), (3, 7, "d"), (3, 6, "e")], "k int, o int, p string")
+    got = lambda **kw: {r.k: r.p for r in keep_first(df, ["k"], [F.col("o")], **kw).collect()}
+    assert got() == {1: "b", 2: "c", 3: "e"}
+    assert got(nulls_first=True) == {1: "a", 2: "c", 3: "e"}
+    assert {r.k: r.p for r in keep_first(df, ["k"], [-F.col("o")]).collect()} == {1: "b", 2: "c", 3: "d"}
+
+
+def test_transaction_sources_are_whole():
+    from cohortkit.operators.transactions import FOOD_BRANCHES, RIDE_BRANCHES
+    from cohortkit.plans.sqlfrag import EXPECTED_SOURCES
+    assert len(RIDE_BRANCHES) == 10 == len(EXPECTED_SOURCES) + 1
+    assert len(FOOD_BRANCHES) == 11 and {b.name for b in FOOD_BRANCHES} - {b.name for b in RIDE_BRANCHES} == {"food"}
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    from cohortkit.plans.registry import REGISTRY
+    from .conftest import SF0001
+    df = REGISTRY["scan_trips_window"].spark(spark, SF0001)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan
+    scans = [x for x in plan.split("FileScan parquet")[1:]]
+    assert any("o_orderdate" in x and "o_totalprice" not in x.split("ReadSchema")[1].split("\n")[0] for x in scans)
+    assert any("PushedFilters: [" in x and "PushedFilters: []" not in x for x in scans)

@@ -28,5 +28,4 @@ def test_matches_oracle(spark, con, name):
 
 @pytest.mark.parametrize("name", ROWS_ONLY)
 def test_rows_only_runs(spark, name):
-    df = REGISTRY[name].spark(spark, SF001)
-    assert df.count() >= 0
+    assert REGISTRY[name].spark(spark, SF001).take(1)
