@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ascii_lower
+from .common import ascii_lower, let
 
 SHINGLE = 5
 #: One hash in so many is kept.
@@ -80,12 +80,15 @@ def reach(a: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Containment of the smaller sketch in the other below their common threshold."""
-    upto = F.least(reach(a), reach(b))
-    x, y = F.filter(a, lambda h: h <= upto), F.filter(b, lambda h: h <= upto)
-    least = F.least(F.size(x), F.size(y))
-    shared = F.size(F.array_intersect(x, y))
-    return (F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when(least == 0, 0.0)
-            .otherwise(shared / F.greatest(least, F.lit(1)))).cast("double")
+    def below(upto):
+        return F.struct(F.filter(a, lambda h: h <= upto).alias("x"), F.filter(b, lambda h: h <= upto).alias("y"))
+
+    def share(v):
+        least = F.least(F.size(v["x"]), F.size(v["y"]))
+        return F.when(least == 0, 0.0).otherwise(F.size(F.array_intersect(v["x"], v["y"])) / F.greatest(least, F.lit(1)))
+
+    both = (F.size(a) == 0) & (F.size(b) == 0)
+    return F.when(both, 1.0).otherwise(let(let(F.least(reach(a), reach(b)), below), share)).cast("double")
 
 
 def fingerprint(a: Column) -> Column:
