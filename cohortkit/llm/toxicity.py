@@ -184,10 +184,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def scorer(model: Model):
-    """Text -> probability of label 1; keeps the scores of recent words."""
+    """Text -> probability of label 1; the model keeps the scores of recent
+    words, also from one task of a worker to the next."""
     if model.weight is None:
         return lambda text: model.share
-    kept: dict[bytes, float] = {}
+    kept: dict[bytes, float] = model.__dict__.setdefault("kept", {})
     weight = model.weight
 
     def word(w: bytes) -> float:
