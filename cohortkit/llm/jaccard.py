@@ -9,16 +9,19 @@ most, so the Hamming distance of two sketches is a lower bound of the symmetric
 difference. A text with more non-zero blocks than floor(2m / 9) therefore
 agrees with each smaller or equal partner in one non-zero block exactly
 (pigeonhole); blocks meet in a shuffle by (band, block, word). Texts near a
-band's upper end are also sketched for the next band. Sets of fewer than
-``SMALL`` elements, and bands in which some text has too few non-zero blocks,
-meet instead by the smallest hashes of which linked sets share one.
+band's upper end are also sketched for the next band. Bands have more
+blocks than that needs, so linked texts agree in many, and each text may leave
+out some: the words with the fewest bits, which unrelated texts share most, and
+of the rest those of the largest buckets.
+Sets of fewer than ``SMALL`` elements, and bands in which some text has too few
+non-zero blocks, meet by the smallest hashes of which linked sets share one.
 
 Equal sets are one node. A bucket of up to ``FEW`` nodes gives all its pairs;
 in a larger one each node is paired with the bucket's first and its
 predecessor, and once these are verified and joined to components, only nodes
 of a bucket still in different components are compared, by the Hamming distance
-of 512-bit sketches, in blocks of ``BLOCK``. All pairs that remain are
-verified on the whole sets. So every link between different texts is either
+of sketches of the whole sets, in blocks of ``BLOCK``. All pairs that this
+distance leaves open are verified on the whole sets. So every link between different texts is either
 verified or lies inside a component already.
 
 Defined results: a null, empty or wordless text has an empty set and stands
@@ -35,14 +38,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import hash_words, join_on, mix64, words, written
 
 SHINGLE = 5
 SMALL = 48
 RATIO = 1.6
+SPARE = 0.1
 FEW = 8
 BLOCK = 2048
+#: Bucket sizes beyond this count as equal.
+MOST = 100_000
 #: Bits of the filter that keeps sets of nodes without a candidate from being shuffled.
 FILTER_BITS = 1 << 26
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -95,13 +102,15 @@ EDGES = _edges()
 
 
 def blocks_of(band: int) -> int:
-    """Blocks of a band: enough that a text has more non-zero blocks than its
-    greatest difference, five standard deviations of the empty ones aside."""
+    """Blocks of a band: enough that a text has SPARE times its size more
+    non-zero blocks than its greatest difference, five standard deviations of
+    the empty ones aside."""
     b = EDGES[band] // 4
     for n in (EDGES[band], EDGES[band + 1] - 1):
-        while True:
-            empty = b * np.exp(-n / b)
-            if b - empty - 2 * n / 9 >= 1 + 5 * np.sqrt(empty):
+        while b < 0.8 * EDGES[band]:
+            none = np.exp(-n / b)
+            sigma = np.sqrt(b * (none - (1 + n / b) * none * none))
+            if b * (1 - none) - 2 * n / 9 >= 1 + SPARE * n + 5 * sigma:
                 break
             b += max(1, b // 200)
     return int(b)
@@ -112,43 +121,65 @@ _BLOCKS: dict[int, int] = {}
 
 def sketch(s: np.ndarray, band: int) -> np.ndarray:
     b = _BLOCKS.setdefault(band, blocks_of(band))
-    g = mix64(s + _C[3] * np.uint64(band + 1))
+    g = mix64(s + mix64(np.array([band + 1], np.uint64)))
     out = np.zeros(b, np.uint64)
     np.bitwise_xor.at(out, ((g >> np.uint64(32)) * np.uint64(b)) >> np.uint64(32), np.uint64(1) << (g & np.uint64(63)))
     return out
 
 
 def fold(s: np.ndarray) -> np.ndarray:
-    """512-bit parity sketch."""
-    out = np.zeros(8, np.uint64)
+    """Parity sketch of the whole set in words of 64 bits: a power of two of
+    bits, twice the set's size at least. Halves XORed give the sketch of half
+    as many bits, so sets of different sizes compare."""
+    bits = max(512, 1 << (2 * len(s) - 1).bit_length())
+    out = np.zeros(bits // 64, np.uint64)
     g = mix64(s ^ _C[4])
-    np.bitwise_xor.at(out, (g >> np.uint64(61)).astype(np.int64), np.uint64(1) << (g & np.uint64(63)))
+    np.bitwise_xor.at(out, ((g >> np.uint64(6)) & np.uint64(len(out) - 1)).astype(np.int64), np.uint64(1) << (g & np.uint64(63)))
     return out
 
 
+def halved(f: np.ndarray, size: int) -> np.ndarray:
+    while len(f) > size:
+        f = f[:len(f) // 2] ^ f[len(f) // 2:]
+    return f
+
+
 def band_of(n: int) -> int:
     return int(np.searchsorted(EDGES, n, side="right")) - 1
 
 
-def weak(s: np.ndarray) -> bool:
-    """Whether the pigeonhole says nothing about this set in its own band."""
-    return len(s) >= SMALL and np.count_nonzero(sketch(s, band_of(len(s)))) <= 2 * len(s) // 9
+def spare(s: np.ndarray) -> int:
+    """Non-zero blocks in which this set, in its own band, agrees at least with
+    any linked set that is not larger."""
+    return int(np.count_nonzero(sketch(s, band_of(len(s))))) - 2 * len(s) // 9
+
 
+def left_out(least: int) -> tuple[int, int]:
+    """Of a band's least spare: keys a set leaves out by the bits of their words,
+    and then by the size of their buckets. One key remains that linked sets share."""
+    by_bits = (least - 1) // 2
+    return by_bits, least - 1 - by_bits
 
-def keys_of(s: np.ndarray, by_prefix: frozenset[int] = frozenset()) -> np.ndarray:
-    """Bucket keys of a set; ``by_prefix``: bands that meet by smallest hashes."""
+
+def keys_of(s: np.ndarray, spares: dict[int, int]) -> np.ndarray:
+    """Bucket keys of a set; the six low bits hold band + 1, or 0 for the smallest
+    hashes. ``spares``: the least spare() in each band that has sets of its own.
+    Linked sets share so many keys of the larger one's band, so each may leave out
+    some of them, in an order that all sets share: here by bits set, as words of
+    few bits come from few shingles and are the likeliest in unrelated texts."""
     n, out = len(s), []
     bands = []
     if n >= SMALL:
         k = band_of(n)
-        bands = [k] + ([k + 1] if n >= 0.8 * EDGES[k + 1] else [])
-    if (n and 4 * n < 5 * SMALL) or any(b in by_prefix for b in bands):
-        out.append(mix64(s[:n - -(-4 * n // 5) + 1] ^ _C[0]))
+        bands = [b for b in ([k] + ([k + 1] if n >= 0.8 * EDGES[k + 1] else [])) if b in spares]
+    if (n and 4 * n < 5 * SMALL) or any(spares[b] < 1 for b in bands):
+        out.append(mix64(s[:n - -(-4 * n // 5) + 1] ^ _C[0]) & ~np.uint64(63))
     for b in bands:
-        if b not in by_prefix:
+        if spares[b] >= 1:
             w = sketch(s, b)
             at = np.flatnonzero(w)
-            out.append(mix64(w[at] + mix64((at.astype(np.uint64) << np.uint64(8)) + np.uint64(b + 1))))
+            key = mix64(w[at] + mix64((at.astype(np.uint64) << np.uint64(8)) + np.uint64(b + 1))) & ~np.uint64(63) | np.uint64(b + 1)
+            out.append(key[np.lexsort((key, np.bitwise_count(w[at])))[left_out(spares[b])[0]:]])
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
@@ -159,23 +190,28 @@ def _texts(b: pa.RecordBatch, step: int = 512) -> Iterator[tuple[list, list]]:
 
 
 def members(docs: DataFrame) -> DataFrame:
-    """doc_id, digest of the text, n (size of the set), node (null for an empty set), weak (a band or null)."""
+    """doc_id, digest of the text, n (size of the set), node (null for an empty
+    set), fold, and for sets of SMALL elements or more band and spare."""
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 ss = sets_of(part.column(1).to_pylist())
+                large = [len(s) >= SMALL for s in ss]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), part.column(2), pa.array([len(s) for s in ss], pa.int64()),
                     pa.array([node_of(s) if len(s) else None for s in ss], pa.int64()),
-                    pa.array([band_of(len(s)) if weak(s) else None for s in ss], pa.int32())], names=["doc_id", "digest", "n", "node", "weak"])
+                    pa.array([fold(s).tobytes() if len(s) else None for s in ss], pa.binary()),
+                    pa.array([band_of(len(s)) if k else None for s, k in zip(ss, large)], pa.int32()),
+                    pa.array([spare(s) if k else None for s, k in zip(ss, large)], pa.int32())],
+                    names=["doc_id", "digest", "n", "node", "fold", "band", "spare"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("digest"))
-    return rows.mapInArrow(run, f"doc_id {kind}, digest long, n long, node long, weak int")
+    return rows.mapInArrow(run, f"doc_id {kind}, digest long, n long, node long, fold binary, band int, spare int")
 
 
-def buckets(docs: DataFrame, by_prefix: frozenset[int]) -> DataFrame:
+def buckets(docs: DataFrame, spares: dict[int, int]) -> DataFrame:
     """(key, node); a batch names each set once."""
     def run(batches):
         for b in batches:
@@ -185,7 +221,7 @@ def buckets(docs: DataFrame, by_prefix: frozenset[int]) -> DataFrame:
                 for s in sets_of(texts):
                     if len(s) and (node := node_of(s)) not in seen:
                         seen.add(node)
-                        keys.append(keys_of(s, by_prefix))
+                        keys.append(keys_of(s, spares))
                         nodes.append(np.full(len(keys[-1]), node, np.int64))
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(nodes))],
@@ -213,10 +249,57 @@ def _runs(key: np.ndarray, node: np.ndarray, few: int) -> tuple[list, list, list
     return a, b, big
 
 
+def shared(rows: DataFrame) -> DataFrame:
+    """(key, node, size) of buckets with two nodes or more; a size over MOST is MOST."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, node, hot = np.empty(0, np.int64), np.empty(0, np.int64), None
+
+        def out(k, n, most=None):
+            start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+            size = np.diff(np.r_[start, len(k)])
+            size = np.repeat(size if most is None else np.full(len(size), most), size)
+            keep = size > 1
+            return pa.RecordBatch.from_arrays([pa.array(k[keep]), pa.array(n[keep]), pa.array(size[keep])], names=["key", "node", "size"])
+
+        for batch in batches:
+            key, node = np.r_[key, batch.column(0).to_numpy()], np.r_[node, batch.column(1).to_numpy()]
+            new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
+            key, node = key[new], node[new]
+            if hot is not None:  # the rest of a bucket of MOST nodes or more
+                end = int(np.searchsorted(key, hot, side="right"))
+                if end:
+                    yield out(key[:end], node[:end], MOST)
+                key, node, hot = key[end:], node[end:], hot if end == len(key) else None
+            if len(key):
+                last = int(np.searchsorted(key, key[-1]))
+                if last:
+                    yield out(key[:last], node[:last])
+                    key, node = key[last:], node[last:]
+                if len(key) >= MOST:
+                    yield out(key, node, MOST)
+                    hot, key, node = int(key[-1]), key[:0], node[:0]
+        if len(key):
+            yield out(key, node)
+
+    return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, node long, size long")
+
+
+def rarer(rows: DataFrame, spares: dict[int, int]) -> DataFrame:
+    """The shared keys without the largest buckets that each node may leave out."""
+    band = (F.col("key").bitwiseAND(F.lit(63)) - 1).cast("int")
+    drop = F.lit(0)
+    for b, least in spares.items():
+        if least >= 1:
+            drop = F.when(F.col("band") == b, left_out(least)[1]).otherwise(drop)
+    w = Window.partitionBy("node", "band").orderBy(F.desc("size"), "key")
+    rows = rows.withColumn("band", band).withColumn("at", F.row_number().over(w))
+    return rows.where(F.col("at") > drop).select("key", "node")
+
+
 _KIND = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def candidates(docs: DataFrame, by_prefix: frozenset[int], few: int = FEW) -> DataFrame:
+def candidates(docs: DataFrame, spares: dict[int, int], few: int = FEW) -> DataFrame:
     """kind 0: pairs a < b of nodes; kind 1: members (key, node) of large buckets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, node = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -246,7 +329,7 @@ def candidates(docs: DataFrame, by_prefix: frozenset[int], few: int = FEW) -> Da
         if len(key):
             yield from out(key, node)
 
-    rows = buckets(docs, by_prefix)
+    rows = rarer(shared(buckets(docs, spares)), spares)
     return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "kind tinyint, a long, b long")
 
 
@@ -261,7 +344,7 @@ def _filter_of(nodes: DataFrame) -> np.ndarray:
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, n, fold and the set's hashes, of (at least) the given nodes."""
+    """node and the set's hashes, of (at least) the given nodes."""
     sent = docs.sparkSession.sparkContext.broadcast(_filter_of(nodes))
 
     def run(batches):
@@ -276,45 +359,53 @@ def whole_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                         at = node % FILTER_BITS
                         if int(bits[at >> 6]) >> (at & 63) & 1 and node not in seen:
                             seen.add(node)
-                            rows.append((node, len(s), fold(s).tobytes(), s.tobytes()))
+                            rows.append((node, s.tobytes()))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                        (pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=["node", "n", "fold", "hashes"])
+                        (pa.int64(), pa.binary()))], names=["node", "hashes"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, "node long, n long, fold binary, hashes binary")
+    found = docs.select("doc_id", "text").mapInArrow(run, "node long, hashes binary")
     return found.dropDuplicates(["node"])
 
 
-def _near(a_n, b_n, a_fold, b_fold):
-    h = np.bitwise_count(a_fold ^ b_fold).sum(axis=-1, dtype=np.int64)
-    return 9 * h <= 2 * np.maximum(a_n, b_n)
+def _near(n, m, distance):
+    """Whether sketches so far apart leave it open that the sets are linked."""
+    return (9 * distance <= 2 * np.maximum(n, m)) & (5 * np.minimum(n, m) >= 4 * np.maximum(n, m))
+
 
+def _with_both(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the other columns of both nodes, named a_.. and b_.."""
+    for side in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in nodes.columns if c != "node"]), side)
+    return pairs
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The linked ones of the pairs (a, b). Sketches go first, whole sets follow
-    only for pairs that their Hamming distance leaves open."""
+
+def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The linked ones of the pairs (a, b). ``nodes``: node, n, fold. Sketches go
+    first; whole sets follow only for what their Hamming distance leaves open."""
     def possible(batches):
         for t in batches:
-            fa, fb = (np.frombuffer(b"".join(t.column(c).to_pylist()), np.uint64).reshape(-1, 8) for c in ("fa", "fb"))
-            na, nb = t.column("na").to_numpy(), t.column("nb").to_numpy()
-            ok = _near(na, nb, fa, fb) & (5 * np.minimum(na, nb) >= 4 * np.maximum(na, nb))
-            yield t.select(["a", "b"]).filter(pa.array(ok))
+            na, nb = t.column(2).to_numpy(), t.column(4).to_numpy()
+            d = np.empty(len(na), np.int64)
+            for i, (x, y) in enumerate(zip(t.column(3), t.column(5))):
+                f, g = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                least = min(len(f), len(g))
+                d[i] = np.bitwise_count(halved(f, least) ^ halved(g, least)).sum()
+            yield t.select(["a", "b"]).filter(pa.array(_near(na, nb, d)))
 
     def exact(batches):
         for t in batches:
             ok = []
-            for x, y in zip(t.column("sa"), t.column("sb")):
+            for x, y in zip(t.column(2), t.column(3)):
                 p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 ok.append(bool(linked(len(np.intersect1d(p, q, assume_unique=True)), len(p), len(q))))
             yield t.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    def with_both(p, cols):
-        for side in ("a", "b"):
-            p = p.join(sets.select(F.col("node").alias(side), *[F.col(c).alias(c[0].replace("h", "s") + side) for c in cols]), side)
-        return p
-
-    few = with_both(pairs, ["n", "fold"]).select("a", "b", "na", "nb", "fa", "fb").mapInArrow(possible, "a long, b long")
-    return with_both(few, ["hashes"]).select("a", "b", "sa", "sb").mapInArrow(exact, "a long, b long")
+    open_ = _with_both(pairs, nodes).select("a", "b", "a_n", "a_fold", "b_n", "b_fold").mapInArrow(possible, "a long, b long")
+    open_ = written(open_, "jaccard-open")
+    asked = open_.select(F.col("a").alias("node")).unionByName(open_.select(F.col("b").alias("node"))).distinct()
+    sets = whole_sets(docs, asked)
+    return written(_with_both(open_, sets).select("a", "b", "a_hashes", "b_hashes").mapInArrow(exact, "a long, b long"), "jaccard-links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -355,14 +446,18 @@ def _crossing(unresolved: DataFrame) -> DataFrame:
         i, j = key[1].as_py(), key[2].as_py()
         part = t.column("part").to_numpy()
         node, label, n = (t.column(c).to_numpy() for c in ("node", "label", "n"))
-        folds = np.frombuffer(b"".join(t.column("fold").to_pylist()), np.uint64).reshape(-1, 8)
+        folds = [np.frombuffer(v, np.uint64) for v in t.column("fold").to_pylist()]
+        least = min(map(len, folds))
+        folds = np.stack([halved(f, least) for f in folds])
         x, y = np.flatnonzero(part == i), np.flatnonzero(part == j)
         a, b = [], []
-        for at in range(0, len(x), 64):
-            p = x[at:at + 64]
-            ok = (label[p][:, None] != label[y]) & (node[p][:, None] < node[y] if i == j else True)
-            ok &= 5 * np.minimum(n[p][:, None], n[y]) >= 4 * np.maximum(n[p][:, None], n[y])
-            ok &= _near(n[p][:, None], n[y], folds[p][:, None, :], folds[y])
+        step = max(1, (1 << 22) // max(1, folds[y].size))
+        for at in range(0, len(x), step):
+            p = x[at:at + step]
+            d = np.bitwise_count(folds[p][:, None, :] ^ folds[y]).sum(axis=-1, dtype=np.int64)
+            ok = _near(n[p][:, None], n[y], d) & (label[p][:, None] != label[y])
+            if i == j:
+                ok &= node[p][:, None] < node[y]
             r, c = np.nonzero(ok)
             a.append(np.minimum(node[p[r]], node[y[c]]))
             b.append(np.maximum(node[p[r]], node[y[c]]))
@@ -378,21 +473,19 @@ def _crossing(unresolved: DataFrame) -> DataFrame:
 def link(docs: DataFrame, rows: DataFrame, few: int = FEW) -> DataFrame:
     """Verified links (a, b) between nodes: all between different components of
     what they connect. ``rows``: members(docs)."""
-    by_prefix = frozenset(r.weak for r in rows.where("weak is not null").select("weak").distinct().collect())
-    found = written(candidates(docs, by_prefix, few), "jaccard-candidates")
-    pairs = written(found.where("kind = 0").select("a", "b").distinct(), "jaccard-pairs")
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = written(whole_sets(docs, nodes), "jaccard-sets")
-    links = written(verified(pairs, sets), "jaccard-links")
+    spares = {r.band: r.spare for r in rows.where("band is not null").groupBy("band").agg(F.min("spare").alias("spare")).collect()}
+    found = written(candidates(docs, spares, few), "jaccard-candidates")
+    nodes = written(rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("fold").alias("fold")), "jaccard-nodes")
+    links = verified(docs, found.where("kind = 0").select("a", "b").distinct(), nodes)
     large = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
     if not large.take(1):
         return links
     labels = written(components(links), "jaccard-labels")
     large = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = large.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    large = written(large.join(open_, "key").join(sets.select("node", "n", "fold"), "node"), "jaccard-open")
-    more = written(verified(_crossing(large), sets), "jaccard-more")
-    return links.unionByName(more)
+    large = written(large.join(open_, "key").join(nodes, "node"), "jaccard-large")
+    more = written(_crossing(large), "jaccard-crossing")
+    return links.unionByName(verified(docs, more, nodes)) if more.take(1) else links
 
 
 def joined(docs: DataFrame, few: int = FEW) -> DataFrame:
