@@ -32,6 +32,7 @@ table gives an empty table.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -101,6 +102,7 @@ def _edges() -> list[int]:
 EDGES = _edges()
 
 
+@functools.lru_cache(maxsize=None)
 def blocks_of(band: int) -> int:
     """Blocks of a band: enough that a text has SPARE times its size more
     non-zero blocks than its greatest difference, five standard deviations of
@@ -116,11 +118,8 @@ def blocks_of(band: int) -> int:
     return int(b)
 
 
-_BLOCKS: dict[int, int] = {}
-
-
 def sketch(s: np.ndarray, band: int) -> np.ndarray:
-    b = _BLOCKS.setdefault(band, blocks_of(band))
+    b = blocks_of(band)
     g = mix64(s + mix64(np.array([band + 1], np.uint64)))
     out = np.zeros(b, np.uint64)
     np.bitwise_xor.at(out, ((g >> np.uint64(32)) * np.uint64(b)) >> np.uint64(32), np.uint64(1) << (g & np.uint64(63)))
