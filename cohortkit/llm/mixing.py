@@ -18,6 +18,13 @@ Targets: sources in code point order, null last, weigh 5, 2, 1 and so on again.
 Of all words each gets its weight's share, but at most 3 times its own words;
 the excess goes to the others by weight until none is above.
 
+Whole documents (the pipeline's stage): a row's copies are what its blocks took
+in whole texts, and one more for a share of the rows that equals the fractions
+left: along the rows of a source and chunk in order of size, the fractions add
+up from a seeded start, and the row at which the sum passes a whole number gets
+the copy. So a row's expected words are those its blocks took, and a source's
+words stay within about the largest text a chunk of what was drawn.
+
 Defined results: a null or empty text has size 0 and is never taken; rows
 alike in id, source and text share what they take evenly; all draws depend on
 ``seed`` and the rows alone, so reruns agree; columns beyond doc_id, text and
@@ -46,6 +53,8 @@ SHARD = 4096
 #: Rows of a chunk in which offsets are summed.
 CHUNK_ROWS = 20_000
 WEIGHTS = (5, 2, 1)
+#: A whole copy in the sums of fractions.
+UNIT = 1 << 32
 MOST = 3
 
 
@@ -118,7 +127,7 @@ def placed(rows: DataFrame, src: DataFrame) -> DataFrame:
     inside = Window.partitionBy("source", "chunk").orderBy("doc_id", "digest", "size").rowsBetween(Window.unboundedPreceding, -1)
     r = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     r = join_on(r, base, ["source", "chunk"]).select(
-        "doc_id", "source", "digest", "size", (F.col("base") + F.col("before")).alias("start"))
+        "doc_id", "source", "digest", "chunk", "size", (F.col("base") + F.col("before")).alias("start"))
     return join_on(r, src.drop("slots"), ["source"])
 
 
@@ -165,9 +174,9 @@ def pieces(rows: DataFrame) -> DataFrame:
                     (hi - F.col("start")).alias("to"))
 
 
-def mix_counts(docs: DataFrame, seed: int = 11) -> DataFrame:
-    """doc_id, source, digest, size, source_size, target and ``taken`` of every
-    row. Both joins of blocks sort and merge: their sides grow with the words,
+def block_counts(docs: DataFrame, seed: int = 11) -> DataFrame:
+    """doc_id, source, digest, chunk, size, source_size, target and ``taken`` of
+    every row: the words of it in the drawn blocks. Both joins of blocks sort and merge: their sides grow with the words,
     and shrink so well in a shuffle that Spark would take them for small."""
     rows = sized(docs)
     src = written(targets(rows), "mix-targets")
@@ -178,7 +187,29 @@ def mix_counts(docs: DataFrame, seed: int = 11) -> DataFrame:
             .agg(F.sum((F.col("to") - F.col("from")) * F.col("times")).alias("taken")))
     taken = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long")
     return join_on(at, took.hint("merge"), ["source", "start"], "left").select(
-        "doc_id", "source", "digest", "size", F.col("words").alias("source_size"), "target", taken.alias("taken"))
+        "doc_id", "source", "digest", "chunk", "size", F.col("words").alias("source_size"), "target", taken.alias("taken"))
+
+
+def copies(rows: DataFrame, seed: int = 11) -> DataFrame:
+    """doc_id, source, digest, ``times``: whole copies of the rows of ``block_counts``
+    that hold words. Fractions are summed in whole units of 1 / UNIT."""
+    one = (rows.where("size > 0").groupBy("doc_id", "source", "digest", "chunk")
+           .agg(F.sum("taken").alias("taken"), F.sum("size").alias("size")))
+    one = one.withColumn("part", F.expr(f"(taken % size) * {UNIT} div size"))
+    w = Window.partitionBy("source", "chunk").orderBy("size", "doc_id", "digest").rowsBetween(Window.unboundedPreceding, 0)
+    first = F.pmod(F.xxhash64("source", "chunk", F.lit(seed)), F.lit(UNIT))
+    one = one.withColumn("upto", F.sum("part").over(w) + first)
+    return one.select("doc_id", "source", "digest", F.expr(
+        f"int(taken div size + upto div {UNIT} - (upto - part) div {UNIT})").alias("times"))
+
+
+def mix_counts(docs: DataFrame, seed: int = 11) -> DataFrame:
+    """doc_id, source, digest, size, source_size, target and ``taken`` of every
+    row, in whole copies: size times the copies of ``mixed_documents``."""
+    rows = written(block_counts(docs, seed), "mix-taken")
+    out = join_on(rows, copies(rows, seed), ["doc_id", "source", "digest"], "left")
+    return out.select("doc_id", "source", "digest", "size", "source_size", "target",
+                      (F.col("size") * F.coalesce("times", F.lit(0))).alias("taken"))
 
 
 def mix(docs: DataFrame, seed: int = 11) -> DataFrame:
@@ -196,15 +227,13 @@ def mix(docs: DataFrame, seed: int = 11) -> DataFrame:
 
 
 def op7(docs: DataFrame) -> DataFrame:
-    return mix_counts(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return block_counts(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mixed_documents(docs: DataFrame, seed: int = 11) -> DataFrame:
     """Whole documents of the mixture, with the columns of ``docs``: each row as
-    many times as its words were taken, rounded (0 to 3 times)."""
-    counts = (mix_counts(docs, seed).where("size > 0").groupBy("doc_id", "source", "digest")
-              .agg(F.round(F.sum("taken") / F.sum("size")).cast("int").alias("__times")).where("__times > 0"))
-    counts = counts.withColumnRenamed("digest", "__digest")
+    many times as ``copies`` says (0 to 3 times)."""
+    counts = copies(block_counts(docs, seed), seed).withColumnsRenamed({"digest": "__digest", "times": "__times"}).where("__times > 0")
     d = docs.withColumn("__digest", F.xxhash64("text"))
     return (join_on(d, counts, ["doc_id", "source", "__digest"])
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns))

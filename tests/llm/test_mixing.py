@@ -83,3 +83,19 @@ def test_stage_rows_repeats_empty(spark, data):
     twice = df.where("doc_id < 50").unionByName(df.where("doc_id < 50"))
     assert mixing.op7(twice).count() == 100
     assert mixing.op7(df.limit(0)).count() == 0 and mixing.mixed_documents(df.limit(0)).count() == 0
+
+
+def test_whole_documents_meet_the_targets(spark):
+    rnd = random.Random(4)
+    raw = [(i, " ".join(f"w{i}_{j}" for j in range(rnd.choice([40, 700, 2500, 4000]))), "en", "abc"[i % 3], 1, "x", 1) for i in range(150)]
+    df = spark.createDataFrame(raw, SCHEMA)
+    size = {i: len(t.split()) for i, t, *_ in raw}
+    own = {s: sum(size[i] for i, _, _, x, *_ in raw if x == s) for s in "abc"}
+    want, got, long = brute_targets(own), dict.fromkeys("abc", 0), dict.fromkeys("abc", 0)
+    for r in mixing.mixed_documents(df).collect():
+        got[r.source] += size[r.doc_id]
+        long[r.source] += size[r.doc_id] > 2048
+    for s in "abc":
+        assert abs(got[s] - want[s]) <= 4000 + mixing.BLOCK, (s, got[s], want[s])
+        n = sum(size[i] > 2048 for i, _, _, x, *_ in raw if x == s)
+        assert abs(long[s] - n * want[s] / own[s]) <= 3, (s, long[s], n)
