@@ -5,7 +5,7 @@ written as Parquet and read back as the next one's input.
 2. near_duplicates one document of each group of linked texts stays (the smallest id)
 3. secrets       secrets in the text are replaced by '[SECRET]'; n_chars follows
 4. mixing        documents repeat or go as the mix takes their words (0 to 3 times)
-5. bpe           token ids, count and digests of each whole text
+5. bpe           token ids (little-endian unsigned 32-bit), count and digests of each whole text
 
 Nulls: a null text is kept as an empty one would be (clean, linked with nothing,
 without secrets, never taken by the mix). An empty table passes as an empty
@@ -46,7 +46,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = vocabulary()
     rows = bpe.decode_packed(bpe.encode_packed(docs, path, out="ids"), path, out="decoded")
-    return rows.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+    return rows.select("doc_id", "lang", "source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

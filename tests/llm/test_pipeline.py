@@ -73,3 +73,12 @@ def test_kept_keeps_unlinked_rows_of_one_id(spark):
     rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (1, "other words"), (None, "x y"), (None, "z"), (7, ""), (7, ""), (9, "OTHER words")]
     got = sorted(((r.doc_id, r.text) for r in jaccard.kept(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
     assert got == sorted([(1, "a b c d e f g"), (1, "other words"), (None, "x y"), (None, "z"), (7, ""), (7, "")], key=str)
+
+
+def test_the_last_stage_keeps_the_ids(spark):
+    texts = ["A small text, with words.", "héllo 😀", "", None]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    codec = bpe.codec(vocabulary())
+    for r in pipe.bpe_stage(spark, spark.createDataFrame(rows, SCHEMA), "").collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == codec.encode(texts[r.doc_id] or "") and len(r.ids) == 4 * r.n_tokens
+        assert codec.decode(np.frombuffer(r.ids, "<u4").tolist()) == (texts[r.doc_id] or "")
