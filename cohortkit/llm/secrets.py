@@ -11,7 +11,10 @@ of p-values, taken apart by encoding and length band because short strings
 give the tests less power, the share of non-random strings above each
 threshold follows, and the lowest threshold (``FLOOR`` at least) whose share is
 at most ``FALSE_SHARE`` is used for that family. Runs that overlap a base span
-are left out.
+are left out. '=' ends a run, but for up to two as padding, so NAME=value is two
+runs. A run that holds both '-' or '_' and '+' or '/' fits no alphabet: its
+longest parts without the former and those without the latter (``PARTS``) are
+candidates instead; they may overlap.
 
 Only DataFrame functions are used. Positions are code points, end exclusive:
 the lengths of the pieces between matches and of the matches are added up, in
@@ -33,7 +36,9 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 #: Kind -> (pattern, least characters of group). A run's pattern starts at the
 #: run's start, so that its least length can stand in the pattern.
 BASE = {"assign": (ASSIGN, 6), "access": (r"AKIA[A-Z0-9]{16,}", 0), "hex": (r"(?<![0-9a-f])[0-9a-f]{24,}", 0)}
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+PADDING = r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}" + PADDING
+PARTS = (r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{20,}" + PADDING, r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}" + PADDING)
 KINDS = [*BASE, "random"]
 HEX, B32 = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 B64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
@@ -139,12 +144,22 @@ def _candidates(text: Column, found: Column) -> Column:
         return let(F.substring(text, s["start"] + 1, s["end"] - s["start"]), lambda t: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), t.alias("token"), encoding(t).alias("enc")))
 
+    def parts(s):
+        def cut(t):
+            mixed = t.rlike("[-_]") & t.rlike("[+/]")
+            inner = F.concat(*[F.transform(spans(t, p), lambda x: F.struct(
+                (s["start"] + x["start"]).alias("start"), (s["start"] + x["end"]).alias("end"), x["size"].alias("size"))) for p in PARTS])
+            return F.when(mixed, inner).otherwise(F.array(s))
+
+        return let(F.substring(text, s["start"] + 1, s["end"] - s["start"]), cut)
+
     def tested(c):
         k = F.when(c["enc"] == "hex", 16).when(c["enc"] == "base32", 32).otherwise(64)
         band = F.floor(2 * F.log2((c["end"] - c["start"]).cast("double"))).cast("string")
         return F.struct(c["start"].alias("start"), c["end"].alias("end"), F.concat(c["enc"], F.lit("/"), band).alias("family"),
                         battery(_symbols(c["token"], c["enc"]), k).alias("p"))
 
+    found = F.flatten(F.transform(found, parts))
     return F.transform(F.filter(F.transform(found, coded), lambda c: c["enc"].isNotNull()), tested)
 
 

@@ -74,3 +74,18 @@ def test_redaction(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert secrets.op6(df).count() == 0 and secrets.redacted(df).count() == 0
+
+
+def test_random_values_beside_names_and_paths(spark):
+    rnd = random.Random(12)
+    b64 = [base64.b64encode(rnd.randbytes(36)).decode() for _ in range(150)]
+    pad = [base64.b64encode(rnd.randbytes(37)).decode() for _ in range(150)]
+    url = [base64.urlsafe_b64encode(rnd.randbytes(36)).decode() for _ in range(150)]
+    kinds = [("X_AUTH=", b64), ("?sig=", pad), ("long-name-of-a-thing-", [v for v in b64 if re.search("[+/]", v)]),
+             ("/usr/share/+/", [v for v in url if re.search("[-_]", v)])]
+    rows = [(n * 1000 + i, f"x {pre}{v} y", "s", 1, "c") for n, (pre, vs) in enumerate(kinds) for i, v in enumerate(vs)]
+    out = {r.doc_id: r.spans.split(",") for r in secrets.op6(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for n, (pre, vs) in enumerate(kinds):
+        at = 2 + len(pre)
+        hit = sum(f"random:{at}:{at + len(v)}" in out[n * 1000 + i] for i, v in enumerate(vs))
+        assert hit >= 0.85 * len(vs), (pre, hit, len(vs))
