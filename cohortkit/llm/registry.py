@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, jaccard, mixing, neighbours, pitmanyor, secrets, toxicity, urlrules, warc
+from . import bpe, decontaminate, fingerprint, jaccard, mixing, neighbours, pitmanyor, secrets, toxicity, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,11 @@ def op9_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.op3(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_training_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op13(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op13_training_suffix_arrays"] = decontaminate.ORACLE
