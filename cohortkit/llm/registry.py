@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, jaccard, mixing, neighbours, pitmanyor, secrets, toxicity, urlrules, warc
+from . import bpe, decontaminate, fingerprint, jaccard, mixing, neighbours, pitmanyor, secrets, spelling, toxicity, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,11 @@ def op13_training_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op13_training_suffix_arrays"] = decontaminate.ORACLE
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.op12(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_spelling_variants"] = spelling.ORACLE
