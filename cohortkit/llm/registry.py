@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, jaccard, mixing, neighbours, pitmanyor, secrets, spelling, toxicity, urlrules, warc
+from . import bpe, decontaminate, fingerprint, hardneg, jaccard, mixing, neighbours, pitmanyor, secrets, spelling, toxicity, urlrules, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op12_spelling_variants"] = spelling.ORACLE
+
+
+@query
+def op11_hyperplane_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.op11(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL["op11_hyperplane_hard_negatives"] = hardneg.ORACLE
