@@ -240,14 +240,15 @@ def saved_places_latest_q(spark, sf):
     return s.select("customer_id", saved_canon().alias("home_work_coords"))
 
 
-_FEATURES_RIDE_SQL = oracle(
-    _TXN_VIEWS + ("bookmarks", "location_master"),
-    S.ride_base_ctes(C, D) + "," + S.ride_location_ctes(C) + ","
-    + S.profile_cte("week", "hist", "isodow(ts)", "week_stats") + ","
-    + S.profile_cte("hr", "hist", "hour(ts)", "hour_stats") + ","
-    + S.txn_cte(C, D, _RIDES_TXN) + ","
-    + S.saved_cte(D, "SELECT customer_id FROM locs", SAVED_MIN_YEAR) + f"""
-SELECT '{D}' AS valid_date, 'rh' AS service, l.customer_id, q.num_trips, q.quantile,
+def ride_features_body(date: str) -> str:
+    """CTEs and SELECT of the ride feature rows of one date (maps as canonical text)."""
+    return (
+        S.ride_base_ctes(C, date) + "," + S.ride_location_ctes(C) + ","
+        + S.profile_cte("week", "hist", "isodow(ts)", "week_stats") + ","
+        + S.profile_cte("hr", "hist", "hour(ts)", "hour_stats") + ","
+        + S.txn_cte(C, date, _RIDES_TXN) + ","
+        + S.saved_cte(date, "SELECT customer_id FROM locs", SAVED_MIN_YEAR) + f"""
+SELECT '{date}' AS valid_date, 'rh' AS service, l.customer_id, q.num_trips, q.quantile,
        t.trx_amt, w.week_stats, h.hour_stats, l.locations, s.home_work_coords
 FROM locs l
 LEFT JOIN week w ON l.customer_id = w.customer_id
@@ -258,6 +259,10 @@ LEFT JOIN saved s ON l.customer_id = s.customer_id
 WHERE w.week_stats IS NOT NULL AND h.hour_stats IS NOT NULL""")
 
 
+RIDE_FEATURE_VIEWS = _TXN_VIEWS + ("bookmarks", "location_master")
+_FEATURES_RIDE_SQL = oracle(RIDE_FEATURE_VIEWS, ride_features_body(D))
+
+
 def render_ride_features(df):
     return df.select("valid_date", "service", "customer_id", "num_trips", "quantile", "trx_amt",
                      canon_map("week_stats").alias("week_stats"),
@@ -271,9 +276,10 @@ def features_ride_q(spark, sf):
     return render_ride_features(FT.ride_features(Tables(spark, sf), D, C, SAVED_MIN_YEAR))
 
 
-_FOOD_BASE = f"""
+def _food_base(date: str) -> str:
+    return f"""
 fo0 AS (SELECT * FROM mkt_orders
-        WHERE {S.window('day', D, C.history_horizon)} AND order_status = 'delivered'
+        WHERE {S.window('day', date, C.history_horizon)} AND order_status = 'delivered'
           AND order_type = 'food' AND country IN {S.lst(C.event_countries)}
           AND drop_off_latitude <> 0 AND drop_off_longitude <> 0 AND order_id IS NOT NULL),
 fbase AS (SELECT order_id AS booking_id, customer_id,
@@ -297,26 +303,33 @@ flocs AS (SELECT customer_id,
           FROM ffreq GROUP BY customer_id HAVING count(*) >= {C.min_locations_food}),
 fhist AS (SELECT * FROM fbk WHERE customer_id IN (SELECT customer_id FROM flocs))"""
 
-_FOOD_RIDES_TXN = f"""SELECT DISTINCT customer_id AS userid, CAST(booking_id AS VARCHAR) AS transaction_id,
+
+def _food_rides(date: str) -> str:
+    return f"""SELECT DISTINCT customer_id AS userid, CAST(booking_id AS VARCHAR) AS transaction_id,
          'ride_hailing' AS service
   FROM trips WHERE customer_id IN (SELECT customer_id FROM flocs)
-    AND {S.window('day', D, C.history_horizon)}
+    AND {S.window('day', date, C.history_horizon)}
     AND service_area_id IN {S.lst(C.food_service_area_ids)}
     AND {S.ride_filter(C, ended=True, intercity_later=False)}"""
 
 
-@register("features_food", oracle(
-    _TXN_VIEWS, _FOOD_BASE + ","
-    + S.profile_cte("fweek", "fhist", "isodow(ts)", "week_stats") + ","
-    + S.profile_cte("fhour", "fhist", "hour(ts)", "hour_stats") + ","
-    + S.txn_cte(C, D, _FOOD_RIDES_TXN, food=True) + f"""
-SELECT '{D}' AS valid_date, l.customer_id, q.num_orders, q.quantile, t.trx_amt,
+def food_features_body(date: str) -> str:
+    """CTEs and SELECT of the food feature rows of one date (maps as canonical text)."""
+    return (
+        _food_base(date) + ","
+        + S.profile_cte("fweek", "fhist", "isodow(ts)", "week_stats") + ","
+        + S.profile_cte("fhour", "fhist", "hour(ts)", "hour_stats") + ","
+        + S.txn_cte(C, date, _food_rides(date), food=True) + f"""
+SELECT '{date}' AS valid_date, l.customer_id, q.num_orders, q.quantile, t.trx_amt,
        w.week_stats, h.hour_stats, l.locations
 FROM flocs l
 LEFT JOIN fweek w ON l.customer_id = w.customer_id
 LEFT JOIN fhour h ON l.customer_id = h.customer_id
 LEFT JOIN trx t ON l.customer_id = t.customer_id
-LEFT JOIN fquant q ON l.customer_id = q.customer_id"""))
+LEFT JOIN fquant q ON l.customer_id = q.customer_id""")
+
+
+@register("features_food", oracle(_TXN_VIEWS, food_features_body(D)))
 def features_food_q(spark, sf):
     f = FT.food_features(Tables(spark, sf), D, C)
     return f.select("valid_date", "customer_id", "num_orders", "quantile", "trx_amt",
@@ -325,7 +338,7 @@ def features_food_q(spark, sf):
                     canon_map("locations").alias("locations"))
 
 
-@register("txn_union_food", oracle(_TXN_VIEWS, _FOOD_BASE + "," + S.txn_cte(C, D, _FOOD_RIDES_TXN, food=True) + """
+@register("txn_union_food", oracle(_TXN_VIEWS, _food_base(D) + "," + S.txn_cte(C, D, _food_rides(D), food=True) + """
 SELECT service, count(*) AS n_rows, count(DISTINCT userid) AS n_users,
        count(DISTINCT transaction_id) AS n_txn FROM txn GROUP BY service"""))
 def txn_union_food_q(spark, sf):

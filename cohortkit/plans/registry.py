@@ -62,4 +62,4 @@ def saved_canon(col: str = "home_work_coords"):
 
 # ---------------------------------------------------------------------------
 # imports of query modules register their queries
-from . import q_features, q_sessions, q_dataset, q_eval  # noqa: E402,F401
+from . import q_features, q_sessions, q_dataset, q_eval, q_sinks  # noqa: E402,F401
