@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import BOUNDS_BY_COUNTRY
+from ..config import BOUNDS_BY_COUNTRY, EARTH_RADIUS_KM
 from ..functions.geo import great_circle_km, great_circle_sql
 from ..functions.predicates import in_bbox, valid_service_area
 from ..functions.profiles import canon_map, l2_normalize_map, smooth_hours
@@ -14,8 +14,9 @@ from ..operators import features as FT
 from ..operators import sessions as SS
 from ..sources.fixtures import Tables
 from . import sqlfrag as S
-from .q_features import _RIDE, _ride_parts
-from .q_sessions import BATCH
+from .q_features import _RIDE, RIDE_FEATURE_VIEWS, _ride_parts, ride_features_body
+from .q_sessions import _VIEWS as _SESSION_VIEWS
+from .q_sessions import BATCH, _session_ctes
 from .registry import FEATURE_DATE, FIX_CFG, SAVED_MIN_YEAR, oracle, register
 
 D, C = FEATURE_DATE, FIX_CFG
@@ -223,10 +224,81 @@ def rh_frac_q(spark, sf):
                                                 F.col("trx_amt").cast("double")).alias("rh_frac"))
 
 
-@register("training_rows", None)
+def _map_sql(col: str) -> str:
+    """Entries of a canonical map text 'k=v;...'."""
+    return (f"list_transform(string_split({col}, ';'), lambda e: struct_pack(k := split_part(e, '=', 1), "
+            f"v := CAST(split_part(e, '=', 2) AS DOUBLE)))")
+
+
+def _value(entries: str, key: str) -> str:
+    return f"coalesce(list_sum(list_transform(list_filter({entries}, lambda e: e.k = CAST({key} AS VARCHAR)), lambda e: e.v)), 0)"
+
+
+def _norm(entries: str) -> str:
+    return f"sqrt(list_sum(list_transform({entries}, lambda e: e.v * e.v)))"
+
+
+def _km(lat: str, lon: str) -> str:
+    """Distance of the session point to a place, by the chord of its unit vectors."""
+    a, b, c, d = (f"radians({x})" for x in ("j.latitude", "j.longitude", lat, lon))
+    chord = (f"power(cos({a}) * cos({b}) - cos({c}) * cos({d}), 2) + power(cos({a}) * sin({b}) - cos({c}) * sin({d}), 2) "
+             f"+ power(sin({a}) - sin({c}), 2)")
+    return f"2 * {EARTH_RADIUS_KM} * asin(sqrt({chord}) / 2)"
+
+
+def _saved_sql(place: str, i: int) -> str:
+    """Coordinate of a saved place from 'home=lat,long;work=lat,long', 0 where none is saved."""
+    return (f"coalesce(CAST(split_part(split_part(list_filter(string_split(coalesce(j.home_work_coords, ''), ';'), "
+            f"lambda e: starts_with(e, '{place}='))[1], '=', 2), ',', {i}) AS DOUBLE), 0)")
+
+
+def training_body(dates) -> str:
+    """CTEs up to ``trained``, the training rows of the dates: feature rows of each
+    date on its own, joined with the cleaned sessions."""
+    feats = " UNION ALL ".join(f"SELECT * FROM (WITH {ride_features_body(d.isoformat()).strip()}) f{i}" for i, d in enumerate(dates))
+    hours = f"list_transform(range(24), lambda h: {_value('hm', 'h')} + {_value('hm', '(h + 1) % 24')} + {_value('hm', '(h + 23) % 24')})"
+    near = f"CAST({_km('{0}', '{1}')} <= {C.d_threshold_km} AS INTEGER)"
+    home, work = ([_saved_sql(p, i) for i in (1, 2)] for p in ("home", "work"))
+    return _session_ctes(dates) + f""",
+feats AS ({feats}),
+fm AS (SELECT *, {_map_sql('week_stats')} AS wm, {_map_sql('hour_stats')} AS hm, {_map_sql('locations')} AS lm FROM feats),
+j0 AS (SELECT c.* EXCLUDE (ts), {_local_sql('c.ts')} AS ts, f.* EXCLUDE (valid_date, customer_id, week_stats, hour_stats, locations),
+              {hours} AS smooth, row_number() OVER () AS rid
+       FROM clean c JOIN fm f ON f.valid_date = c.valid_date AND f.customer_id = c.customer_id),
+j AS (SELECT *, hour(ts) AS hour, isodow(ts) AS weekday, hour(ts) * 60 + minute(ts) AS minutes FROM j0 WHERE ts IS NOT NULL),
+places AS (SELECT j.rid, e.k, e.v, {_km("CAST(split_part(e.k, '|', 1) AS DOUBLE)", "CAST(split_part(e.k, '|', 2) AS DOUBLE)")} AS km,
+                  {_km("CAST(split_part(e.k, '|', 1) AS DOUBLE)", "CAST(split_part(e.k, '|', 2) AS DOUBLE)").replace('j.latitude', 'j.dropoff_lat').replace('j.longitude', 'j.dropoff_long')} AS drop_km,
+                  row_number() OVER (PARTITION BY j.rid ORDER BY e.v DESC, e.k) AS rk
+           FROM j, unnest(j.lm) AS u(e)),
+pl AS (SELECT rid, min(km) AS min_km, first(v ORDER BY km, k) AS near_v, min(drop_km) AS drop_km,
+              max(CASE WHEN rk = 1 THEN km END) AS km1, max(CASE WHEN rk = 2 THEN km END) AS km2 FROM places GROUP BY rid),
+flat AS (SELECT j.valid_date, j.ts, j.sessionuuid, j.customer_id, j.booking_id, j.is_trip_ended, j.service, j.quantile, j.weekday,
+    sin(2 * pi() * j.minutes / 1440.0) AS minutes_sin, cos(2 * pi() * j.minutes / 1440.0) AS minutes_cos, {_weekend_sql('j.weekday')} AS is_weekend,
+    CAST(j.booking_id <> 0 AS INTEGER) AS rh, {_value('j.wm', 'j.weekday')} / {_norm('j.wm')} AS norm_week, {_value('j.hm', 'j.hour')} / {_norm('j.hm')} AS norm_hour,
+    j.smooth[j.hour + 1] / sqrt(list_sum(list_transform(j.smooth, lambda x: x * x))) AS norm_hour_denoised, j.latitude, j.longitude,
+    pl.min_km AS min_dist_to_known_loc, CASE WHEN pl.min_km <= {C.d_threshold_km} THEN pl.near_v / {_norm('j.lm')} ELSE 0.0 END AS norm_trips_curr_location,
+    CASE WHEN coalesce(j.dropoff_lat, 0) = 0 OR coalesce(j.dropoff_long, 0) = 0 THEN 0 ELSE CAST(pl.drop_km <= {C.d_threshold_km} AS INTEGER) END AS is_freq,
+    pl.km1 AS dist_to_most_freq, pl.km2 AS dist_to_second_freq,
+    CASE WHEN {home[0]} <> 0 THEN {near.format(*home)} ELSE 0 END AS is_home,
+    CASE WHEN {home[0]} = 0 AND {work[0]} <> 0 THEN {near.format(*work)} ELSE 0 END AS is_work,
+    CAST({home[0]} <> 0 OR {work[0]} <> 0 AS INTEGER) AS has_saved, CAST(j.num_trips AS DOUBLE) / nullif(j.trx_amt, 0) AS rh_frac,
+    j.country_name, j.service_area_id
+  FROM j JOIN pl USING (rid) WHERE pl.min_km <= {C.max_known_location_km}),
+fb AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY sessionuuid ORDER BY is_trip_ended DESC, ts, valid_date, booking_id) AS rn
+       FROM flat WHERE booking_id <> 0) WHERE rn = 1),
+fu AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY sessionuuid ORDER BY ts, valid_date) AS rn
+       FROM flat WHERE booking_id = 0 AND sessionuuid NOT IN (SELECT sessionuuid FROM fb)) WHERE rn = 1),
+trained AS (SELECT * EXCLUDE (country_name, service_area_id) FROM (FROM fb UNION ALL FROM fu) u
+  WHERE TRY_CAST(TRY_CAST(service_area_id AS DOUBLE) AS BIGINT) IN {S.lst(C.valid_service_area_ids)} AND {_bbox_sql()})"""
+
+
+TRAINING_VIEWS = tuple(dict.fromkeys(_SESSION_VIEWS + RIDE_FEATURE_VIEWS))
+
+
+@register("training_rows", oracle(TRAINING_VIEWS, training_body(BATCH) + """
+SELECT * FROM trained"""))
 def training_rows_q(spark, sf):
-    """Flat training table over the 30-day batch (rows-only check; each
-    feature has its own oracle query above)."""
+    """Flat training table over the 30-day batch."""
     T = Tables(spark, sf)
     sess = SS.sessions(T, BATCH, C)
     feats = FT.ride_features(T, BATCH, C, SAVED_MIN_YEAR)
