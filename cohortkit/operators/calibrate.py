@@ -1,4 +1,4 @@
-"""Score calibration: isotonic regression over tie-pooled scores (MLlib) and
+"""Score calibration: isotonic regression over tie-pooled scores and
 a linear adjustment with non-negative coefficients, both fitted from Spark
 aggregates."""
 
@@ -7,10 +7,12 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from . import isotonic as ISO
+
 
 def rounded(x, approximation: int):
     """x rounded to 10^-k, half to even; k < 0 leaves x unchanged."""
@@ -30,13 +32,15 @@ def tie_pool(df: DataFrame, x: str, y: str, approximation: int = -1) -> DataFram
 class Isotonic:
     """Increasing isotonic calibration: scores rounded to ``approximation``
     decimals, labels averaged per distinct score, pool-adjacent-violators over
-    the pooled points (MLlib), predictions clipped to [y_min, y_max]; inputs
-    outside the fitted range take the end values, inputs in between are
-    linearly interpolated.
+    the pooled points by score ranges (see ``isotonic``), predictions clipped to
+    [y_min, y_max]; inputs outside the fitted range take the end values, inputs
+    in between are linearly interpolated.
 
     ``tie_weight='count'`` weighs each pooled point by its row count (the
     least-squares fit of all rows); ``'one'`` gives every distinct score
-    weight 1, as a fit on the pooled means alone does."""
+    weight 1, as a fit on the pooled means alone does. ``accumulate`` takes one
+    batch after another and ``finish`` fits what has come so far, the same as a
+    fit of all batches at once."""
 
     def __init__(self, y_min: float | None = 0.0, y_max: float | None = 1.0,
                  increasing: bool = True, approximation: int = -1, tie_weight: str = "count"):
@@ -44,35 +48,45 @@ class Isotonic:
         self.increasing = increasing
         self.approximation = approximation
         self.tie_weight = tie_weight
-        self.model: IsotonicRegressionModel | None = None
+        self.state: DataFrame | None = None
+        self.blocks: DataFrame | None = None
+        self._knots: tuple[list[float], list[float]] | None = None
 
     def fit(self, df: DataFrame, x: str = "score", y: str = "target") -> "Isotonic":
-        pooled = tie_pool(df, x, y, self.approximation)
+        self.state = cut_lineage(ISO.pooled_state(df, rounded(x, self.approximation), y))
+        return self.finish()
+
+    def accumulate(self, df: DataFrame, x: str = "score", y: str = "target") -> "Isotonic":
+        new = ISO.pooled_state(df, rounded(x, self.approximation), y)
+        self.state = cut_lineage(new) if self.state is None else ISO.merged_state(self.state, new)
+        return self
+
+    def finish(self) -> "Isotonic":
         w = F.col("n").cast("double") if self.tie_weight == "count" else F.lit(1.0)
-        pooled = pooled.select(F.col("x").alias("features"), F.col("y").alias("label"),
-                               w.alias("weight"))
-        self.model = IsotonicRegression(isotonic=self.increasing, featuresCol="features",
-                                        labelCol="label", weightCol="weight").fit(pooled)
+        points = self.state.select("x", (F.col("s") / F.col("n")).alias("y"), w.alias("w"))
+        self.blocks = cut_lineage(ISO.fit_blocks(points, self.increasing))
+        self._knots = None
         return self
 
     def knots(self) -> DataFrame:
-        """Fitted (boundary, prediction) pairs as a DataFrame."""
-        m = self.model
-        b, p = m.boundaries.toArray().tolist(), m.predictions.toArray().tolist()
-        spark = SparkSession.builder.getOrCreate()
-        return spark.createDataFrame(list(zip(b, p)), "boundary double, prediction double")
+        """Fitted (boundary, prediction) pairs as a DataFrame, not clipped."""
+        return ISO.knots_of(self.blocks)
+
+    def curve(self) -> tuple[list[float], list[float]]:
+        """Knots as lists, clipped; their number is bounded (``MAX_KNOTS``)."""
+        if self._knots is None:
+            self._knots = ISO.collected(self.knots())
+        b, p = self._knots
+        lo, hi = (float("-inf") if self.y_min is None else self.y_min), (float("inf") if self.y_max is None else self.y_max)
+        return b, [min(max(v, lo), hi) for v in p]
+
+    def stage(self, x: str = "score", out: str = "calibrated") -> ISO.IsotonicCalibrator:
+        """The fit as a pipeline stage."""
+        b, p = self.curve()
+        return ISO.IsotonicCalibrator(inputCol=x, outputCol=out, boundaries=b, predictions=p)
 
     def transform(self, df: DataFrame, x: str = "score", out: str = "calibrated") -> DataFrame:
-        tmp = "_iso_x"
-        m = self.model.copy()
-        m.setFeaturesCol(tmp).setPredictionCol(out)
-        res = m.transform(df.withColumn(tmp, F.col(x).cast("double"))).drop(tmp)
-        c = F.col(out)
-        if self.y_min is not None:
-            c = F.greatest(c, F.lit(float(self.y_min)))
-        if self.y_max is not None:
-            c = F.least(c, F.lit(float(self.y_max)))
-        return res.withColumn(out, c)
+        return df.withColumn(out, ISO.interpolated(x, *self.curve()))
 
 
 def moments(df: DataFrame, xcols: list[str], y: str) -> DataFrame:

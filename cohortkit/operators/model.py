@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # training-table columns that are not model inputs
 NON_FEATURES = ("valid_date", "ts", "sessionuuid", "customer_id", "booking_id", "is_trip_ended",
                 "rh", "is_freq", "service", "is_work", "has_saved", "weekday",
@@ -39,6 +41,17 @@ def add_sample_weight(df: DataFrame) -> DataFrame:
     return df.withColumn("sample_weight", w)
 
 
+def add_training_weight(df: DataFrame, split: str = "split") -> DataFrame:
+    """The sample weights of training rows; validation and test rows weigh 1.0."""
+    ruled = add_sample_weight(df)
+    return ruled.withColumn("sample_weight", F.when(F.col(split) == "train", F.col("sample_weight")).otherwise(F.lit(1.0)))
+
+
+def with_categories(df: DataFrame, cols) -> DataFrame:
+    """Categorical inputs as text; NULL becomes a category of its own."""
+    return df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols})
+
+
 def time_split(df: DataFrame, n_train: int = 60, n_val: int = 15, date_col: str = "valid_date") -> DataFrame:
     """train / val / test by the ordinal of the distinct dates. Only the
     distinct dates are ranked (one row per day), then broadcast back."""
@@ -57,6 +70,39 @@ def decisions(df: DataFrame, thresholds: dict[str, float], score: str = "score")
     return df
 
 
+def score_thresholds(df: DataFrame, scores: list[str], label: str, target_precision: float) -> DataFrame:
+    """(variant, threshold, recall) of each score column, all in one pass: the lowest
+    threshold of the highest recall at ``target_precision``. Rows are counted per
+    distinct score; running counts go by slices of the score, so no task ranks a
+    whole variant."""
+    long = df.select(F.col(label).cast("long").alias("_y"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("variant"), F.col(c).cast("double").alias("threshold")) for c in scores])).alias("_s"))
+    c = long.groupBy("_s.variant", "_s.threshold").agg(F.sum("_y").alias("_pos"), F.count("*").alias("_n"))
+    c = c.withColumn("_slice", F.floor(F.col("threshold") * 4096))
+    per = c.groupBy("variant", "_slice").agg(F.sum("_pos").alias("_p"), F.sum("_n").alias("_c"))
+    above = Window.partitionBy("variant").orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("variant", "_slice", F.coalesce(F.sum("_p").over(above), F.lit(0)).alias("_tp"), F.coalesce(F.sum("_c").over(above), F.lit(0)).alias("_k"),
+                     F.sum("_p").over(Window.partitionBy("variant")).alias("_all"))
+    inside = Window.partitionBy("variant", "_slice").orderBy(F.desc("threshold")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = c.join(per, ["variant", "_slice"]).select("variant", "threshold", (F.col("_tp") + F.sum("_pos").over(inside)).alias("tp"),
+                                                  (F.col("_k") + F.sum("_n").over(inside)).alias("k"), "_all")
+    # of the rows that are precise enough the most true positives, then the lowest score with as many
+    most = r.groupBy("variant", "tp").agg(F.min("threshold").alias("t"), F.max((F.col("tp") / F.col("k") >= target_precision).cast("int")).alias("ok"), F.max("_all").alias("_all"))
+    best = most.where("ok = 1").groupBy("variant").agg(F.max(F.struct("tp", "t", "_all")).alias("b"))
+    return best.select("variant", F.col("b.t").alias("threshold"), F.when(F.col("b._all") > 0, F.col("b.tp") / F.col("b._all")).otherwise(1.0).alias("recall"))
+
+
+def decision_table(df: DataFrame, variants: dict[str, str], label: str, target_precision: float) -> DataFrame:
+    """``df`` with a decision column for each score column of ``variants`` (score ->
+    decision): 1 above the score's own threshold for the wanted precision, NULL
+    where no threshold reaches it."""
+    found = {r.variant: r.threshold for r in score_thresholds(df, list(variants), label, target_precision).collect()}
+    for score_col, out in variants.items():
+        t = found.get(score_col)
+        df = df.withColumn(out, F.lit(None).cast("int") if t is None else (F.col(score_col) > F.lit(t)).cast("int"))
+    return df
+
+
 def exact_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly n rows chosen by a seeded hash of ``key`` (top-n by hash:
     per-partition top-n, then one small merge)."""
@@ -95,29 +141,63 @@ def stratified_sample(df: DataFrame, frac: float, stratum: str, key: str, seed:
 
 
 def feature_columns(df: DataFrame, exclude=NON_FEATURES) -> list[str]:
+    """Numeric model inputs of a training table."""
     return [c for c, t in df.dtypes if c not in exclude and t in ("int", "bigint", "double", "float")]
 
 
+CATEGORICAL = ("is_home", "is_weekend")
+
+
 def gbt_pipeline(features: list[str], max_iter: int = 300, max_depth: int = 5, seed: int = 42,
                  label: str = "target", weight: str | None = "sample_weight",
-                 validation_col: str | None = None) -> Pipeline:
+                 validation_col: str | None = None, categorical: tuple | list = ()) -> Pipeline:
     """VectorAssembler + GBTClassifier (row subsampling 0.9, sample weights,
-    optional validation-indicator early stopping)."""
+    optional validation-indicator early stopping). ``categorical`` text columns are
+    indexed; the index's column metadata marks them as nominal, so that trees
+    split them by sets of categories. Categories unseen in training are one more."""
     gbt = GBTClassifier(labelCol=label, featuresCol="_features", maxIter=max_iter,
                         maxDepth=max_depth, subsamplingRate=0.9, seed=seed)
     if weight:
         gbt = gbt.setWeightCol(weight)
     if validation_col:
         gbt = gbt.setValidationIndicatorCol(validation_col)
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="_features",
-                                            handleInvalid="keep"), gbt])
+    indexed = [f"_index_{c}" for c in categorical]
+    index = [StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep",
+                           stringOrderType="alphabetAsc")] if categorical else []
+    return Pipeline(stages=[*index, VectorAssembler(inputCols=[*features, *indexed], outputCol="_features",
+                                                    handleInvalid="keep"), gbt])
+
+
+def train_propensity(rows: DataFrame, n_train: int = 60, n_val: int = 15, target: str = "rh_vs_rest",
+                     max_iter: int = 200, max_depth: int = 6, approximation: int = 4) -> tuple[PipelineModel, DataFrame]:
+    """The training path over a training table: target, split by days, weights of
+    training rows, categorical inputs, boosted trees that stop early on the
+    validation days, and the calibration of their training scores in the same
+    model. Returns (model, all rows with target, split and weight)."""
+    d = add_training_weight(time_split(add_target(rows, target), n_train, n_val))
+    d = cut_lineage(with_categories(d, CATEGORICAL).withColumn("_is_val", F.col("split") == "val"))
+    inputs = [c for c in feature_columns(d) if c not in CATEGORICAL]
+    used = d.where("split <> 'test'")
+    has_val = bool(used.where("_is_val").take(1))
+    trees = gbt_pipeline(inputs, max_iter, max_depth, categorical=CATEGORICAL, validation_col="_is_val" if has_val else None).fit(used)
+    return calibrated(trees, d.where("split = 'train'"), approximation=approximation), d.drop("_is_val")
+
+
+def calibrated(model: PipelineModel, df: DataFrame, label: str = "target", approximation: int = 4,
+               out: str = "calibrated") -> PipelineModel:
+    """``model`` with an isotonic stage behind it, fitted on its scores of ``df``:
+    one object that scores, calibrates, and is saved and loaded as a whole."""
+    from .calibrate import Isotonic
+    iso = Isotonic(0.0, 1.0, True, approximation).fit(score(model, df, "_raw"), "_raw", label)
+    return PipelineModel([*model.stages, iso.stage("probability", out)])
 
 
 def score(model: PipelineModel, df: DataFrame, out: str = "score") -> DataFrame:
     """Probability of class 1 as a plain double column."""
     res = model.transform(df)
     return (res.withColumn(out, vector_to_array("probability")[1])
-               .drop("_features", "rawPrediction", "probability", "prediction"))
+               .drop("_features", "rawPrediction", "probability", "prediction",
+                     *[c for c in res.columns if c.startswith("_index_")]))
 
 
 def feature_importance(model: PipelineModel, features: list[str]) -> DataFrame:

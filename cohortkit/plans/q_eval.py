@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 
 from ..operators import calibrate as CB
 from ..operators import evaluate as EV
+from ..operators import isotonic as ISO
 from ..operators import model as MD
+from ..operators import shapley as SH
 from ..sources.fixtures import Tables
+from .q_dataset import TRAINING_VIEWS, training_body, training_rows_q
+from .q_sessions import BATCH
 from .registry import oracle, register
 
 THRESHOLD = 0.5
@@ -334,21 +338,143 @@ def feature_importance_q(spark, sf):
 
 @register("model_roundtrip", None)
 def model_roundtrip_q(spark, sf):
-    """Boosted-tree pipeline and isotonic calibration saved to the shared
-    checkpoint folder, loaded back and applied to the test split."""
+    """Boosted trees and their calibration as one pipeline model, saved to
+    the shared checkpoint folder, loaded back and applied to the test split."""
     import uuid
     from pyspark.ml import PipelineModel
-    from pyspark.ml.regression import IsotonicRegressionModel
     from ..session import checkpoint_dir
     d, feats = _gbt_data(spark, sf)
-    base = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
-    model = MD.gbt_pipeline(feats, max_iter=10, max_depth=4).fit(d.filter(F.col("split") == "train"))
-    model.write().overwrite().save(f"{base}/gbt")
-    iso = CB.Isotonic(0.0, 1.0, True, approximation=7).fit(d.filter(F.col("split") == "train"))
-    iso.model.write().overwrite().save(f"{base}/isotonic")
-    loaded = PipelineModel.load(f"{base}/gbt")
-    iso2 = CB.Isotonic(0.0, 1.0, True, approximation=7)
-    iso2.model = IsotonicRegressionModel.load(f"{base}/isotonic")
-    scored = MD.score(loaded, d.filter(F.col("split") == "test"), "model_score")
-    return iso2.transform(scored, "model_score", "calibrated").select("o_orderkey", "model_score",
-                                                                     "calibrated")
+    train = d.filter(F.col("split") == "train")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
+    model = MD.calibrated(MD.gbt_pipeline(feats, max_iter=10, max_depth=4).fit(train), train, approximation=4)
+    model.write().overwrite().save(path)
+    scored = MD.score(PipelineModel.load(path), d.filter(F.col("split") == "test"), "model_score")
+    return scored.select("o_orderkey", "model_score", "calibrated")
+
+
+# --- calibration by ranges, decision table --------------------------------------------
+
+_ISO_DIGITS = 2
+
+# isotonic value of each pooled score: the largest, over starts at or before it, of the
+# smallest mean, over ends at or after it
+_ISO_SQL = f"""
+ip AS (SELECT round_even(score * {10 ** _ISO_DIGITS}.0, 0) / {10 ** _ISO_DIGITS}.0 AS x, CAST(sum(target) AS DOUBLE) AS s, count(*) AS n
+       FROM scored GROUP BY 1),
+ic AS (SELECT x, row_number() OVER w AS i, sum(s) OVER w AS cs, sum(n) OVER w AS cn, s, n FROM ip WINDOW w AS (ORDER BY x)),
+im AS (SELECT a.i AS a, b.i AS b, (b.cs - a.cs + a.s) / (b.cn - a.cn + a.n) AS m FROM ic a JOIN ic b ON a.i <= b.i),
+il AS (SELECT a, b, min(m) OVER (PARTITION BY a ORDER BY b ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS m FROM im),
+iso AS (SELECT ic.i, ic.x, max(il.m) AS v FROM ic JOIN il ON il.a <= ic.i AND il.b = ic.i GROUP BY ALL)"""
+
+
+def _iso_grid(spark, sf):
+    s = _scored(spark, sf)
+    return s, CB.Isotonic(0.0, 1.0, True, approximation=_ISO_DIGITS).fit(s, "score", "target")
+
+
+@register("isotonic_by_ranges", oracle(_SC, _ISO_SQL + """
+SELECT x, v AS value FROM iso"""))
+def isotonic_by_ranges_q(spark, sf):
+    """The fit of tie-pooled scores, in batches and small ranges, at each pooled score."""
+    s = _scored(spark, sf)
+    iso = CB.Isotonic(0.0, 1.0, True, approximation=_ISO_DIGITS)
+    for k in range(3):
+        iso.accumulate(s.where(F.pmod(F.xxhash64("sessionuuid"), F.lit(3)) == k))
+    points = iso.state.select("x", (F.col("s") / F.col("n")).alias("y"), F.col("n").cast("double").alias("w"))
+    iso.blocks = ISO.fit_blocks(points, per_task=9)
+    return iso.transform(iso.state.select("x"), "x", "value")
+
+
+_VARIANTS = {"score": "decision", "calibrated": "calibrated_decision", "second": "second_decision", "second_calibrated": "second_calibrated_decision"}
+
+
+def _second_sql() -> str:
+    return "(CAST((CAST(substr(sessionuuid, 2) AS BIGINT) * 31) % 101 AS DOUBLE) / 101 + 3 * score) / 4"
+
+
+def _curve_sql(score: str) -> str:
+    """The fitted curve at a score: linear between the pooled scores around it."""
+    return (f"(SELECT CASE WHEN hi.x IS NULL OR lo.x IS NULL OR hi.x = lo.x THEN coalesce(lo.v, hi.v) "
+            f"ELSE lo.v + (hi.v - lo.v) * ({score} - lo.x) / (hi.x - lo.x) END FROM "
+            f"(SELECT max(x) AS x, max_by(v, x) AS v FROM iso WHERE x <= {score}) lo, (SELECT min(x) AS x, min_by(v, x) AS v FROM iso WHERE x > {score}) hi)")
+
+
+@register("decision_table", oracle(_SC, _ISO_SQL + f""",
+grid AS (SELECT s.sessionuuid, s.target, s.score, {_second_sql()} AS second FROM scored s),
+val AS (SELECT *, {_curve_sql('p.y')} AS v FROM (SELECT DISTINCT y FROM (SELECT score AS y FROM grid UNION ALL SELECT second FROM grid) q) p),
+dt AS (SELECT g.*, a.v AS calibrated, b.v AS second_calibrated FROM grid g JOIN val a ON a.y = g.score JOIN val b ON b.y = g.second),
+lf AS (""" + " UNION ALL ".join(f"SELECT '{v}' AS variant, {v} AS y, target FROM dt" for v in _VARIANTS) + f"""),
+lc AS (SELECT variant, y, sum(target) AS pos, count(*) AS n FROM lf GROUP BY ALL),
+lr AS (SELECT variant, y, sum(pos) OVER w AS tp, sum(n) OVER w AS k, sum(pos) OVER (PARTITION BY variant) AS p
+       FROM lc WINDOW w AS (PARTITION BY variant ORDER BY y DESC)),
+lb AS (SELECT variant, max(tp) AS tp FROM lr WHERE tp / CAST(k AS DOUBLE) >= {TARGET_PRECISION} GROUP BY variant),
+th AS (SELECT variant, min(y) AS t FROM lr JOIN lb USING (variant, tp) GROUP BY variant)
+SELECT sessionuuid, target, score, round(calibrated, 9) AS calibrated, second, round(second_calibrated, 9) AS second_calibrated,
+""" + ", ".join(f"CAST({v} > (SELECT t FROM th WHERE variant = '{v}') AS INTEGER) AS {d}" for v, d in _VARIANTS.items()) + """ FROM dt"""))
+def decision_table_q(spark, sf):
+    """Raw and calibrated scores of two models, each with the decision at its own
+    threshold for the wanted precision."""
+    s, iso = _iso_grid(spark, sf)
+    second = (((F.substring("sessionuuid", 2, 19).cast("long") * 31) % 101).cast("double") / 101 + 3 * F.col("score")) / 4
+    rows = iso.transform(s.select("sessionuuid", "target", "score", second.alias("second")), "score", "calibrated")
+    rows = iso.transform(rows, "second", "second_calibrated")
+    out = MD.decision_table(rows, _VARIANTS, "target", TARGET_PRECISION)
+    return out.withColumns({c: F.round(c, 9) for c in ("calibrated", "second_calibrated")})
+
+
+# --- attribution ----------------------------------------------------------------------
+
+_INPUTS = ("price", "priority", "evening", "load")
+
+
+def _black_box(df):
+    """A score with interactions, standing for any model that adds a column."""
+    z = (F.col("price") * F.col("priority") - 2 * F.col("evening") * F.col("load") + F.col("load") * F.col("load") * F.col("price")) / 4
+    return df.withColumn("score", 1 / (1 + F.exp(-z)))
+
+
+_BOX = "1 / (1 + exp(-(({p}) * ({q}) - 2 * ({e}) * ({l}) + ({l}) * ({l}) * ({p})) / 4))"
+_ATTR_ROWS = """SELECT o_orderkey AS id, o_totalprice / 1e5 AS price, CAST(left(o_orderpriority, 1) AS DOUBLE) AS priority,
+  CAST(CAST(o_orderkey % 24 > 16 AS INTEGER) AS DOUBLE) AS evening, CAST(o_custkey % 7 AS DOUBLE) / 7 AS load FROM orders"""
+_PICK = {"p": "price", "q": "priority", "e": "evening", "l": "load"}
+_MIXED = _BOX.format(**{k: f"CASE WHEN (c.m >> {i}) & 1 = 1 THEN r.{v} ELSE b.{v} END" for i, (k, v) in enumerate(_PICK.items())})
+
+
+@register("shapley_attribution", oracle((), f"""
+ar AS ({_ATTR_ROWS}),
+bg AS (SELECT * FROM ar WHERE id IN (SELECT id FROM ar ORDER BY id LIMIT 10)),
+c AS (SELECT m, CAST(bit_count(m) AS INTEGER) AS k FROM range(16) t(m)),
+v AS (SELECT r.id, c.m, c.k, avg({_MIXED}) AS v FROM ar r CROSS JOIN c CROSS JOIN bg b GROUP BY ALL),
+f AS (SELECT i, name FROM (VALUES (0, 'price'), (1, 'priority'), (2, 'evening'), (3, 'load')) t(i, name)),
+w AS (SELECT k, w FROM (VALUES (0, 0.25), (1, 1 / 12.0), (2, 1 / 12.0), (3, 0.25)) t(k, w))
+SELECT a.id, f.name AS input, round(sum(w.w * (b.v - a.v)), 9) + 0.0 AS attribution
+FROM v a JOIN w ON w.k = a.k JOIN f ON (a.m >> f.i) & 1 = 0 JOIN v b ON b.id = a.id AND b.m = a.m + (1 << f.i) GROUP BY a.id, f.name"""))
+def shapley_attribution_q(spark, sf):
+    """Attribution of a black-box score, all coalitions of four inputs."""
+    o = Tables(spark, sf)["orders"]
+    rows = o.select(F.col("o_orderkey").alias("id"), (F.col("o_totalprice") / 1e5).alias("price"),
+                    F.substring("o_orderpriority", 1, 1).cast("double").alias("priority"),
+                    (F.col("o_orderkey") % 24 > 16).cast("int").cast("double").alias("evening"), ((F.col("o_custkey") % 7).cast("double") / 7).alias("load"))
+    found = SH.shapley_values(rows, ["id"], list(_INPUTS), rows.orderBy("id").limit(10), _black_box, samples=100)
+    return found.select("id", "input", (F.round("attribution", 9) + 0.0).alias("attribution"))
+
+
+# --- training path -------------------------------------------------------------------
+
+_TRAIN_DAYS, _VAL_DAYS = 20, 4
+
+
+@register("propensity_training", oracle(TRAINING_VIEWS, training_body(BATCH) + f""",
+days AS (SELECT valid_date, row_number() OVER (ORDER BY valid_date) AS i FROM (SELECT DISTINCT valid_date FROM trained)),
+sp AS (SELECT t.*, CASE WHEN i <= {_TRAIN_DAYS} THEN 'train' WHEN i <= {_TRAIN_DAYS + _VAL_DAYS} THEN 'val' ELSE 'test' END AS split
+       FROM trained t JOIN days USING (valid_date))
+SELECT split, count(*) AS n_rows, count(*) AS n_scored, count(*) AS n_calibrated, CAST(sum(rh) AS BIGINT) AS positives,
+  sum(CASE WHEN split <> 'train' OR rh = 0 THEN 1.0 WHEN is_trip_ended = 0 THEN 0.5 WHEN is_freq = 0 THEN 0.75 ELSE 1.0 END) AS weight
+FROM sp GROUP BY split"""))
+def propensity_training_q(spark, sf):
+    """Trained on the training table's rows and all of them scored."""
+    model, rows = MD.train_propensity(training_rows_q(spark, sf), _TRAIN_DAYS, _VAL_DAYS)
+    s = MD.score(model, rows)
+    valid = lambda c: F.count(F.when(F.col(c).between(0, 1), 1))
+    return s.groupBy("split").agg(F.count("*").alias("n_rows"), valid("score").alias("n_scored"), valid("calibrated").alias("n_calibrated"),
+                                  F.sum("target").cast("long").alias("positives"), F.sum("sample_weight").alias("weight"))
