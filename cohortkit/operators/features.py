@@ -12,7 +12,11 @@ from ..config import EngineConfig
 from ..functions.geo import location_key
 from ..functions.predicates import nonzero_coords
 from ..functions.timefeat import iso_weekday, local_time
-from .bookings import _dates, as_date, customer_quantiles, fan_out, ride_base_bookings
+from ..session import cut_lineage
+from .bookings import _dates, fan_out
+from .history import quantiles as history_quantiles
+from .history import ride_booking_spans
+from .spans import FROM, TO, by_date, first_spans, spanned
 from .transactions import FOOD_BRANCHES, RIDE_BRANCHES, txn_features
 from .windows import keep_first
 
@@ -113,25 +117,56 @@ def saved_places(T, dates, cfg: EngineConfig, customers: DataFrame,
         .alias("home_work_coords"))
 
 
+def active_bookings(spans: DataFrame, quantiles: DataFrame, percentile: float) -> DataFrame:
+    """Booking spans of customers that are active at any of the dates, with the keys of
+    their places; written, since places and profiles both read them."""
+    ever = quantiles.filter(F.col("quantile") >= percentile).select("customer_id").distinct()
+    cols = [location_key("dropoff_lat", "dropoff_long").alias("dropoff")]
+    if "pickup_lat" in spans.columns:
+        cols.append(location_key("pickup_lat", "pickup_long").alias("pickup"))
+    return cut_lineage(spans.join(ever, "customer_id", "left_semi").select("customer_id", "ts", *cols, FROM, TO))
+
+
+def frequent_places(bookings: DataFrame, quantiles: DataFrame, dates, percentile: float, min_bookings: int, min_places: int) -> DataFrame:
+    """(valid_date, customer_id, locations): places with at least ``min_bookings`` bookings
+    in the date's window, of customers active at the date that have at least
+    ``min_places`` of them. Bookings are summed per place before they meet dates."""
+    places = F.array_distinct(F.array("pickup", "dropoff")) if "pickup" in bookings.columns else F.array("dropoff")
+    spans = bookings.select("customer_id", F.explode(places).alias("location"), FROM, TO)
+    n = by_date(spans, ["customer_id", "location"], dates, out="num_bookings").filter(F.col("num_bookings") >= min_bookings)
+    active = quantiles.filter(F.col("quantile") >= percentile).select("valid_date", "customer_id")
+    return location_map(n.join(active, ["valid_date", "customer_id"], "left_semi"), min_places).drop("n_locations")
+
+
+def profiles(bookings: DataFrame, places: DataFrame, only_frequent: bool) -> DataFrame:
+    """``places`` with week_stats and hour_stats (bookings per ISO weekday and local hour),
+    both from one aggregate. ``only_frequent``: only bookings whose drop-off is one
+    of the date's frequent places count."""
+    grain = ["customer_id", "dropoff", FROM, TO, "_week", "_hour"] if only_frequent else ["customer_id", FROM, TO, "_week", "_hour"]
+    few = bookings.withColumn("_week", iso_weekday("ts")).withColumn("_hour", F.hour("ts")).groupBy(*grain).agg(F.count("*").alias("_n"))
+    j = places.join(few, "customer_id").filter(F.col("valid_date").between(F.col(FROM), F.col(TO)))
+    if only_frequent:
+        j = j.filter(F.map_contains_key("locations", F.col("dropoff")))
+    count = lambda c, k: F.sum(F.when(F.col(c) == k, F.col("_n")))
+    sums = [count("_week", k).alias(f"_w{k}") for k in range(1, 8)] + [count("_hour", k).alias(f"_h{k}") for k in range(24)]
+    per = j.groupBy("valid_date", "customer_id").agg(*sums)
+    as_map = lambda p, ks: F.map_filter(F.map_from_arrays(F.array(*[F.lit(k) for k in ks]), F.array(*[F.col(f"{p}{k}") for k in ks])), lambda k, v: v.isNotNull())
+    return per.select("valid_date", "customer_id", as_map("_w", range(1, 8)).alias("week_stats"), as_map("_h", range(24)).alias("hour_stats"))
+
+
 def ride_features(T, date, cfg: EngineConfig, saved_min_year: int = 2019) -> DataFrame:
-    """Feature row per active ride customer of ``date`` (schema S2, maps kept
+    """Feature row per active ride customer of each date (schema S2, maps kept
     as MapType)."""
-    base = ride_base_bookings(T["trips"], date, cfg)
-    quant = customer_quantiles(base, distinct=False, out_col="num_trips")
-    bookings = keyed_bookings(base, quant, cfg.percentile, with_pickup=True)
-    freq = frequent_locations(bookings, cfg.min_bookings_per_location, with_pickup=True)
-    locmap = location_map(freq, cfg.min_locations_ride)
-    hist = frequent_dropoff_history(bookings, freq, locmap)
-    week, hour = week_profile(hist), hour_profile(hist)
+    base = cut_lineage(ride_booking_spans(T["trips"], date, cfg))
+    quant = history_quantiles(by_date(base, ["customer_id"], date, out="num_trips"), "num_trips")
+    quant = cut_lineage(quant)
+    bookings = active_bookings(base, quant, cfg.percentile)
+    locmap = cut_lineage(frequent_places(bookings, quant, date, cfg.percentile, cfg.min_bookings_per_location, cfg.min_locations_ride))
+    both = profiles(bookings, locmap, only_frequent=True)
     trx = txn_features(T, date, cfg, RIDE_BRANCHES, {"base_bookings": base})
     saved = saved_places(T, date, cfg, locmap.select("valid_date", "customer_id"), saved_min_year)
     k = ["valid_date", "customer_id"]
-    out = (locmap.join(week, k, "left")
-                 .join(hour, k, "left")
-                 .join(trx, k, "left")
-                 .join(quant, k, "left")
-                 .join(saved, k, "left")
-                 .filter(F.col("week_stats").isNotNull() & F.col("hour_stats").isNotNull()))
+    out = locmap.join(both, k).join(trx, k, "left").join(quant, k, "left").join(saved, k, "left")
     return out.select(F.col("valid_date").cast("string").alias("valid_date"),
                       F.lit("rh").alias("service"),
                       "customer_id", "num_trips", "quantile", "trx_amt", "week_stats",
@@ -159,24 +194,33 @@ def food_base_orders(T, date, cfg: EngineConfig) -> DataFrame:
     return o.filter(F.col("ts").isNotNull())
 
 
+def food_order_spans(T, date, cfg: EngineConfig) -> DataFrame:
+    """Delivered food orders of the dates' windows as spans, earliest row first, with
+    local time; orders of other countries than the known ones go."""
+    o = T["mkt_orders"].filter(
+        (F.col("order_status") == "delivered") & (F.col("order_type") == "food")
+        & F.col("country").isin(*cfg.event_countries)
+        & nonzero_coords("drop_off_latitude", "drop_off_longitude")
+        & F.col("order_id").isNotNull())
+    o = spanned(o, "day", date, cfg.history_horizon).withColumnsRenamed(
+        {"order_id": "_order", "drop_off_latitude": "dropoff_lat", "drop_off_longitude": "dropoff_long"})
+    o = first_spans(o, ["customer_id", "_order"], ["booking_creation_timestamp"], ["booking_creation_timestamp", "country", "dropoff_lat", "dropoff_long"], date)
+    o = o.select("customer_id", F.col("_order").alias("booking_id"),
+                 local_time("booking_creation_timestamp", "country", cfg.tz_by_country).alias("ts"), "dropoff_lat", "dropoff_long", FROM, TO)
+    return o.filter(F.col("ts").isNotNull())
+
+
 def food_features(T, date, cfg: EngineConfig) -> DataFrame:
     """Feature row per active food customer (schema S3): drop-off places only,
     at least one frequent place, profiles over all the customer's orders."""
-    base = food_base_orders(T, date, cfg)
-    quant = customer_quantiles(base, distinct=False, out_col="num_orders")
-    bookings = keyed_bookings(base, quant, cfg.percentile, with_pickup=False)
-    freq = frequent_locations(bookings, cfg.min_bookings_per_location, with_pickup=False)
-    locmap = location_map(freq, cfg.min_locations_food)
+    base = cut_lineage(food_order_spans(T, date, cfg))
+    quant = cut_lineage(history_quantiles(by_date(base, ["customer_id"], date, out="num_orders"), "num_orders"))
+    bookings = active_bookings(base, quant, cfg.percentile)
+    locmap = cut_lineage(frequent_places(bookings, quant, date, cfg.percentile, cfg.min_bookings_per_location, cfg.min_locations_food))
     k = ["valid_date", "customer_id"]
-    hist = bookings.join(locmap.select(*k), k, "left_semi")
-    week = week_profile(hist, "week_stats")
-    hour = hour_profile(hist, "hour_stats")
-    trx = txn_features(T, date, cfg, FOOD_BRANCHES,
-                       {"customers": locmap.select(*k), "food_base": base})
-    out = (locmap.join(week, k, "left")
-                 .join(hour, k, "left")
-                 .join(trx, k, "left")
-                 .join(quant, k, "left"))
+    both = profiles(bookings, locmap, only_frequent=False)
+    trx = txn_features(T, date, cfg, FOOD_BRANCHES, {"customers": locmap.select(*k), "food_base": base})
+    out = locmap.join(both, k, "left").join(trx, k, "left").join(quant, k, "left")
     return out.select(F.col("valid_date").cast("string").alias("valid_date"), "customer_id",
                       "num_orders",
                       "quantile", "trx_amt", "week_stats", "hour_stats", "locations")

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..config import EngineConfig
 from ..functions.predicates import strip_suffixes
 from ..session import cut_lineage
-from .bookings import _dates, active_cohort, as_date, fan_out, ride_filters
+from .bookings import _dates, fan_out, ride_filters
+from .history import active_by_distinct_trips
 from .windows import keep_first, percent_rank_by_histogram
 
 SESSION_COLS = ("valid_date", "ts", "sessionuuid", "customer_id", "booking_id", "service_area_id",
@@ -31,7 +32,8 @@ def history_fanout(bookings: DataFrame, dates, horizon: int, day_col: str = "day
 
 def active_cohort_batch(trips: DataFrame, dates, cfg: EngineConfig) -> DataFrame:
     """(valid_date, customer_id) of the active cohort of every date."""
-    return active_cohort(trips, dates, cfg)
+    q = active_by_distinct_trips(trips, dates, cfg)
+    return q.filter(F.col("quantile") >= cfg.percentile).select("valid_date", "customer_id")
 
 
 def percent_rank_by_date(counts: DataFrame, value_col: str) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..config import DAILY_RENTAL_OFF, MONTHLY_RENTAL_OFF, WELLNESS_PATTERNS, EngineConfig
 from ..functions.predicates import null_or_less
 from .bookings import fan_out, ride_base_bookings, ride_filters
+from .history import ride_booking_spans
+from .spans import FROM, TO, by_date, distinct_spans, spanned
 
 TXN_COLS = ("userid", "transaction_id", "service")
 
@@ -25,8 +27,23 @@ class Branch:
     build: Callable  # (tables, date, cfg, ctx) -> DataFrame[TXN_COLS]
 
 
+def _placed(df: DataFrame, day, date, cfg: EngineConfig, ctx: dict) -> DataFrame:
+    """Rows of the history windows: with the span of dates they count for where the
+    caller asks for spans, else copied to each valid date."""
+    return (spanned if ctx.get("spans") else fan_out)(df, day, date, cfg.history_horizon)
+
+
+def _of_customers(df: DataFrame, ctx: dict) -> DataFrame:
+    """Rows of the customers that have frequent places: at the row's date, or (spans)
+    at any date; the feature rows are joined by customer and date later."""
+    if ctx.get("spans"):
+        return df.join(ctx["customers"].select("customer_id").distinct(), "customer_id", "left_semi")
+    return df.join(ctx["customers"], ["valid_date", "customer_id"], "left_semi")
+
+
 def _out(df: DataFrame, user, txn, service) -> DataFrame:
-    return df.select("valid_date", user.cast("long").alias("userid"),
+    when = [c for c in ("valid_date", FROM, TO) if c in df.columns]
+    return df.select(*when, user.cast("long").alias("userid"),
                      txn.cast("string").alias("transaction_id"), service.alias("service"))
 
 
@@ -50,8 +67,7 @@ def _rides_food(T, date, cfg, ctx):
     customers that have frequent places (no intercity/scheduled exclusion)."""
     t = T["trips"].filter(ride_filters(cfg, ended=True, intercity_later=False)
                           & F.col("service_area_id").isin(*cfg.food_service_area_ids))
-    t = fan_out(t, "day", date, cfg.history_horizon)
-    t = t.join(ctx["customers"], ["valid_date", "customer_id"], "left_semi")
+    t = _of_customers(_placed(t, "day", date, cfg, ctx), ctx)
     return _out(t, F.col("customer_id"), F.col("booking_id"), F.lit("ride_hailing")).distinct()
 
 
@@ -74,7 +90,7 @@ def _orders(T, date, cfg, ctx):
     """Delivered marketplace orders, by their booking id."""
     o = T["mkt_orders"].filter(F.col("country").isin(*cfg.event_countries)
                                & (F.lower("order_status") == "delivered"))
-    o = fan_out(o, "day", date, cfg.history_horizon)
+    o = _placed(o, "day", date, cfg, ctx)
     return _out(o, F.col("customer_id"), F.col("booking_id"), order_service())
 
 
@@ -82,15 +98,14 @@ def _orders_but_food(T, date, cfg, ctx):
     """Food program: orders of its customers, food left to the food branch."""
     o = T["mkt_orders"].filter(F.col("country").isin(*cfg.event_countries)
                                & (F.lower("order_status") == "delivered") & (F.col("order_type") != "food"))
-    o = fan_out(o, "day", date, cfg.history_horizon)
-    o = o.join(ctx["customers"], ["valid_date", "customer_id"], "left_semi")
+    o = _of_customers(_placed(o, "day", date, cfg, ctx), ctx)
     return _out(o, F.col("customer_id"), F.col("booking_id"), order_service())
 
 
 def _p2p(T, date, cfg, ctx):
     p = T["p2p"].filter((F.col("transaction_status_id") == 1)
                         & F.col("country").isin(*cfg.event_countries))
-    p = fan_out(p, "day", date, cfg.history_horizon)
+    p = _placed(p, "day", date, cfg, ctx)
     pilots = T["pilot_users"].select("user_id", "cash_out_invite_id")
     p = (p.join(pilots, p.sender_id == pilots.user_id, "left")
           .filter(null_or_less("cash_out_invite_id", 1)))
@@ -98,15 +113,14 @@ def _p2p(T, date, cfg, ctx):
 
 
 def _bills(T, date, cfg, ctx):
-    b = fan_out(T["bills"].filter(F.col("successful_transactions") == 1),
-                "transaction_date", date, cfg.history_horizon)
+    b = _placed(T["bills"].filter(F.col("successful_transactions") == 1), "transaction_date", date, cfg, ctx)
     return _out(b, F.col("customer_id"), F.col("transaction_id"), F.lit("pay_bills"))
 
 
 def _tenant(view, day, keep, txn, service):
     """A partner tenant's branch: its customers get their ids from the map."""
     def build(T, date, cfg, ctx):
-        a = fan_out(T[view].filter(keep()), F.to_date(day), date, cfg.history_horizon)
+        a = _placed(T[view].filter(keep()), F.to_date(day), date, cfg, ctx)
         pm = T["partner_map"]
         j = a.join(pm, a.partner_customer_id == pm.identifier, "inner")
         return _out(j, F.col("sub").cast("long"), F.col(txn), service())
@@ -124,7 +138,7 @@ _laundry = _tenant("partner_txn", "booking_creation_date", lambda: F.lower("orde
 
 
 def _tickets(T, date, cfg, ctx):
-    t = fan_out(T["tickets"].filter(F.lower("order_status") == "success"), "txn_date", date, cfg.history_horizon)
+    t = _placed(T["tickets"].filter(F.lower("order_status") == "success"), "txn_date", date, cfg, ctx)
     return _out(t, F.col("user_id").cast("long"), F.col("order_ref"), F.lit("tickets_and_passes"))
 
 
@@ -132,7 +146,7 @@ def _remittance(T, date, cfg, ctx):
     r = T["remittance"].filter((F.lower("invoice_status") == "paid")
                                & F.lower("status").isin("paid", "completed")
                                & F.col("sender_country").isin("AE", "JO"))
-    r = fan_out(r, F.to_date("created_at"), date, cfg.history_horizon)
+    r = _placed(r, F.to_date("created_at"), date, cfg, ctx)
     return _out(r, F.col("sender_user_id").try_cast("long"), F.col("id"),
                 F.lit("send_abroad_remittance"))
 
@@ -176,8 +190,16 @@ def txn_by_service(txn: DataFrame) -> DataFrame:
 
 
 def txn_features(T, date, cfg: EngineConfig, branches=RIDE_BRANCHES, ctx=None) -> DataFrame:
-    """(customer_id, trx_amt): distinct transactions per service summed per user."""
-    per_service = txn_by_service(transactions(T, date, cfg, branches, ctx))
-    both = per_service.unionByName(bike_branch(T, date, cfg))
-    return (both.groupBy("valid_date", F.col("userid").alias("customer_id"))
-                .agg(F.sum("trx_amt").cast("long").alias("trx_amt")))
+    """(valid_date, customer_id, trx_amt): distinct transactions per service summed per
+    user. Transactions are reduced to distinct ones before they meet the dates.
+    ``ctx['base_bookings']`` and ``ctx['food_base']`` hold spans here."""
+    ctx = {**(ctx or {}), "spans": True}
+    base = ctx.get("base_bookings")
+    if (base is None or FROM not in base.columns) and any(b.build is _rides for b in branches):
+        ctx["base_bookings"] = ride_booking_spans(T["trips"], date, cfg)
+    txn = transactions(T, date, cfg, branches, ctx).filter(F.col("userid").isNotNull())
+    counted = distinct_spans(txn, ["userid", "service"], "transaction_id", date).select("userid", FROM, TO, F.lit(1).cast("long").alias("_w"))
+    b = T["bike_daily"].filter((F.col("trip_cnt") > 0) & F.col("customer_id").isNotNull())
+    bike = spanned(b, "day", date, cfg.history_horizon).select(F.col("customer_id").cast("long").alias("userid"), FROM, TO, F.col("trip_cnt").cast("long").alias("_w"))
+    both = counted.unionByName(bike).withColumnRenamed("userid", "customer_id")
+    return by_date(both, ["customer_id"], date, F.col("_w"), "trx_amt")

@@ -23,8 +23,10 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 EVENT_SHIFT_DAYS = 8217
 
 _DIALECT = {
-    "spark": {"epoch_ms": "unix_millis(CAST({x} AS TIMESTAMP))"},
-    "duckdb": {"epoch_ms": "(epoch_us({x}) // 1000)"},
+    "spark": {"epoch_ms": "unix_millis(CAST({x} AS TIMESTAMP))",
+              "repeat": "explode(CASE WHEN {x} THEN array(0, {n}) ELSE array(0) END)"},
+    "duckdb": {"epoch_ms": "(epoch_us({x}) // 1000)",
+               "repeat": "unnest(CASE WHEN {x} THEN [0, {n}] ELSE [0] END)"},
 }
 
 # Country of a customer / user id: 0 -> UAE, 1 -> Jordan, 2 -> outside.
@@ -76,13 +78,10 @@ FROM {{orders}} o JOIN {{customer}} c ON o.o_custkey = c.c_custkey
            lon0=_f(_LON0, k="c.c_nationkey"), area=_f(_SERVICE_AREA, k="o.o_orderkey"))
 
 VIEWS["trips"] = (("orders", "customer"), f"""
-SELECT * FROM ({_trips_base}) b
-UNION ALL
-SELECT booking_id, customer_id, booking_creation_date + INTERVAL 3 MINUTE, day, booking_country,
-       cct_name, is_trip_ended, is_intercity, is_later, pickup_lat, pickup_long, dropoff_lat,
+SELECT booking_id, customer_id, booking_creation_date + INTERVAL 1 MINUTE * late AS booking_creation_date, day,
+       booking_country, cct_name, is_trip_ended, is_intercity, is_later, pickup_lat, pickup_long, dropoff_lat,
        dropoff_long, booking_platform, business_type, service_area_id
-FROM ({_trips_base}) d
-WHERE booking_id % 23 = 0
+FROM (SELECT b.*, {{rows_of_trip}} AS late FROM ({_trips_base}) b) d
 """)
 
 _COUNTRY_NAME = ("CASE t.booking_country WHEN 'UAE' THEN 'United Arab Emirates' "
@@ -107,14 +106,10 @@ SELECT 'S' || CAST(t.customer_id AS STRING) || '-' || CAST(t.day AS STRING) AS s
        t.day AS date
 FROM {{trips}} t
 """
-_be_ts0 = "t.booking_creation_date - INTERVAL 1 MINUTE * (t.booking_id % 7)"
-_be_ts1 = "t.booking_creation_date - INTERVAL 1 MINUTE * (t.booking_id % 7) + INTERVAL 1 MINUTE"
+_be_ts = "t.booking_creation_date - INTERVAL 1 MINUTE * (t.booking_id % 7) + INTERVAL 1 MINUTE * t.flip"
 
-VIEWS["booking_events"] = (("trips",), (
-    _be.format(country=_COUNTRY_NAME, flip=0, epoch="{epoch_ms0}")
-    + " UNION ALL "
-    + _be.format(country=_COUNTRY_NAME, flip=1, epoch="{epoch_ms1}")
-    + " WHERE t.booking_id % 9 = 0"))
+VIEWS["booking_events"] = (("trips",), _be.format(country=_COUNTRY_NAME, flip="t.flip", epoch="{epoch_ms0}").replace(
+    "FROM {trips} t", "FROM (SELECT r.*, {rows_of_event} AS flip FROM {trips} r) t"))
 
 # super-app events, derived from the event log, shifted onto the booking days
 _shift = f"e.ts - INTERVAL {EVENT_SHIFT_DAYS} DAY"
@@ -298,8 +293,9 @@ def _render(name: str, dialect: str) -> str:
     deps, text = VIEWS[name]
     d = _DIALECT[dialect]
     slots = {
-        "epoch_ms0": d["epoch_ms"].format(x=_be_ts0),
-        "epoch_ms1": d["epoch_ms"].format(x=_be_ts1),
+        "epoch_ms0": d["epoch_ms"].format(x=_be_ts),
+        "rows_of_trip": d["repeat"].format(x="b.booking_id % 23 = 0", n=3),
+        "rows_of_event": d["repeat"].format(x="r.booking_id % 9 = 0", n=1),
         "epoch_ms_e": d["epoch_ms"].format(x=_shift),
     }
     for k, v in slots.items():
