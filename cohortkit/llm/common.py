@@ -47,7 +47,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` made and nothing reads any more, and lets the
+    driver drop the shuffles behind them."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    spark._jvm.System.gc()  # shuffle files go once their plans are collected
 
 
 def ascii_lower(c: Column) -> Column:

@@ -11,14 +11,13 @@ agrees with each smaller or equal partner in one non-zero block exactly
 (pigeonhole); blocks meet in a shuffle by (band, block, word). Texts near a
 band's upper end are also sketched for the next band. Bands have more
 blocks than that needs, so linked texts agree in many, and each text may leave
-out some: the words with the fewest bits, which unrelated texts share most, and
-of the rest those of the largest buckets.
+out some: the words with the fewest bits, which unrelated texts share most.
 Sets of fewer than ``SMALL`` elements, and bands in which some text has too few
 non-zero blocks, meet by the smallest hashes of which linked sets share one.
 
 Equal sets are one node. A bucket of up to ``FEW`` nodes gives all its pairs;
-in a larger one each node is paired with the bucket's first and its
-predecessor, and once these are verified and joined to components, only nodes
+in a larger one each node is paired with the bucket's first, and once these are
+verified and joined to components, only nodes
 of a bucket still in different components are compared, by the Hamming distance
 of sketches of the whole sets, in blocks of ``BLOCK``. All pairs that this
 distance leaves open are verified on the whole sets. So every link between different texts is either
@@ -39,18 +38,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import hash_words, join_on, mix64, words, written
+from .common import discard, hash_words, join_on, mix64, words, written
 
 SHINGLE = 5
 SMALL = 48
 RATIO = 1.6
 SPARE = 0.1
-FEW = 8
+FEW = 4
 BLOCK = 2048
-#: Bucket sizes beyond this count as equal.
-MOST = 100_000
+#: A bucket of more nodes passes through its task in parts.
+PART = 100_000
 #: Bits of the filter that keeps sets of nodes without a candidate from being shuffled.
 FILTER_BITS = 1 << 26
 _C = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -153,11 +151,10 @@ def spare(s: np.ndarray) -> int:
     return int(np.count_nonzero(sketch(s, band_of(len(s))))) - 2 * len(s) // 9
 
 
-def left_out(least: int) -> tuple[int, int]:
-    """Of a band's least spare: keys a set leaves out by the bits of their words,
-    and then by the size of their buckets. One key remains that linked sets share."""
-    by_bits = (least - 1) // 2
-    return by_bits, least - 1 - by_bits
+def left_out(least: int) -> int:
+    """Of a band's least spare: keys that a set leaves out, those whose words have the
+    fewest bits. One key remains that linked sets share."""
+    return least - 1
 
 
 def keys_of(s: np.ndarray, spares: dict[int, int]) -> np.ndarray:
@@ -178,7 +175,7 @@ def keys_of(s: np.ndarray, spares: dict[int, int]) -> np.ndarray:
             w = sketch(s, b)
             at = np.flatnonzero(w)
             key = mix64(w[at] + mix64((at.astype(np.uint64) << np.uint64(8)) + np.uint64(b + 1))) & ~np.uint64(63) | np.uint64(b + 1)
-            out.append(key[np.lexsort((key, np.bitwise_count(w[at])))[left_out(spares[b])[0]:]])
+            out.append(key[np.lexsort((key, np.bitwise_count(w[at])))[left_out(spares[b]):]])
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
@@ -240,96 +237,61 @@ def _runs(key: np.ndarray, node: np.ndarray, few: int) -> tuple[list, list, list
             for j in range(i + 1, g):
                 a.append(node[at + i])
                 b.append(node[at + j])
-    for s, g in zip(start[size > few], size[size > few]):
-        own = node[s:s + g]
-        a += [np.full(g - 1, own[0]), own[1:-1]]
-        b += [own[1:], own[2:]]
-        big.append((np.full(g, key[s]), own))
+    large = np.repeat(size > few, size)
+    if large.any():
+        first = np.repeat(node[start], size)
+        rest = large & (node != first)
+        a.append(first[rest])
+        b.append(node[rest])
+        big.append((key[large], node[large]))
     return a, b, big
 
 
-def shared(rows: DataFrame) -> DataFrame:
-    """(key, node, size) of buckets with two nodes or more; a size over MOST is MOST."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, node, hot = np.empty(0, np.int64), np.empty(0, np.int64), None
-
-        def out(k, n, most=None):
-            start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-            size = np.diff(np.r_[start, len(k)])
-            size = np.repeat(size if most is None else np.full(len(size), most), size)
-            keep = size > 1
-            return pa.RecordBatch.from_arrays([pa.array(k[keep]), pa.array(n[keep]), pa.array(size[keep])], names=["key", "node", "size"])
-
-        for batch in batches:
-            key, node = np.r_[key, batch.column(0).to_numpy()], np.r_[node, batch.column(1).to_numpy()]
-            new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
-            key, node = key[new], node[new]
-            if hot is not None:  # the rest of a bucket of MOST nodes or more
-                end = int(np.searchsorted(key, hot, side="right"))
-                if end:
-                    yield out(key[:end], node[:end], MOST)
-                key, node, hot = key[end:], node[end:], hot if end == len(key) else None
-            if len(key):
-                last = int(np.searchsorted(key, key[-1]))
-                if last:
-                    yield out(key[:last], node[:last])
-                    key, node = key[last:], node[last:]
-                if len(key) >= MOST:
-                    yield out(key, node, MOST)
-                    hot, key, node = int(key[-1]), key[:0], node[:0]
-        if len(key):
-            yield out(key, node)
-
-    return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "key long, node long, size long")
-
-
-def rarer(rows: DataFrame, spares: dict[int, int]) -> DataFrame:
-    """The shared keys without the largest buckets that each node may leave out."""
-    band = (F.col("key").bitwiseAND(F.lit(63)) - 1).cast("int")
-    drop = F.lit(0)
-    for b, least in spares.items():
-        if least >= 1:
-            drop = F.when(F.col("band") == b, left_out(least)[1]).otherwise(drop)
-    w = Window.partitionBy("node", "band").orderBy(F.desc("size"), "key")
-    rows = rows.withColumn("band", band).withColumn("at", F.row_number().over(w))
-    return rows.where(F.col("at") > drop).select("key", "node")
-
-
 _KIND = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64())])
 
 
-def candidates(docs: DataFrame, spares: dict[int, int], few: int = FEW) -> DataFrame:
-    """kind 0: pairs a < b of nodes; kind 1: members (key, node) of large buckets."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, node = np.empty(0, np.int64), np.empty(0, np.int64)
-
-        def out(k, n):
-            a, b, big = _runs(k, n, few)
-            if a:
-                x, y = np.concatenate(a), np.concatenate(b)
-                pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(pairs.shape[1], np.int8)), pa.array(pairs[0]), pa.array(pairs[1])], schema=_KIND)
-            if big:
-                x, y = (np.concatenate([m[i] for m in big]) for i in (0, 1))
-                yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(x), np.int8)), pa.array(x), pa.array(y)], schema=_KIND)
-
-        for batch in batches:
-            key = np.r_[key, batch.column(0).to_numpy()]
-            node = np.r_[node, batch.column(1).to_numpy()]
-            new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
-            key, node = key[new], node[new]
+def in_runs(batches: Iterator[pa.RecordBatch], few: int, part: int) -> Iterator[pa.RecordBatch]:
+    """Candidates from batches of (key, node) that are sorted by both. Of a bucket of
+    ``part`` nodes or more the rest follows as members of the same large bucket."""
+    key, node, going = np.empty(0, np.int64), np.empty(0, np.int64), None
+
+    def out(a, b, big):
+        if a:
+            x, y = np.concatenate(a), np.concatenate(b)
+            pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(pairs.shape[1], np.int8)), pa.array(pairs[0]), pa.array(pairs[1])], schema=_KIND)
+        if big:
+            x, y = (np.concatenate([m[i] for m in big]) for i in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(x), np.int8)), pa.array(x), pa.array(y)], schema=_KIND)
+
+    for batch in batches:
+        key = np.r_[key, batch.column(0).to_numpy()]
+        node = np.r_[node, batch.column(1).to_numpy()]
+        new = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
+        key, node = key[new], node[new]
+        if going is not None:  # (key, first node, last node) of a bucket that has begun
+            end = int(np.searchsorted(key, going[0], side="right"))
+            rest = node[:end][node[:end] != going[2]]
+            if len(rest):
+                yield from out([np.full(len(rest), going[1])], [rest], [(np.full(len(rest), going[0]), rest)])
+                going = (*going[:2], int(rest[-1]))
+            key, node, going = key[end:], node[end:], None if end < len(key) else going
+        if len(key):
             last = int(np.searchsorted(key, key[-1]))  # the last bucket may go on in the next batch
             if last:
-                yield from out(key[:last], node[:last])
+                yield from out(*_runs(key[:last], node[:last], few))
                 key, node = key[last:], node[last:]
-            elif len(key) > 100_000:  # part of a bucket larger than that: its first and last stay
-                yield from out(key, node)
-                key, node = key[[0, -1]], node[[0, -1]]
-        if len(key):
-            yield from out(key, node)
+            if len(key) >= max(part, few + 1):
+                yield from out(*_runs(key, node, few))
+                going, key, node = (int(key[0]), int(node[0]), int(node[-1])), key[:0], node[:0]
+    if len(key):
+        yield from out(*_runs(key, node, few))
 
-    rows = rarer(shared(buckets(docs, spares)), spares)
-    return rows.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "kind tinyint, a long, b long")
+
+def candidates(docs: DataFrame, spares: dict[int, int], few: int = FEW, part: int = PART) -> DataFrame:
+    """kind 0: pairs a < b of nodes; kind 1: members (key, node) of large buckets."""
+    rows = buckets(docs, spares).repartition("key").sortWithinPartitions("key", "node")
+    return rows.mapInArrow(lambda batches: in_runs(batches, few, part), "kind tinyint, a long, b long")
 
 
 def _filter_of(nodes: DataFrame) -> np.ndarray:
@@ -404,7 +366,9 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     open_ = written(open_, "jaccard-open")
     asked = open_.select(F.col("a").alias("node")).unionByName(open_.select(F.col("b").alias("node"))).distinct()
     sets = whole_sets(docs, asked)
-    return written(_with_both(open_, sets).select("a", "b", "a_hashes", "b_hashes").mapInArrow(exact, "a long, b long"), "jaccard-links")
+    links = written(_with_both(open_, sets).select("a", "b", "a_hashes", "b_hashes").mapInArrow(exact, "a long, b long"), "jaccard-links")
+    discard(open_)
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -476,14 +440,17 @@ def link(docs: DataFrame, rows: DataFrame, few: int = FEW) -> DataFrame:
     found = written(candidates(docs, spares, few), "jaccard-candidates")
     nodes = written(rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("fold").alias("fold")), "jaccard-nodes")
     links = verified(docs, found.where("kind = 0").select("a", "b").distinct(), nodes)
-    large = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
+    large = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
     if not large.take(1):
+        discard(found)
         return links
     labels = written(components(links), "jaccard-labels")
     large = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = large.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    large = written(large.join(open_, "key").join(nodes, "node"), "jaccard-large")
-    more = written(_crossing(large), "jaccard-crossing")
+    large = written(large.join(open_, "key"), "jaccard-large")
+    discard(found, labels)
+    more = written(_crossing(large.join(nodes, "node")), "jaccard-crossing")
+    discard(large)
     return links.unionByName(verified(docs, more, nodes)) if more.take(1) else links
 
 

@@ -103,3 +103,40 @@ def test_repeats_nulls_empty(spark):
     assert sorted(got, key=str) == sorted([(5, 2, 2), (5, 2, 2), (None, 2, 2), (2, 2, 2), (None, 1, None)], key=str)
     empty = spark.createDataFrame([], SCHEMA)
     assert jaccard.op8(empty).count() == 0 and jaccard.kept(empty).count() == 0
+
+
+@pytest.mark.parametrize("part", [1, 3, 6, 100])
+def test_a_bucket_that_passes_in_parts_loses_no_member(part):
+    """Sizes around the part's, also with few nodes after it, in batches of any size."""
+    import pyarrow as pa
+    rnd = np.random.default_rng(part)
+    sizes = [1, 2, 3, 4, 5, 6, 7, 8, 9, 13, 20, 3, 2, 1, 40]
+    key = np.repeat(np.arange(len(sizes)), sizes)
+    node = np.concatenate([np.sort(rnd.choice(1000, n, replace=False)) for n in sizes])
+    twice = np.sort(np.r_[np.arange(len(key)), rnd.integers(0, len(key), 30)])  # repeated rows
+    for step in (1, 2, 5, 1000):
+        rows = [pa.RecordBatch.from_arrays([pa.array(key[twice][k:k + step]), pa.array(node[twice][k:k + step])], names=["key", "node"]) for k in range(0, len(twice), step)]
+        got = [(k, a, b) for t in jaccard.in_runs(iter(rows), 3, part) for k, a, b in zip(*(c.to_pylist() for c in t.columns))]
+        members = sorted((a, b) for k, a, b in got if k == 1)
+        assert members == sorted((int(x), int(y)) for x, y in zip(key, node) if sizes[x] > 3)
+        pairs = {(a, b) for k, a, b in got if k == 0}
+        for g, n in enumerate(sizes):
+            own = node[key == g].tolist()
+            want = {(a, b) for a in own for b in own if a < b} if n <= 3 else {(own[0], b) for b in own[1:]}
+            assert want <= pairs
+
+
+def test_large_groups_in_parts_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    real = jaccard.candidates
+    monkeypatch.setattr(jaccard, "candidates", lambda docs, spares, few: real(docs, spares, few, 5))
+    rnd = random.Random(3)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(60):  # near copies, and texts that share a long passage only
+        c = list(base) if i % 2 else base[:90] + [f"u{i}x{k}" for k in range(210)]
+        for _ in range(rnd.randrange(4)):
+            c[rnd.randrange(len(c))] = f"e{rnd.randrange(10 ** 6)}"
+        rows.append((i, " ".join(c)))
+    df = spark.createDataFrame([(d, t, 1, 2, 3) for d, t in rows], SCHEMA)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.op8(df, 2).collect()) == brute(rows)
