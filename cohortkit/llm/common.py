@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -53,13 +54,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes tables that ``written`` made and nothing reads any more, and lets the
-    driver drop the shuffles behind them."""
+    """Deletes tables that ``written`` made and nothing reads any more. The driver
+    drops the shuffle files of plans that are gone, too, once it has collected them."""
+    spark = SparkSession.getActiveSession()
     for t in tables:
-        spark = t.sparkSession
         path = spark._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    spark._jvm.System.gc()  # shuffle files go once their plans are collected
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def ascii_lower(c: Column) -> Column:

@@ -126,9 +126,9 @@ def sketch(s: np.ndarray, band: int) -> np.ndarray:
 
 def fold(s: np.ndarray) -> np.ndarray:
     """Parity sketch of the whole set in words of 64 bits: a power of two of
-    bits, twice the set's size at least. Halves XORed give the sketch of half
+    bits, the set's size at least. Halves XORed give the sketch of half
     as many bits, so sets of different sizes compare."""
-    bits = max(512, 1 << (2 * len(s) - 1).bit_length())
+    bits = max(256, 1 << (len(s) - 1).bit_length())
     out = np.zeros(bits // 64, np.uint64)
     g = mix64(s ^ _C[4])
     np.bitwise_xor.at(out, ((g >> np.uint64(6)) & np.uint64(len(out) - 1)).astype(np.int64), np.uint64(1) << (g & np.uint64(63)))
@@ -364,6 +364,7 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     open_ = _with_both(pairs, nodes).select("a", "b", "a_n", "a_fold", "b_n", "b_fold").mapInArrow(possible, "a long, b long")
     open_ = written(open_, "jaccard-open")
+    discard()
     asked = open_.select(F.col("a").alias("node")).unionByName(open_.select(F.col("b").alias("node"))).distinct()
     sets = whole_sets(docs, asked)
     links = written(_with_both(open_, sets).select("a", "b", "a_hashes", "b_hashes").mapInArrow(exact, "a long, b long"), "jaccard-links")
@@ -403,34 +404,91 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 
 
+class Folds:
+    """Sketches of some rows, as matrices by length; shorter ones come from halving."""
+
+    def __init__(self, folds: list[bytes]):
+        self.size = np.array([len(f) // 8 for f in folds], np.int64)
+        self.at, self.rows = np.zeros(len(folds), np.int64), {}
+        for w in np.unique(self.size):
+            own = np.flatnonzero(self.size == w)
+            self.at[own] = np.arange(len(own))
+            self.rows[int(w)] = np.frombuffer(b"".join(folds[k] for k in own), np.uint64).reshape(len(own), w)
+        self.made: dict[tuple[int, int], np.ndarray] = {}
+
+    def shrunk(self, own: int, w: int) -> np.ndarray:
+        if own == w:
+            return self.rows[own]
+        if (own, w) not in self.made:
+            f = self.rows[own]
+            while f.shape[1] > w:
+                f = f[:, :f.shape[1] // 2] ^ f[:, f.shape[1] // 2:]
+            self.made[own, w] = f
+        return self.made[own, w]
+
+    def distance(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.empty(len(a), np.int64)
+        for u in np.unique(self.size[a]):
+            for v in np.unique(self.size[b]):
+                w = int(min(u, v))
+                pick = np.flatnonzero((self.size[a] == u) & (self.size[b] == v))
+                f, g = self.shrunk(int(u), w), self.shrunk(int(v), w)
+                for k in range(0, len(pick), max(1, (1 << 21) // w)):
+                    part = pick[k:k + max(1, (1 << 21) // w)]
+                    out[part] = np.bitwise_count(f[self.at[a[part]]] ^ g[self.at[b[part]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _crossing_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Pairs of different labels that the sketches leave open, of whole groups
+    (key, i, j); a group of two parts compares rows of one with the other's."""
+    key, i, j, part, node, label, n = (t.column(c).to_numpy() for c in ("key", "i", "j", "part", "node", "label", "n"))
+    folds = Folds(t.column("fold").to_pylist())
+    new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+    end = np.repeat(np.r_[new[1:], len(key)], np.diff(np.r_[new, len(key)]))
+    partners = end - np.arange(len(key)) - 1
+    done, at = np.cumsum(partners), 0
+    while at < len(key):
+        upto = max(at + 1, int(np.searchsorted(done, (done[at - 1] if at else 0) + (1 << 20), side="right")))
+        rows = np.arange(at, upto)
+        x = np.repeat(rows, partners[rows])
+        y = x + 1 + np.arange(len(x)) - np.repeat(np.cumsum(partners[rows]) - partners[rows], partners[rows])
+        at = upto
+        ok = (label[x] != label[y]) & ((i[x] == j[x]) | (part[x] != part[y])) & (5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y]))
+        x, y = x[ok], y[ok]
+        ok = _near(n[x], n[y], folds.distance(x, y))
+        if ok.any():
+            pairs = np.unique(np.stack([np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
 def _crossing(unresolved: DataFrame) -> DataFrame:
-    """Pairs of different labels within a large bucket that the sketches leave open."""
-    def compare(key, t):
-        i, j = key[1].as_py(), key[2].as_py()
-        part = t.column("part").to_numpy()
-        node, label, n = (t.column(c).to_numpy() for c in ("node", "label", "n"))
-        folds = [np.frombuffer(v, np.uint64) for v in t.column("fold").to_pylist()]
-        least = min(map(len, folds))
-        folds = np.stack([halved(f, least) for f in folds])
-        x, y = np.flatnonzero(part == i), np.flatnonzero(part == j)
-        a, b = [], []
-        step = max(1, (1 << 22) // max(1, folds[y].size))
-        for at in range(0, len(x), step):
-            p = x[at:at + step]
-            d = np.bitwise_count(folds[p][:, None, :] ^ folds[y]).sum(axis=-1, dtype=np.int64)
-            ok = _near(n[p][:, None], n[y], d) & (label[p][:, None] != label[y])
-            if i == j:
-                ok &= node[p][:, None] < node[y]
-            r, c = np.nonzero(ok)
-            a.append(np.minimum(node[p[r]], node[y[c]]))
-            b.append(np.maximum(node[p[r]], node[y[c]]))
-        return pa.table({"a": pa.array(np.concatenate(a) if a else [], pa.int64()), "b": pa.array(np.concatenate(b) if b else [], pa.int64())})
+    """Pairs of different labels within a large bucket that the sketches leave open.
+    Buckets are compared in blocks, many small ones of a task together."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for b in batches:
+            held.append(b)
+            size += b.num_rows
+            if size < 20_000:
+                continue
+            t = pa.Table.from_batches(held)
+            last = [t.column(c)[-1].as_py() for c in ("key", "i", "j")]
+            key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
+            cut = int(np.argmax((key == last[0]) & (i == last[1]) & (j == last[2])))  # the last group may go on
+            if cut:
+                yield from _crossing_pairs(t.slice(0, cut))
+                held, size = t.slice(cut).to_batches(), t.num_rows - cut
+        if size:
+            yield from _crossing_pairs(pa.Table.from_batches(held))
 
     sized = unresolved.join(unresolved.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "key")
     placed = sized.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pairs = pairs.withColumn("i", F.least("part", "other")).withColumn("j", F.greatest("part", "other"))
-    return pairs.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    pairs = pairs.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "label", "n", "fold")
+    dealt = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def link(docs: DataFrame, rows: DataFrame, few: int = FEW) -> DataFrame:
@@ -438,6 +496,7 @@ def link(docs: DataFrame, rows: DataFrame, few: int = FEW) -> DataFrame:
     what they connect. ``rows``: members(docs)."""
     spares = {r.band: r.spare for r in rows.where("band is not null").groupBy("band").agg(F.min("spare").alias("spare")).collect()}
     found = written(candidates(docs, spares, few), "jaccard-candidates")
+    discard()
     nodes = written(rows.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("fold").alias("fold")), "jaccard-nodes")
     links = verified(docs, found.where("kind = 0").select("a", "b").distinct(), nodes)
     large = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
