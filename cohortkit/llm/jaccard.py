@@ -16,8 +16,8 @@ Sets of fewer than ``SMALL`` elements, and bands in which some text has too few
 non-zero blocks, meet by the smallest hashes of which linked sets share one.
 
 Equal sets are one node. A bucket of up to ``FEW`` nodes gives all its pairs;
-in a larger one each node is paired with the bucket's first, and once these are
-verified and joined to components, only nodes
+in a larger one (of sets with many keys: in one of four) each node is paired with
+the bucket's first, and once these are verified and joined to components, only nodes
 of a bucket still in different components are compared, by the Hamming distance
 of sketches of the whole sets, in blocks of ``BLOCK``. All pairs that this
 distance leaves open are verified on the whole sets. So every link between different texts is either
@@ -47,6 +47,7 @@ RATIO = 1.6
 SPARE = 0.1
 FEW = 4
 BLOCK = 2048
+STARRED_BANDS = 2
 #: A bucket of more nodes passes through its task in parts.
 PART = 100_000
 #: Bits of the filter that keeps sets of nodes without a candidate from being shuffled.
@@ -226,6 +227,12 @@ def buckets(docs: DataFrame, spares: dict[int, int]) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "key long, node long")
 
 
+def starred(key: np.ndarray) -> np.ndarray:
+    """Whether a large bucket pairs its members with its first: all buckets of small
+    sets, and one in four of sets that have many keys. Others compare what is left."""
+    return ((key & 63) <= STARRED_BANDS) | (mix64(key.view(np.uint64)) & np.uint64(3) == 0)
+
+
 def _runs(key: np.ndarray, node: np.ndarray, few: int) -> tuple[list, list, list]:
     """Pairs (a, b) and members (key, node) of large buckets from sorted distinct rows."""
     start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -240,7 +247,7 @@ def _runs(key: np.ndarray, node: np.ndarray, few: int) -> tuple[list, list, list
     large = np.repeat(size > few, size)
     if large.any():
         first = np.repeat(node[start], size)
-        rest = large & (node != first)
+        rest = large & (node != first) & starred(key)
         a.append(first[rest])
         b.append(node[rest])
         big.append((key[large], node[large]))
@@ -273,7 +280,8 @@ def in_runs(batches: Iterator[pa.RecordBatch], few: int, part: int) -> Iterator[
             end = int(np.searchsorted(key, going[0], side="right"))
             rest = node[:end][node[:end] != going[2]]
             if len(rest):
-                yield from out([np.full(len(rest), going[1])], [rest], [(np.full(len(rest), going[0]), rest)])
+                star = rest[starred(np.full(len(rest), going[0]))]
+                yield from out([np.full(len(star), going[1])], [star], [(np.full(len(rest), going[0]), rest)])
                 going = (*going[:2], int(rest[-1]))
             key, node, going = key[end:], node[end:], None if end < len(key) else going
         if len(key):
