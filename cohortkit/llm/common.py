@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -60,8 +61,10 @@ def discard(*tables: DataFrame) -> None:
     for t in tables:
         path = spark._jvm.org.apache.hadoop.fs.Path(t._scratch_path)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    spark._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)  # the cleaner works on its own thread
 
 
 def ascii_lower(c: Column) -> Column:

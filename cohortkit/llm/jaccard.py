@@ -515,6 +515,7 @@ def link(docs: DataFrame, rows: DataFrame, few: int = FEW) -> DataFrame:
     large = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = large.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     large = written(large.join(open_, "key"), "jaccard-large")
+    open_ = None
     discard(found, labels)
     more = written(_crossing(large.join(nodes, "node")), "jaccard-crossing")
     discard(large)
