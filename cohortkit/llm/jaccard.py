@@ -470,9 +470,10 @@ def _crossing_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
 
-def _crossing(unresolved: DataFrame) -> DataFrame:
+def _crossing(unresolved: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs of different labels within a large bucket that the sketches leave open.
-    Buckets are compared in blocks, many small ones of a task together."""
+    Buckets are compared in blocks, many small ones of a task together; sketches
+    join the members once these are dealt to blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
@@ -494,8 +495,8 @@ def _crossing(unresolved: DataFrame) -> DataFrame:
     sized = unresolved.join(unresolved.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "key")
     placed = sized.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pairs = pairs.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "label", "n", "fold")
-    dealt = pairs.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    pairs = pairs.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "label")
+    dealt = pairs.join(nodes, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -517,7 +518,7 @@ def link(docs: DataFrame, rows: DataFrame, few: int = FEW) -> DataFrame:
     large = written(large.join(open_, "key"), "jaccard-large")
     open_ = None
     discard(found, labels)
-    more = written(_crossing(large.join(nodes, "node")), "jaccard-crossing")
+    more = written(_crossing(large, nodes), "jaccard-crossing")
     discard(large)
     return links.unionByName(verified(docs, more, nodes)) if more.take(1) else links
 
