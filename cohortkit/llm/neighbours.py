@@ -12,9 +12,9 @@ query's nearest found, with exact distances on the original vectors.
 Every row is indexed. Equal vectors are one entry of which the ``NEAREST`` + 1
 smallest ids stand for all: no more of them can be among a query's nearest. A
 bucket meets its queries in blocks of at most ``BLOCK`` rows and ``BLOCK``
-queries. Tables of up to ``EXACT`` distinct vectors are one bucket, and a query
-that found fewer than ``NEAREST`` meets all vectors of its length, in the same
-blocks, so no query lacks neighbours that exist. Recall against brute force on the test
+queries. Tables of every size are hashed; a query that found fewer than
+``NEAREST`` meets all vectors of its length, in the same blocks, so no query
+lacks neighbours that exist. Recall against brute force on the test
 tables is given in the README.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
@@ -40,7 +40,6 @@ from .common import join_on, mix64, written
 
 TABLES, FUNCTIONS, WIDTH, SHIFT, PROBES = 6, 6, 1.5, 2, 100
 NEAREST = 10
-EXACT = 2000
 BLOCK = 4096
 EVERY = 100
 
@@ -94,11 +93,11 @@ def _keyed(rows: DataFrame, width: float, probing: bool) -> DataFrame:
                 b = whole.slice(at, 256)
                 for rows_at, x in _stack(b):
                     ids = b.column(0).to_numpy()[rows_at]
-                    for t in range(TABLES if width else 1):
+                    for t in range(TABLES):
                         a, shift = functions_of(x.shape[1], t)
-                        p = x @ a / width + shift if width else np.zeros((len(x), FUNCTIONS))
+                        p = x @ a / width + shift
                         cell = np.floor(p)
-                        if not probing or not width:
+                        if not probing:
                             key, n = bucket_key(cell, x.shape[1], t), 1
                         else:
                             key, n = _probes(p - cell, cell.astype(np.int64), offsets, x.shape[1], t)
@@ -177,12 +176,9 @@ def search(rows: DataFrame, queries: DataFrame) -> DataFrame:
     base = written(representatives(vectors(rows)), "lsh-vectors")
     asked = written(vectors(queries).dropDuplicates(["vec_id", "embedding"]), "lsh-queries")
     square = F.aggregate("embedding", F.lit(0.0), lambda acc, x: acc + x * x)
-    size = base.agg(F.count("*").alias("n"), F.avg(square).alias("s")).first()
-    width = WIDTH * math.sqrt(size.s) if size.n > EXACT else 0.0
+    width = WIDTH * math.sqrt(base.agg(F.avg(square)).first()[0] or 1.0)
     index = _keyed(base, width, False)
     best = written(_best(_scan(index, _keyed(asked, width, True))), "lsh-found")
-    if not width:
-        return best.select("query_id", "rank", "vec_id", "score")
     few = asked.join(best.where(F.col("rank") == NEAREST).select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")
     if few.take(1):  # the length is the key: blocks of its rows meet blocks of its queries
         by_length = [F.size("embedding").cast("long").alias("key"), F.col("vec_id").alias("id"), F.col("embedding").alias("x")]
