@@ -26,7 +26,8 @@ the copy. So a row's expected words are those its blocks took, and a source's
 words stay within about the largest text a chunk of what was drawn.
 
 Defined results: a null or empty text has size 0 and is never taken; rows
-alike in id, source and text share what they take evenly; all draws depend on
+alike in id, source and text share the whole copies they take evenly (what their
+blocks took may differ by row); all draws depend on
 ``seed`` and the rows alone, so reruns agree; columns beyond doc_id, text and
 source are ignored; an empty table gives an empty table.
 """
@@ -50,6 +51,8 @@ BLOCK = 256
 FINEST = 128
 #: Slots of an output shard, on average.
 SHARD = 4096
+#: Slots a task makes, on average.
+SLOTS = 1 << 18
 #: Rows of a chunk in which offsets are summed.
 CHUNK_ROWS = 20_000
 WEIGHTS = (5, 2, 1)
@@ -132,7 +135,8 @@ def placed(rows: DataFrame, src: DataFrame) -> DataFrame:
 
 
 def draws(src: DataFrame, seed: int = 11) -> DataFrame:
-    """One row per slot: source, shard, slot (the source's ordinal) and block."""
+    """One row per slot: source, shard, slot (the source's ordinal) and block.
+    The shards' counts are dealt to tasks before they are laid out as slots."""
     total = src.agg(F.sum("slots")).first()[0] or 0
     shards = max(1, math.ceil(total / SHARD))
 
@@ -152,6 +156,7 @@ def draws(src: DataFrame, seed: int = 11) -> DataFrame:
 
     each = (src.where("slots > 0").select("source", "slots", "blocks")
             .mapInPandas(spread, "source string, shard long, first long, n long, blocks long, own long")
+            .repartition(max(1, math.ceil(total / SLOTS)), "source", "shard")
             .withColumn("slot", F.explode(F.expr("sequence(first, first + n - 1)"))))
 
     @F.pandas_udf("long")
