@@ -3,17 +3,20 @@
 A text's set holds the hashes of its distinct 5-word shingles (a shorter text
 is one shingle). Two sets of n <= m elements with 100 |A and B| >= 80 |A or B|
 differ in at most floor(2m / 9) elements. Every size band cuts the hash range
-into blocks, and a set's sketch XORs a bit of each of its hashes into its
-block's 64-bit word: a differing element changes one block at most, and a bit at
-most, so the Hamming distance of two sketches is a lower bound of the symmetric
-difference. A text with more non-zero blocks than floor(2m / 9) therefore
-agrees with each smaller or equal partner in one non-zero block exactly
-(pigeonhole); blocks meet in a shuffle by (band, block, word). Texts near a
-band's upper end are also sketched for the next band. Bands have more
-blocks than that needs, so linked texts agree in many, and each text may leave
-out some: the words with the fewest bits, which unrelated texts share most.
+into blocks, and each element flips a bit of its block's parity sketch: a
+differing element changes one block at most, and a bit at most, so the Hamming
+distance of two sketches is a lower bound of the symmetric difference. A block
+has 2^64 bits and is held as the XOR of its flipped positions, a 64-bit word, so
+blocks of unrelated texts are not equal by chance (of 64 bits, blocks with few
+elements were: pairs grew with the square of the table). A text with more
+non-empty blocks than floor(2m / 9) therefore agrees with each smaller or equal
+partner in one non-empty block exactly (pigeonhole); blocks meet in a shuffle by
+(band, block, word). Texts near a band's upper end are also sketched for the
+next band. Bands have more blocks than that needs, so linked texts agree in many,
+and each text may leave out some: those with the fewest elements, which unrelated
+texts that share a passage have in common most.
 Sets of fewer than ``SMALL`` elements, and bands in which some text has too few
-non-zero blocks, meet by the smallest hashes of which linked sets share one.
+non-empty blocks, meet by the smallest hashes of which linked sets share one.
 
 Equal sets are one node. A bucket of up to ``FEW`` nodes gives all its pairs;
 in a larger one (of sets with many keys: in one of four) each node is paired with
@@ -104,7 +107,7 @@ EDGES = _edges()
 @functools.lru_cache(maxsize=None)
 def blocks_of(band: int) -> int:
     """Blocks of a band: enough that a text has SPARE times its size more
-    non-zero blocks than its greatest difference, five standard deviations of
+    non-empty blocks than its greatest difference, five standard deviations of
     the empty ones aside."""
     b = EDGES[band] // 4
     for n in (EDGES[band], EDGES[band + 1] - 1):
@@ -117,12 +120,14 @@ def blocks_of(band: int) -> int:
     return int(b)
 
 
-def sketch(s: np.ndarray, band: int) -> np.ndarray:
+def sketch(s: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word (XOR of the flipped positions) and number of elements of each block."""
     b = blocks_of(band)
     g = mix64(s + mix64(np.array([band + 1], np.uint64)))
+    at = (((g >> np.uint64(32)) * np.uint64(b)) >> np.uint64(32)).astype(np.int64)
     out = np.zeros(b, np.uint64)
-    np.bitwise_xor.at(out, ((g >> np.uint64(32)) * np.uint64(b)) >> np.uint64(32), np.uint64(1) << (g & np.uint64(63)))
-    return out
+    np.bitwise_xor.at(out, at, mix64(g))
+    return out, np.bincount(at, minlength=b)
 
 
 def fold(s: np.ndarray) -> np.ndarray:
@@ -147,14 +152,14 @@ def band_of(n: int) -> int:
 
 
 def spare(s: np.ndarray) -> int:
-    """Non-zero blocks in which this set, in its own band, agrees at least with
+    """Non-empty blocks in which this set, in its own band, agrees at least with
     any linked set that is not larger."""
-    return int(np.count_nonzero(sketch(s, band_of(len(s))))) - 2 * len(s) // 9
+    return int(np.count_nonzero(sketch(s, band_of(len(s)))[1])) - 2 * len(s) // 9
 
 
 def left_out(least: int) -> int:
-    """Of a band's least spare: keys that a set leaves out, those whose words have the
-    fewest bits. One key remains that linked sets share."""
+    """Of a band's least spare: keys that a set leaves out, those whose blocks have the
+    fewest elements. One key remains that linked sets share."""
     return least - 1
 
 
@@ -162,8 +167,9 @@ def keys_of(s: np.ndarray, spares: dict[int, int]) -> np.ndarray:
     """Bucket keys of a set; the six low bits hold band + 1, or 0 for the smallest
     hashes. ``spares``: the least spare() in each band that has sets of its own.
     Linked sets share so many keys of the larger one's band, so each may leave out
-    some of them, in an order that all sets share: here by bits set, as words of
-    few bits come from few shingles and are the likeliest in unrelated texts."""
+    some of them, in an order that all sets share: here by the block's elements (equal
+    words have equal elements), as few shingles are the likeliest to come from
+    a passage alone."""
     n, out = len(s), []
     bands = []
     if n >= SMALL:
@@ -173,10 +179,10 @@ def keys_of(s: np.ndarray, spares: dict[int, int]) -> np.ndarray:
         out.append(mix64(s[:n - -(-4 * n // 5) + 1] ^ _C[0]) & ~np.uint64(63))
     for b in bands:
         if spares[b] >= 1:
-            w = sketch(s, b)
-            at = np.flatnonzero(w)
+            w, count = sketch(s, b)
+            at = np.flatnonzero(count)
             key = mix64(w[at] + mix64((at.astype(np.uint64) << np.uint64(8)) + np.uint64(b + 1))) & ~np.uint64(63) | np.uint64(b + 1)
-            out.append(key[np.lexsort((key, np.bitwise_count(w[at])))[left_out(spares[b]):]])
+            out.append(key[np.lexsort((key, count[at]))[left_out(spares[b]):]])
     return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
