@@ -95,13 +95,18 @@ def shapley_values(rows: DataFrame, key: list[str], inputs: list[str], backgroun
                        *[F.when(F.get("_m", F.lit(i)), F.col(c)).otherwise(F.col(f"_b.{c}")).alias(c) for i, c in enumerate(inputs)])
     value = score(mixed)
     own = [f"_own_{i}" for i in range(len(inputs))]
-    value = value.groupBy(*key, *own, "_c").agg((F.avg(score_col) - F.lit(base_score)).alias("_v"))
+    # one group a row holds the means of all its coalitions, and a row's copies come from
+    # one task: what is shuffled is one record a row, not one for each of its coalitions
+    means = value.groupBy(*key, *own).agg(*[(F.avg(F.when(F.col("_c") == c, F.col(score_col))) - F.lit(base_score)).alias(f"_v_{c}")
+                                            for c in range(len(everyone))])
 
     table = np.hstack([b[:, None], a])  # input x coalition, coalition 0 first
-    per = F.array(*[F.array(*[F.lit(float(x)) for x in table[:, c]]) for c in range(table.shape[1])])
-    shares = value.withColumn("_f", F.get(per, F.col("_c")))
-    sums = [F.sum(F.get("_f", F.lit(i)) * F.col("_v")).alias(f"_a_{i}") for i in range(len(inputs))]
-    out = shares.groupBy(*key, *own).agg(*sums, (F.max(F.when(F.col("_c") == 0, F.col("_v"))) + F.lit(base_score)).alias("_score"))
+    known = F.coalesce(*[F.col(f"_v_{c}") for c in range(len(everyone))]).isNotNull()
+
+    def share(i: int):
+        return F.when(known, sum((F.coalesce(F.lit(float(x)) * F.col(f"_v_{c}"), F.lit(0.0)) for c, x in enumerate(table[i])), F.lit(0.0)))
+
+    out = means.select(*key, *own, *[share(i).alias(f"_a_{i}") for i in range(len(inputs))], (F.col("_v_0") + F.lit(base_score)).alias("_score"))
     flat = F.explode(F.array(*[F.struct(F.lit(c).alias("input"), F.col(own[i]).cast("double").alias("value"), F.col(f"_a_{i}").alias("attribution"))
                                for i, c in enumerate(inputs)])).alias("_x")
     return out.select(*key, flat, "_score").select(*key, "_x.input", "_x.value", "_x.attribution", F.lit(base_score).alias("base"), F.col("_score").alias(score_col))

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import re
 import uuid
 
 import numpy as np
@@ -186,3 +187,19 @@ def test_trained_model_and_bounds(spark):
     assert len(members) == 30 and members.sum() == 75
     few, w = SH.coalitions(12, 60, 1)
     assert len(few) <= 62 and (few.sum(1) % 12 != 0).all() and len({tuple(m) for m in few}) == len(few)
+
+
+def test_shapley_shuffles_a_record_a_row(spark):
+    """Coalitions meet in one group of their row, so none of them is a group to shuffle;
+    a null score takes no part in its coalition's mean, and repeated rows are one."""
+    df = spark.createDataFrame([(1, 1.0, 2.0), (1, 1.0, 2.0), (2, 3.0, 5.0), (3, -1.0, None)], "id long, a double, b double")
+    back = spark.createDataFrame([(0.0, 1.0), (1.0, 3.0), (9.0, 0.0)], "a double, b double")
+    out = SH.shapley_values(df, ["id"], ["a", "b"], back, lambda t: t.withColumn("score", F.when(F.col("a") < 9, F.col("a") + 2 * F.col("b"))))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and not re.search(r"hashpartitioning\([^)]*_c#", plan)
+    got = {(r.id, r.input): r.attribution for r in out.collect()}
+    assert out.count() == 6
+    # base 4.5 = the mean over the two background rows that have a score; the one with a = 9
+    # scores wherever the row gives a
+    assert got[1, "a"] == pytest.approx(0.5 * (1 + 8 / 3 - 4.5) + 0.5 * (5 - 4.5))
+    assert got[1, "b"] == pytest.approx(0.5 * (4.5 - 4.5) + 0.5 * (5 - (1 + 8 / 3)))
