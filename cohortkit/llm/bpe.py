@@ -32,6 +32,8 @@ from pyspark.sql import types as T
 
 #: Characters from which a text is encoded in chunks, and characters of a chunk.
 LONG, CHUNK = 65_536, 16_384
+#: Rows whose values a worker holds at a time.
+STEP = 512
 #: Tokens on either side of a join in the first window.
 WINDOW = 16
 #: Scripts for which the two libraries' character classes are the same by the
@@ -40,26 +42,38 @@ _BEYOND = re.compile("[^\x00-ɏ‐-‧‰-⁞€]")
 
 
 class Codec:
-    """One vocabulary in a worker: ``path`` is a tokenizers JSON file."""
+    """One vocabulary in a worker: ``path`` is a tokenizers JSON file. A library is
+    loaded by the first text that needs it: a worker that decodes holds neither."""
 
     def __init__(self, path: str):
-        import tiktoken
-        from tokenizers import Tokenizer
-
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         back = {c: b for b, c in enumerate(_byte_chars())}
-        ranks = {bytes(back[c] for c in tok): i for tok, i in spec["model"]["vocab"].items()
-                 if tok not in self.special}
+        self.ranks = {bytes(back[c] for c in tok): i for tok, i in spec["model"]["vocab"].items()
+                      if tok not in self.special}
+
+    @functools.cached_property
+    def fast(self):
         import public_tokenizers
+        import tiktoken
 
-        self.fast = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
-                                      special_tokens=self.special)
-        self.full = Tokenizer.from_file(path)
-        self.full.no_truncation()
-        self.full.no_padding()
-        self.bytes_of = {i: b for b, i in ranks.items()} | {i: s.encode() for s, i in self.special.items()}
+        return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks,
+                                 special_tokens=self.special)
+
+    @functools.cached_property
+    def full(self):
+        from tokenizers import Tokenizer
+
+        full = Tokenizer.from_file(self.path)
+        full.no_truncation()
+        full.no_padding()
+        return full
+
+    @functools.cached_property
+    def bytes_of(self) -> dict[int, bytes]:
+        return {i: b for b, i in self.ranks.items()} | {i: s.encode() for s, i in self.special.items()}
 
     def encode(self, text: str) -> list[int]:
         if not text:
@@ -125,7 +139,8 @@ def _ids_array(packed: bytes | None) -> list[int]:
 
 
 def _mapped(df: DataFrame, col: str, out: str, arrow: pa.DataType, kind: T.DataType, fn) -> DataFrame:
-    """``df`` with ``out`` = fn(list of ``col``'s values), all other columns as they are."""
+    """``df`` with ``out`` = fn(list of ``col``'s values), all other columns as they are.
+    A batch passes in steps, so a worker holds the values of ``STEP`` rows."""
     rest = df.drop(out) if out != col else df.withColumnRenamed(col, "__in").withColumn(out, F.lit(None))
     src = "__in" if out == col else col
     rest = rest if out != col else rest.drop(out)
@@ -133,10 +148,12 @@ def _mapped(df: DataFrame, col: str, out: str, arrow: pa.DataType, kind: T.DataT
     keep = [f.name for f in schema.fields[:-1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            values = fn(b.column(b.schema.get_field_index(src)).to_pylist())
-            cols = [b.column(b.schema.get_field_index(k)) for k in keep] + [pa.array(values, arrow)]
-            yield pa.RecordBatch.from_arrays(cols, names=[*keep, out])
+        for whole in batches:
+            for at in range(0, whole.num_rows, STEP):
+                b = whole.slice(at, STEP)
+                values = fn(b.column(b.schema.get_field_index(src)).to_pylist())
+                cols = [b.column(b.schema.get_field_index(k)) for k in keep] + [pa.array(values, arrow)]
+                yield pa.RecordBatch.from_arrays(cols, names=[*keep, out])
 
     return rest.mapInArrow(run, schema)
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit.llm import bpe, jaccard, mixing, secrets, toxicity
-from cohortkit.llm.common import fresh_path, table
+from cohortkit.llm.common import fresh_path, table, written
 from cohortkit.llm.registry import vocabulary
 
 ORACLE_SQL = None
@@ -45,7 +45,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = vocabulary()
-    rows = bpe.decode_packed(bpe.encode_packed(docs, path, out="ids"), path, out="decoded")
+    ids = bpe.encode_packed(docs.select("doc_id", "lang", "source", "text"), path, out="ids").drop("text")
+    # written, so that a task runs one Python operator, and an executor half the workers
+    rows = bpe.decode_packed(written(ids, "pipeline-ids"), path, out="decoded")
     return rows.select("doc_id", "lang", "source", "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

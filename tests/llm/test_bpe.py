@@ -62,3 +62,18 @@ def test_query_rows(spark, codec):
 def test_decoding_defined_results(spark):
     df = spark.createDataFrame([(1, None), (2, [15496, 99999999]), (3, [-1])], "doc_id long, ids array<int>")
     assert [r.decoded for r in bpe.decode(df, PATH).orderBy("doc_id").collect()] == ["", "Hello", ""]
+
+
+def test_a_worker_holds_what_its_texts_need(spark):
+    """Decoding loads neither library, plain texts only one, and a batch passes in steps."""
+    c = bpe.Codec(PATH)
+    assert c.decode(c.ranks[b] for b in (b"a", b"b")) == "ab" and not {"fast", "full"} & set(vars(c))
+    assert c.encode("plain text") and "full" not in vars(c)
+    assert c.encode("漢字") and "full" in vars(c)
+
+    def most(xs):
+        return [len(xs)] * len(xs)
+
+    df = spark.range(0, 2000, 1, 1).selectExpr("id", "'x' AS text")
+    got = bpe._mapped(df, "text", "n", bpe.pa.int64(), bpe.T.LongType(), most).collect()
+    assert sorted(r.id for r in got) == list(range(2000)) and max(r.n for r in got) <= bpe.STEP
