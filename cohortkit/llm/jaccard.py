@@ -22,9 +22,12 @@ Equal sets are one node. A bucket of up to ``FEW`` nodes gives all its pairs;
 in a larger one (of sets with many keys: in one of four) each node is paired with
 the bucket's first, and once these are verified and joined to components, only nodes
 of a bucket still in different components are compared, by the Hamming distance
-of sketches of the whole sets, in blocks of ``BLOCK``. All pairs that this
-distance leaves open are verified on the whole sets. So every link between different texts is either
-verified or lies inside a component already.
+of sketches of the whole sets, in blocks of ``BLOCK``. The pairs that this distance
+leaves open grow with the square of a group of near copies, so none of them travels:
+a task gives a spanning forest of them, the nodes so connected are a cluster, each
+of its nodes brings its whole set once, and blocks of ``SET_BLOCK`` verify
+open pairs where they meet and give a spanning forest of the links. So every link
+between different texts is either verified or lies inside a component already.
 
 Defined results: a null, empty or wordless text has an empty set and stands
 alone; equal texts are linked; a null doc_id counts as the largest id of its
@@ -50,6 +53,8 @@ RATIO = 1.6
 SPARE = 0.1
 FEW = 4
 BLOCK = 2048
+#: The same where whole sets are compared.
+SET_BLOCK = 512
 STARRED_BANDS = 2
 #: A bucket of more nodes passes through its task in parts.
 PART = 100_000
@@ -453,10 +458,31 @@ class Folds:
         return out
 
 
-def _crossing_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Pairs of different labels that the sketches leave open, of whole groups
-    (key, i, j); a group of two parts compares rows of one with the other's."""
-    key, i, j, part, node, label, n = (t.column(c).to_numpy() for c in ("key", "i", "j", "part", "node", "label", "n"))
+class Forest:
+    """Trees over 64-bit numbers: of a graph's edges those that join two trees."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        r = x
+        while (u := self.up.get(r, r)) != r:
+            r = u
+        while x != r:
+            self.up[x], x = r, self.up.get(x, x)
+        return r
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether x and y were in two trees; they are in one now."""
+        x, y = self.root(x), self.root(y)
+        self.up[x] = y
+        return x != y
+
+
+def _open_pairs(t: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows x and y of pairs of different labels that the sketches leave open, of whole
+    groups (key, i, j); a group of two parts compares rows of one with the other's."""
+    key, i, j, part, label, n = (t.column(c).to_numpy() for c in ("key", "i", "j", "part", "label", "n"))
     folds = Folds(t.column("fold").to_pylist())
     new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
     end = np.repeat(np.r_[new[1:], len(key)], np.diff(np.r_[new, len(key)]))
@@ -471,39 +497,83 @@ def _crossing_pairs(t: pa.Table) -> Iterator[pa.RecordBatch]:
         ok = (label[x] != label[y]) & ((i[x] == j[x]) | (part[x] != part[y])) & (5 * np.minimum(n[x], n[y]) >= 4 * np.maximum(n[x], n[y]))
         x, y = x[ok], y[ok]
         ok = _near(n[x], n[y], folds.distance(x, y))
-        if ok.any():
-            pairs = np.unique(np.stack([np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+        yield x[ok], y[ok]
 
 
-def _crossing(unresolved: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different labels within a large bucket that the sketches leave open.
-    Buckets are compared in blocks, many small ones of a task together; sketches
-    join the members once these are dealt to blocks."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
-        for b in batches:
-            held.append(b)
-            size += b.num_rows
-            if size < 20_000:
-                continue
-            t = pa.Table.from_batches(held)
-            last = [t.column(c)[-1].as_py() for c in ("key", "i", "j")]
-            key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
-            cut = int(np.argmax((key == last[0]) & (i == last[1]) & (j == last[2])))  # the last group may go on
-            if cut:
-                yield from _crossing_pairs(t.slice(0, cut))
-                held, size = t.slice(cut).to_batches(), t.num_rows - cut
-        if size:
-            yield from _crossing_pairs(pa.Table.from_batches(held))
-
-    sized = unresolved.join(unresolved.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "key")
+def _dealt(rows: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
+    """Rows (key, node, label) dealt to groups (key, i, j) of two parts of about ``block``
+    of the key's nodes; the columns of ``nodes`` join once these are dealt."""
+    sized = rows.join(rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("parts")), "key")
     placed = sized.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = pairs.select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "label")
-    dealt = pairs.join(nodes, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return pairs.join(nodes, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Table]:
+    """Tables of whole groups (key, i, j) from sorted rows, many small ones together."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for b in (whole.slice(at, least) for whole in batches for at in range(0, whole.num_rows, least)):
+        held.append(b)
+        size += b.num_rows
+        if size < least:
+            continue
+        t = pa.Table.from_batches(held)
+        last = [t.column(c)[-1].as_py() for c in ("key", "i", "j")]
+        key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
+        cut = int(np.argmax((key == last[0]) & (i == last[1]) & (j == last[2])))  # the last group may go on
+        if cut:
+            yield t.slice(0, cut)
+            held, size = t.slice(cut).to_batches(), t.num_rows - cut
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+def _edges_of(a: list, b: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _crossing(unresolved: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Of the pairs of different labels within a large bucket that the sketches leave
+    open, as many (a, b) as connect the same nodes: a task gives less than it has nodes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = Forest()
+        for t in _whole_groups(batches, 20_000):
+            node = t.column("node").to_numpy()
+            for x, y in _open_pairs(t):
+                edges = [e for e in zip(node[x].tolist(), node[y].tolist()) if trees.join(*e)]
+                if edges:
+                    yield _edges_of(*zip(*edges))
+
+    return _dealt(unresolved, nodes, BLOCK).mapInArrow(run, "a long, b long").distinct()
+
+
+def _linking(docs: DataFrame, clusters: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all labels which links connect within a cluster: rows
+    (key, node, label). Each group has its whole sets, so a pair is verified where it is
+    found, and left out if its labels are connected already: a task gives less links than
+    it has labels."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = Forest()
+        for t in _whole_groups(batches, 2 * SET_BLOCK):
+            node, label = t.column("node").to_numpy(), t.column("label").to_pylist()
+            sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in t.column("hashes")]
+            edges = []
+            for x, y in _open_pairs(t):
+                for p, q in zip(x.tolist(), y.tolist()):
+                    if trees.root(label[p]) != trees.root(label[q]) and linked(
+                            len(np.intersect1d(sets[p], sets[q], assume_unique=True)), len(sets[p]), len(sets[q])):
+                        trees.join(label[p], label[q])
+                        edges.append((int(node[p]), int(node[q])))
+            if edges:
+                yield _edges_of(*zip(*edges))
+
+    asked = written(clusters, "jaccard-clusters")
+    sets = whole_sets(docs, asked.select("node")).join(nodes, "node")
+    links = written(_dealt(asked, sets, SET_BLOCK).mapInArrow(run, "a long, b long"), "jaccard-linking")
+    discard(asked)
+    return links
 
 
 def link(docs: DataFrame, rows: DataFrame, few: int = FEW) -> DataFrame:
@@ -523,10 +593,15 @@ def link(docs: DataFrame, rows: DataFrame, few: int = FEW) -> DataFrame:
     open_ = large.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
     large = written(large.join(open_, "key"), "jaccard-large")
     open_ = None
-    discard(found, labels)
-    more = written(_crossing(large, nodes), "jaccard-crossing")
+    discard(found)  # and the shuffles of finished steps
+    open_ = written(_crossing(large, nodes), "jaccard-crossing")
     discard(large)
-    return links.unionByName(verified(docs, more, nodes)) if more.take(1) else links
+    if not open_.take(1):
+        return links
+    clusters = components(open_).withColumnRenamed("label", "key").join(labels, "node", "left")
+    more = _linking(docs, clusters.select("key", "node", F.coalesce("label", "node").alias("label")), nodes)
+    discard(labels, open_)
+    return links.unionByName(more)
 
 
 def joined(docs: DataFrame, few: int = FEW) -> DataFrame:

@@ -150,3 +150,45 @@ def test_large_groups_in_parts_equal_brute_force(spark, monkeypatch):
         rows.append((i, " ".join(c)))
     df = spark.createDataFrame([(d, t, 1, 2, 3) for d, t in rows], SCHEMA)
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.op8(df, 2).collect()) == brute(rows)
+
+
+def near_copies(n, edits, seed=5):
+    rnd = random.Random(seed)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(n):
+        c = list(base)
+        for k in rnd.sample(range(150), edits[i % len(edits)]):
+            c[k] = f"e{i}x{k}"
+        rows.append((i, " ".join(c)))
+    return rows
+
+
+def test_open_pairs_of_a_large_bucket_do_not_travel(spark, monkeypatch):
+    """Texts whose differences are near the limit leave pairs open with the square of
+    their number; a bucket gives a spanning forest of them."""
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    rows = jaccard.members(spark.createDataFrame(near_copies(60, [2]), "doc_id long, text string")).collect()
+    nodes = spark.createDataFrame([(r.node, r.n, r.fold) for r in rows], "node long, n long, fold binary")
+    folds = [(r.node, np.frombuffer(r.fold, np.uint64)) for r in rows]
+    open_ = [(a, b) for k, (a, f) in enumerate(folds) for b, g in folds[:k] if 9 * int(np.bitwise_count(f ^ g).sum()) <= 2 * max(rows[0].n, 1)]
+    unresolved = spark.createDataFrame([(1, r.node, r.node) for r in rows], "key long, node long, label long").coalesce(1)
+    got = [(r.a, r.b) for r in jaccard._crossing(unresolved, nodes).collect()]
+    tasks = spark.sparkContext.defaultParallelism
+    assert len(open_) > 300 and set(map(frozenset, got)) <= set(map(frozenset, open_)) and len(got) < min(59 * tasks, 180)
+    trees, want = jaccard.Forest(), jaccard.Forest()
+    for e in got:
+        trees.join(*e)
+    for e in open_:
+        want.join(*e)
+    for a, b in ((a, b) for a, _ in folds for b, _ in folds):
+        assert (trees.root(a) == trees.root(b)) == (want.root(a) == want.root(b))
+
+
+def test_near_copies_at_the_limit_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, "SET_BLOCK", 8)
+    monkeypatch.setattr(jaccard, "starred", lambda key: np.zeros(len(key), bool))
+    rows = near_copies(70, [1, 2, 2, 3, 4])
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.op8(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect())
+    assert got == brute(rows) and 1 < len({c for _, _, c in got}) < 70
