@@ -32,10 +32,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, hash_words, mix64, remainder, words, written
+from .common import discard, mix64, remainder, written
+from .common import hash_words as hash_long_words
 
 #: Words that are contexts of their own; ids 0 to 255 are last bytes.
 NAMED = 1024
@@ -50,22 +52,110 @@ HEAD, ENTRIES = 150_000, 6_000_000
 ONE_BY_ONE = 64
 
 
-def tokens(texts: list[str | None], named: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: A-Z lower-cased, the blanks of ``[^\x20\x09-\x0D]+`` made spaces.
+FOLDED = np.arange(256, dtype=np.uint8)
+FOLDED[ord("A"):ord("Z") + 1] += 32
+FOLDED[0x09:0x0E] = 32
+#: Bytes of a word that are hashed in steps of eight; longer words one by one.
+IN_STEPS = 64
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def hash_spans(b: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of the bytes ``b``, whose last eight pad it."""
+    at_byte = np.ndarray(max(0, len(b) - 7), "<u8", b.data, strides=(1,))
+    h = mix64((at_byte[start] & _FIRST[np.minimum(size, 8)]) + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    at = np.flatnonzero(size > 8)
+    for k in range(8, IN_STEPS, 8):
+        h[at] = mix64(h[at] ^ (at_byte[start[at] + k] & _FIRST[np.minimum(size[at] - k, 8)]))
+        at = at[size[at] > k + 8]
+    if len(at):
+        h[at] = hash_long_words([b[i:i + n].tobytes() for i, n in zip(start[at], size[at])])
+    return h
+
+
+def hash_words(ws: list[bytes]) -> np.ndarray:
+    size = np.array([len(w) for w in ws], np.int64)
+    return hash_spans(np.frombuffer(b"".join(ws) + bytes(8), np.uint8), np.cumsum(size) - size, size)
+
+
+def slices(column: pa.Array, texts: int = 1024, size: int = 1 << 23) -> Iterator[tuple[int, int]]:
+    """Start and number of consecutive texts: at most ``texts`` of them with
+    ``size`` bytes, or one longer."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        n = max(1, min(texts, int(np.searchsorted(ends, before + size, "right")) - at))
+        yield at, n
+        at += n
+
+
+def word_hashes(texts: pa.Array | list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash and last byte of each token, number of tokens of each text."""
+    column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    if not len(column):
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    blank, nothing = pa.scalar("\n", pa.large_string()), pa.scalar("", pa.large_string())
+    column = pc.binary_join_element_wise(pc.fill_null(column.cast(pa.large_string()), nothing), blank, nothing)
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    b = np.zeros(offsets[-1] - offsets[0] + 8, np.uint8)
+    FOLDED.take(np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], out=b[:-8])
+    inside = np.r_[False, b[:-8] != 32]
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    start, end = edge[::2], edge[1::2]
+    # a text's last byte is the blank that was added: no word passes into the next
+    size = np.diff(np.searchsorted(start, offsets - offsets[0])) + 1
+    is_word = np.ones(len(start) + len(size), bool)
+    is_word[np.cumsum(size) - 1] = False
+    w = np.full(len(is_word), hash_words([END])[0])
+    w[is_word] = hash_spans(b, start, end - start)
+    last = np.full(len(is_word), END[0], np.int64)
+    last[is_word] = b[end - 1]
+    return w.view(np.int64), last, size
+
+
+def tokens(texts: pa.Array | list[str | None], named: np.ndarray | Finder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, context and text number of each token; ``named``: sorted hashes."""
-    flat, size = [], []
-    for t in texts:
-        ws = words(t)
-        ws.append(END)
-        flat += ws
-        size.append(len(ws))
-    w, size = hash_words(flat).view(np.int64), np.asarray(size, np.int64)
-    as_context = np.fromiter((x[-1] for x in flat), np.int64, len(flat))
-    if len(named):
-        place = np.minimum(np.searchsorted(named, w), len(named) - 1)
-        as_context = np.where(named[place] == w, 257 + place, as_context)
+    w, as_context, size = word_hashes(texts)
+    place, found = (named if isinstance(named, Finder) else Finder(_ordered(named))).find(_ordered(w))
+    as_context[found] = 257 + place[found]
     context = np.r_[START, as_context[:-1]][:len(w)]
     context[np.cumsum(size) - size] = START
-    return w, context, np.repeat(np.arange(len(texts)), size)
+    return w, context, np.repeat(np.arange(len(size)), size)
+
+
+def _ordered(hashes: np.ndarray) -> np.ndarray:
+    """Unsigned numbers in the order of the signed hashes."""
+    return hashes.view(np.uint64) ^ np.uint64(1 << 63)
+
+
+class Finder:
+    """Places of numbers in a sorted array of distinct, evenly spread ones: looked
+    up by their leading bits, about one or two steps each."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys, width = keys, 8 * keys.dtype.itemsize
+        self.shift = keys.dtype.type(width - min(22, max(1, len(keys).bit_length())))
+        last = int(np.iinfo(keys.dtype).max) >> int(self.shift)
+        self.first = np.searchsorted(keys >> self.shift, np.arange(last + 1, dtype=keys.dtype)).astype(np.int32)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place (where found) and whether it is there, of each number."""
+        if not len(self.keys):
+            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+        end = len(self.keys) - 1
+        place = np.minimum(self.first[wanted >> self.shift], end).astype(np.int64)
+        key = self.keys[place]
+        found, on = key == wanted, np.flatnonzero(key < wanted)
+        while len(on):
+            on = on[place[on] < end]
+            place[on] += 1
+            key, want = self.keys[place[on]], wanted[on]
+            found[on[key == want]] = True
+            on = on[key < want]
+        return place, found
 
 
 Draw = Callable[[np.ndarray, int], np.ndarray]
@@ -131,9 +221,8 @@ def frequent(docs: DataFrame) -> np.ndarray:
     """Sorted hashes of the ``NAMED`` most frequent training tokens, ties by hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                flat = [w for t in b.column(0).slice(at, 1024).to_pylist() for w in (*words(t), END)]
-                w, n = np.unique(hash_words(flat).view(np.int64), return_counts=True)
+            for at, size in slices(b.column(0)):
+                w, n = np.unique(word_hashes(b.column(0).slice(at, size))[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(w), pa.array(n.astype(np.int64))], names=["word", "c"])
 
     n = _training(docs).mapInArrow(run, "word long, c long").groupBy("word").agg(F.sum("c").alias("c"))
@@ -147,8 +236,11 @@ def _training(docs: DataFrame) -> DataFrame:
 
 def counts(docs: DataFrame, named: np.ndarray) -> DataFrame:
     """Training counts: word, n (sum), ctx array<int>, c array<long>, in order of ctx."""
+    finder = Finder(_ordered(named))
+
     def summed(w, ctx, n):
-        order = np.lexsort((ctx, w))
+        # by one number a pair; pairs that share it by chance meet in Spark's sums
+        order = np.argsort((w ^ ctx * 0x1E3779B97F4A7C15).view(np.uint64))
         w, ctx, n = w[order], ctx[order], n[order]
         new = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (ctx[1:] != ctx[:-1])])
         return w[new], ctx[new], np.add.reduceat(n, new)
@@ -156,8 +248,8 @@ def counts(docs: DataFrame, named: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             held = []
-            for at in range(0, b.num_rows, 1024):
-                w, ctx, _ = tokens(b.column(0).slice(at, 1024).to_pylist(), named)
+            for at, size in slices(b.column(0)):
+                w, ctx, _ = tokens(b.column(0).slice(at, size), finder)
                 held.append(summed(w, ctx, np.ones(len(w), np.int64)))
             if held:
                 w, ctx, n = summed(*(np.concatenate(h) for h in zip(*held)))
@@ -242,15 +334,27 @@ def predictive(table: DataFrame, chain: list[Totals], seed: int = 5) -> DataFram
 @dataclass
 class Head:
     """Frequent words, sorted: count and root probabilities, and the own part
-    of word and context at key = place * CONTEXTS + ctx, sorted."""
+    of word and context at the place of ``pair(place, ctx)``."""
 
-    word: np.ndarray
+    word: Finder
     n: np.ndarray
     root: np.ndarray
-    key: np.ndarray
+    key: Finder
     own: np.ndarray
 
 
+def pair(place: np.ndarray, ctx: np.ndarray, kind: type) -> np.ndarray:
+    """place * CONTEXTS + ctx, spread evenly over the unsigned numbers of a
+    ``kind`` that holds it: different for different pairs."""
+    x = place.astype(kind) * kind(CONTEXTS) + ctx.astype(kind)
+    if kind is np.uint64:
+        return mix64(x)
+    for shift, factor in ((16, 0x7FEB352D), (15, 0x846CA68B)):
+        x ^= x >> np.uint32(shift)
+        x *= np.uint32(factor)
+    return x ^ (x >> np.uint32(16))
+
+
 def head_of(model: DataFrame, limit: int = HEAD) -> tuple[Head, int]:
     """The words of the most frequent count classes (eighths of a doubling), as
     many classes as hold at most ``limit`` words and ``ENTRIES`` contexts, and
@@ -268,11 +372,13 @@ def head_of(model: DataFrame, limit: int = HEAD) -> tuple[Head, int]:
     rows = rows.sort_by("word")
     if not rows.num_rows:
         empty = np.empty(0)
-        return Head(empty.astype(np.int64), empty, empty.reshape(0, SAMPLES), empty.astype(np.int64), empty), 1 << 62
+        return Head(Finder(empty.astype(np.uint64)), empty, empty.reshape(SAMPLES, 0), Finder(empty.astype(np.uint32)), empty), 1 << 62
     ctx, own, root = (rows.column(c).combine_chunks() for c in ("ctx", "own", "root"))
-    place = np.repeat(np.arange(rows.num_rows), np.diff(ctx.offsets.to_numpy()))
-    return Head(rows.column("word").to_numpy(), rows.column("n").to_numpy().astype(float),
-                root.flatten().to_numpy().reshape(rows.num_rows, -1), place * CONTEXTS + ctx.flatten().to_numpy(), own.flatten().to_numpy()), least
+    kind = np.uint64 if rows.num_rows * CONTEXTS >> 32 else np.uint32
+    key = pair(np.repeat(np.arange(rows.num_rows, dtype=np.int32), np.diff(ctx.offsets.to_numpy())), ctx.flatten().to_numpy(), kind)
+    order = np.argsort(key)
+    return Head(Finder(_ordered(rows.column("word").to_numpy())), rows.column("n").to_numpy().astype(float),
+                np.ascontiguousarray(root.flatten().to_numpy().reshape(rows.num_rows, -1).T), Finder(key[order]), own.flatten().to_numpy()[order]), least
 
 
 def scores(docs: DataFrame, limit: int = HEAD, seed: int = 5) -> DataFrame:
@@ -291,26 +397,23 @@ def scores(docs: DataFrame, limit: int = HEAD, seed: int = 5) -> DataFrame:
     size = samples[0].vocabulary
     back = np.stack([s.back() for s in samples], axis=1)
     floor = np.array([s.floor() for s in samples])
-    sent = spark.sparkContext.broadcast((head, back))
     divisor = total + 0.1 * (size + 1)
+    finder = Finder(_ordered(named))
+    sent = spark.sparkContext.broadcast((head, [s.back() for s in samples], np.log10((head.n + 0.1) / divisor)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, back = sent.value
-        for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                part = b.slice(at, 1024)
-                w, ctx, doc = tokens(part.column(1).to_pylist(), named)
-                place = np.searchsorted(head.word, w)
-                known = np.zeros(len(w), bool)
-                if len(head.word):
-                    place = np.minimum(place, len(head.word) - 1)
-                    known = head.word[place] == w
+        head, weight, log_base = sent.value
+        for batch in batches:
+            for at, texts in slices(batch.column(1)):
+                part = batch.slice(at, texts)
+                w, ctx, doc = tokens(part.column(1), finder)
+                place, known = head.word.find(_ordered(w))
                 p, x, d = place[known], ctx[known], doc[known]
-                key = p * CONTEXTS + x
-                i = np.minimum(np.searchsorted(head.key, key), max(0, len(head.key) - 1))
-                own = np.where(head.key[i] == key, head.own[i], 0.0) if len(head.key) else np.zeros(0)
-                logp = np.log10(own + (back[x] * head.root[p]).mean(axis=1))
-                base = np.log10((head.n[p] + 0.1) / divisor)
+                i, seated = head.key.find(pair(p, x, head.key.keys.dtype.type))
+                own = np.zeros(len(p))
+                own[seated] = head.own[i[seated]]
+                logp = np.log10(own + sum(b[x] * r[p] for b, r in zip(weight, head.root)) / SAMPLES)
+                base = log_base[p]
                 n = part.num_rows
                 ids = part.column(0).to_numpy(zero_copy_only=False)
                 sums = [np.bincount(doc, minlength=n), np.bincount(d, minlength=n)]
@@ -320,7 +423,7 @@ def scores(docs: DataFrame, limit: int = HEAD, seed: int = 5) -> DataFrame:
                     schema=out)
                 w, x, d = w[~known], ctx[~known], doc[~known]
                 if len(w):
-                    order = np.lexsort((x, w, d))
+                    order = np.argsort((d.astype(np.uint64) << np.uint64(54)) + (mix64(w.view(np.uint64) + x.astype(np.uint64)) >> np.uint64(10)))
                     w, x, d = w[order], x[order], d[order]
                     new = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (x[1:] != x[:-1]) | (d[1:] != d[:-1])])
                     m, zero = len(new), np.zeros(len(new))

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortkit.llm import pitmanyor as py
@@ -116,3 +117,27 @@ def test_empty_and_untrained(spark):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     r = py.op9(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_words_are_hashed_from_the_column_bytes():
+    texts = ["A" * 200 + " b\tC\x0bd\x1ce " + "x" * 65 + " " + "y" * 64, "", None, "  ", "é É z", "abcdefgh abcdefghi"]
+    column = pa.array(["left out", *texts]).slice(1)
+    lists = token_lists(enumerate(texts))
+    w, last, size = py.word_hashes(column)
+    flat = [x for ws in lists for x in ws]
+    assert size.tolist() == [len(ws) for ws in lists] and last.tolist() == [x[-1] for x in flat]
+    assert w.tolist() == py.hash_words(flat).view(np.int64).tolist() and len(set(w.tolist())) == len(set(flat))
+    assert [(a, n) for a, n in py.slices(column, 4, 100)] == [(0, 1), (1, 4), (5, 1)]
+
+
+def test_finder_finds_each_number():
+    rng = np.random.default_rng(3)
+    for kind, n in ((np.uint64, 0), (np.uint64, 1), (np.uint64, 5000), (np.uint32, 5000)):
+        keys = np.unique(rng.integers(0, np.iinfo(kind).max, n, kind, endpoint=True))
+        finder = py.Finder(keys)
+        place, found = finder.find(keys)
+        assert found.all() and place.tolist() == list(range(len(keys)))
+        other = np.setdiff1d(np.r_[keys + kind(1), np.array([0, np.iinfo(kind).max], kind)], keys)
+        assert not finder.find(other)[1].any()
+    key = py.pair(np.repeat(np.arange(300), 3), np.tile(np.array([0, 256, py.CONTEXTS - 1]), 300), np.uint32)
+    assert len(np.unique(key)) == 900
