@@ -19,9 +19,12 @@ def map_sum_squares(m) -> Column:
 def l2_normalize_map(m) -> Column:
     """Divide every value by the L2 norm of the map's values. An all-zero or
     empty map yields zeros (not NaN)."""
-    norm = F.sqrt(map_sum_squares(m))
-    return F.transform_values(
-        _c(m), lambda k, v: F.coalesce(F.try_divide(v.cast("double"), norm), F.lit(0.0)))
+    def divided(norm: Column) -> Column:
+        return F.transform_values(
+            _c(m), lambda k, v: F.coalesce(F.try_divide(v.cast("double"), norm), F.lit(0.0)))
+
+    # the norm as a lambda's variable: evaluated once a map, not once an entry
+    return F.get(F.transform(F.array(F.sqrt(map_sum_squares(m))), divided), F.lit(0))
 
 
 def smooth_hours(m) -> Column:

@@ -111,9 +111,9 @@ TRAINING_COLS = (
 
 def training_rows(sessions: DataFrame, features: DataFrame, cfg: EngineConfig) -> DataFrame:
     """Flat training table (schema S4) over all valid dates."""
-    f = prepare_features(features)
-    j = sessions.join(f.drop("week_stats", "hour_stats", "hour_denoised_stats"),
-                      ["valid_date", "customer_id"], "inner")
+    # profiles are prepared for the rows that have sessions only
+    j = prepare_features(sessions.join(features, ["valid_date", "customer_id"], "inner"))
+    j = j.drop("week_stats", "hour_stats", "hour_denoised_stats")
     j = time_features(j, cfg)
     j = (j.withColumn("rh", (F.col("booking_id") != 0).cast("int"))
           .withColumn("norm_week", lookup("norm_week", "weekday"))

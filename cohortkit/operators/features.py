@@ -87,13 +87,14 @@ def saved_places(T, dates, cfg: EngineConfig, customers: DataFrame,
                  min_year: int = 2019) -> DataFrame:
     """(valid_date, customer_id, home_work_coords map<string, struct<lat,long>>):
     latest saved home / work place per customer strictly before each valid
-    date. Bookmarks meet the dates of their own customer only."""
+    date. Of the places that count from the same date on only the latest is
+    kept, and only those meet the dates of their own customer."""
     ds = _dates(dates)
     # customers first, then any bookmark before the date: no lower bound
     usl = (T["bookmarks"].filter(F.col("country_id").isin(1, 19))
-           .join(customers.withColumnRenamed("customer_id", "user_id"), "user_id")
-           .filter(F.col("last_updated") < F.col("valid_date"))
-           .select("valid_date", F.col("user_id").alias("customer_id"), "provider_id"))
+           .join(customers.select(F.col("customer_id").alias("user_id")).distinct(), "user_id", "left_semi")
+           .filter(F.col("last_updated") < F.lit(ds[-1]))
+           .select(F.col("user_id").alias("customer_id"), "provider_id", F.date_add(F.to_date("last_updated"), 1).alias("_saved")))
     name = F.lower("search_display_name")
     sli = (T["location_master"]
            .filter((F.col("year") > min_year) & F.col("date").isNotNull()
@@ -104,14 +105,16 @@ def saved_places(T, dates, cfg: EngineConfig, customers: DataFrame,
                    F.when(name.startswith("home"), "home").when(name.startswith("work"), "work")
                    .alias("location_type")))
     j = (usl.join(sli, usl.provider_id == sli.provider_reference_id, "inner")
-            .filter(F.col("location_type").isNotNull() & (F.col("date") < F.col("valid_date")))
-            .select("valid_date", "customer_id", "location_type", "last_updated",
+            .filter(F.col("location_type").isNotNull())
+            .select("customer_id", "location_type", "last_updated",
                     "provider_reference_id",
                     F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("long"))
-                    .alias("coords")))
-    latest = keep_first(j, ["valid_date", "customer_id", "location_type"],
-                        [-F.unix_micros(F.col("last_updated").cast("timestamp")),
-                         -F.col("provider_reference_id")])
+                    .alias("coords"),
+                    F.greatest("_saved", F.date_add("date", 1), F.lit(ds[0])).alias(FROM)))
+    order = [-F.unix_micros(F.col("last_updated").cast("timestamp")), -F.col("provider_reference_id")]
+    from_date = keep_first(j, ["customer_id", "location_type", FROM], order)
+    dated = customers.select("valid_date", "customer_id").join(from_date, "customer_id").filter(F.col("valid_date") >= F.col(FROM)).drop(FROM)
+    latest = keep_first(dated, ["valid_date", "customer_id", "location_type"], order)
     return latest.groupBy("valid_date", "customer_id").agg(
         F.map_from_entries(F.collect_list(F.struct("location_type", "coords")))
         .alias("home_work_coords"))
@@ -163,7 +166,7 @@ def ride_features(T, date, cfg: EngineConfig, saved_min_year: int = 2019) -> Dat
     bookings = active_bookings(base, quant, cfg.percentile)
     locmap = cut_lineage(frequent_places(bookings, quant, date, cfg.percentile, cfg.min_bookings_per_location, cfg.min_locations_ride))
     both = profiles(bookings, locmap, only_frequent=True)
-    trx = txn_features(T, date, cfg, RIDE_BRANCHES, {"base_bookings": base})
+    trx = txn_features(T, date, cfg, RIDE_BRANCHES, {"base_bookings": base, "customers": locmap.select("valid_date", "customer_id")})
     saved = saved_places(T, date, cfg, locmap.select("valid_date", "customer_id"), saved_min_year)
     k = ["valid_date", "customer_id"]
     out = locmap.join(both, k).join(trx, k, "left").join(quant, k, "left").join(saved, k, "left")

@@ -153,13 +153,11 @@ def sessions(T, dates, cfg: EngineConfig, materialize: bool = True) -> DataFrame
 
 def dedup_across_days(frame: DataFrame) -> DataFrame:
     """One row per session over all days: booked rows win over unbooked ones,
-    booked by (ended desc, ts), unbooked by ts."""
-    booked = frame.filter(F.col("booking_id") != 0)
-    unbooked = (frame.filter(F.col("booking_id") == 0)
-                .join(booked.select("sessionuuid").distinct(), "sessionuuid", "left_anti"))
-    order_cols = [c for c in frame.columns if c not in ("sessionuuid",)]
-    b = keep_first(booked, ["sessionuuid"],
-                   [-F.col("is_trip_ended"), F.col("ts"), F.col("valid_date"), F.col("booking_id")],
-                   nulls_first=True)
-    u = keep_first(unbooked, ["sessionuuid"], [F.col("ts"), F.col("valid_date")], nulls_first=True)
-    return b.unionByName(u).select("sessionuuid", *order_cols)
+    booked by (ended desc, ts), unbooked by ts. One aggregate, so that the rows
+    are computed once. Without a session id, booked and unbooked rows do not meet."""
+    booked = F.col("booking_id") != 0
+    alone = F.col("sessionuuid").isNull() & ~booked
+    first = keep_first(frame.filter(F.col("booking_id").isNotNull()).withColumn("_alone", alone), ["sessionuuid", "_alone"],
+                       [(~booked).cast("int"), F.when(booked, -F.col("is_trip_ended")), F.col("ts"), F.col("valid_date"),
+                        F.when(booked, F.col("booking_id"))], nulls_first=True)
+    return first.select("sessionuuid", *[c for c in frame.columns if c != "sessionuuid"])

@@ -192,14 +192,20 @@ def txn_by_service(txn: DataFrame) -> DataFrame:
 def txn_features(T, date, cfg: EngineConfig, branches=RIDE_BRANCHES, ctx=None) -> DataFrame:
     """(valid_date, customer_id, trx_amt): distinct transactions per service summed per
     user. Transactions are reduced to distinct ones before they meet the dates.
-    ``ctx['base_bookings']`` and ``ctx['food_base']`` hold spans here."""
+    ``ctx['base_bookings']`` and ``ctx['food_base']`` hold spans here; with
+    ``ctx['customers']`` only theirs are counted."""
     ctx = {**(ctx or {}), "spans": True}
     base = ctx.get("base_bookings")
     if (base is None or FROM not in base.columns) and any(b.build is _rides for b in branches):
         ctx["base_bookings"] = ride_booking_spans(T["trips"], date, cfg)
-    txn = transactions(T, date, cfg, branches, ctx).filter(F.col("userid").isNotNull())
+    wanted = ctx["customers"].select(F.col("customer_id").cast("long").alias("userid")).distinct() if "customers" in ctx else None
+
+    def of_wanted(df: DataFrame) -> DataFrame:
+        return df if wanted is None else df.join(wanted, "userid", "left_semi")
+
+    txn = of_wanted(transactions(T, date, cfg, branches, ctx).filter(F.col("userid").isNotNull()))
     counted = distinct_spans(txn, ["userid", "service"], "transaction_id", date).select("userid", FROM, TO, F.lit(1).cast("long").alias("_w"))
     b = T["bike_daily"].filter((F.col("trip_cnt") > 0) & F.col("customer_id").isNotNull())
     bike = spanned(b, "day", date, cfg.history_horizon).select(F.col("customer_id").cast("long").alias("userid"), FROM, TO, F.col("trip_cnt").cast("long").alias("_w"))
-    both = counted.unionByName(bike).withColumnRenamed("userid", "customer_id")
+    both = counted.unionByName(of_wanted(bike)).withColumnRenamed("userid", "customer_id")
     return by_date(both, ["customer_id"], date, F.col("_w"), "trx_amt")
