@@ -36,8 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, mix64, remainder, written
-from .common import hash_words as hash_long_words
+from .common import discard, hash_words, mix64, remainder, written
 
 #: Words that are contexts of their own; ids 0 to 255 are last bytes.
 NAMED = 1024
@@ -58,25 +57,55 @@ FOLDED[ord("A"):ord("Z") + 1] += 32
 FOLDED[0x09:0x0E] = 32
 #: Bytes of a word that are hashed in steps of eight; longer words one by one.
 IN_STEPS = 64
-_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(8)], np.uint64)
+_KEY = np.frombuffer(b"0123456789123456", "<u8")
+_START = _KEY[[0, 1, 0, 1]] ^ np.frombuffer(b"uespemosmodnarodarenegylsetybdet", "<u8")
 
 
-def hash_spans(b: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """64-bit hash of each span of the bytes ``b``, whose last eight pad it."""
-    at_byte = np.ndarray(max(0, len(b) - 7), "<u8", b.data, strides=(1,))
-    h = mix64((at_byte[start] & _FIRST[np.minimum(size, 8)]) + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    at = np.flatnonzero(size > 8)
-    for k in range(8, IN_STEPS, 8):
-        h[at] = mix64(h[at] ^ (at_byte[start[at] + k] & _FIRST[np.minimum(size[at] - k, 8)]))
-        at = at[size[at] > k + 8]
-    if len(at):
-        h[at] = hash_long_words([b[i:i + n].tobytes() for i, n in zip(start[at], size[at])])
-    return h
+def _turn(x: np.ndarray, bits: int) -> None:
+    high = x >> np.uint64(64 - bits)
+    x <<= np.uint64(bits)
+    x |= high
+
 
+def _rounds(v: np.ndarray, n: int) -> None:
+    for _ in range(n):
+        for a, b, c, d, left, right in ((0, 1, 2, 3, 13, 16), (2, 1, 0, 3, 17, 21)):
+            v[a] += v[b]
+            _turn(v[b], left)
+            v[b] ^= v[a]
+            _turn(v[a], 32)
+            v[c] += v[d]
+            _turn(v[d], right)
+            v[d] ^= v[c]
 
-def hash_words(ws: list[bytes]) -> np.ndarray:
-    size = np.array([len(w) for w in ws], np.int64)
-    return hash_spans(np.frombuffer(b"".join(ws) + bytes(8), np.uint8), np.cumsum(size) - size, size)
+
+def hash_spans(b: np.ndarray, start: np.ndarray, size: np.ndarray, at_once: int = 1 << 14) -> np.ndarray:
+    """``hash_words`` (pandas: SipHash-2-4, then mixed) of spans of the bytes ``b``,
+    whose last eight pad it: the words of a step together."""
+    at_byte = np.ndarray(max(0, len(b) - 7), "<u8", b.data, strides=(1,))
+    h = np.empty(len(start), np.uint64)
+    for i in range(0, len(start), at_once):
+        s, n = start[i:i + at_once], size[i:i + at_once]
+        v = np.repeat(_START[:, None], len(s), axis=1)
+        for k in range(0, min(IN_STEPS, int(n.max())) - 7, 8):
+            at = np.flatnonzero(n >= k + 8)
+            m, part = at_byte[s[at] + k], v[:, at]
+            part[3] ^= m
+            _rounds(part, 2)
+            part[0] ^= m
+            v[:, at] = part
+        m = (at_byte[s + (n & ~7)] & _FIRST[n & 7]) | (n.astype(np.uint64) << np.uint64(56))
+        v[3] ^= m
+        _rounds(v, 2)
+        v[0] ^= m
+        v[2] ^= np.uint64(0xFF)
+        _rounds(v, 4)
+        h[i:i + at_once] = mix64(v[0] ^ v[1] ^ v[2] ^ v[3])
+    long = np.flatnonzero(size > IN_STEPS)
+    if len(long):
+        h[long] = hash_words([b[i:i + n].tobytes() for i, n in zip(start[long], size[long])])
+    return h
 
 
 def slices(column: pa.Array, texts: int = 1024, size: int = 1 << 23) -> Iterator[tuple[int, int]]:
