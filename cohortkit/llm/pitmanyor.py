@@ -46,7 +46,10 @@ END = b"\n"
 DISCOUNT, STRENGTH = 0.7, 5.0
 ROOT_DISCOUNT, ROOT_STRENGTH = 0.8, 5.0
 BURN, SAMPLES = 2, 2
-HEAD, ENTRIES = 150_000, 6_000_000
+#: Tokens a group of pairs holds about, and at least; groups meet in so many passes.
+PER_GROUP, LEAST, PASSES = 1 << 21, 500, 2
+#: Bytes of texts that form a chunk, unless one text is longer.
+ENTRIES = 1 << 24
 #: Customers seated one by one; later tables are reached by jumps.
 ONE_BY_ONE = 64
 
@@ -360,18 +363,6 @@ def predictive(table: DataFrame, chain: list[Totals], seed: int = 5) -> DataFram
     return table.mapInArrow(run, "word long, n long, ctx array<int>, own array<double>, root array<double>")
 
 
-@dataclass
-class Head:
-    """Frequent words, sorted: count and root probabilities, and the own part
-    of word and context at the place of ``pair(place, ctx)``."""
-
-    word: Finder
-    n: np.ndarray
-    root: np.ndarray
-    key: Finder
-    own: np.ndarray
-
-
 def pair(place: np.ndarray, ctx: np.ndarray, kind: type) -> np.ndarray:
     """place * CONTEXTS + ctx, spread evenly over the unsigned numbers of a
     ``kind`` that holds it: different for different pairs."""
@@ -384,113 +375,409 @@ def pair(place: np.ndarray, ctx: np.ndarray, kind: type) -> np.ndarray:
     return x ^ (x >> np.uint32(16))
 
 
-def head_of(model: DataFrame, limit: int = HEAD) -> tuple[Head, int]:
-    """The words of the most frequent count classes (eighths of a doubling), as
-    many classes as hold at most ``limit`` words and ``ENTRIES`` contexts, and
-    their least count."""
-    eighth = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
-    classes = model.groupBy(eighth.alias("k")).agg(F.count("*").alias("words"), F.sum(F.size("ctx")).alias("entries"),
-                                                  F.min("n").alias("least")).orderBy(F.desc("k")).collect()
-    total, entries, least = 0, 0, None
-    for r in classes:
-        total, entries = total + r.words, entries + r.entries
-        if total > limit or entries > ENTRIES:
-            break
-        least = r.least
-    rows = model.where(F.col("n") >= F.lit(least if least is not None else 1 << 62)).toArrow().combine_chunks()
-    rows = rows.sort_by("word")
-    if not rows.num_rows:
-        empty = np.empty(0)
-        return Head(Finder(empty.astype(np.uint64)), empty, empty.reshape(SAMPLES, 0), Finder(empty.astype(np.uint32)), empty), 1 << 62
-    ctx, own, root = (rows.column(c).combine_chunks() for c in ("ctx", "own", "root"))
-    kind = np.uint64 if rows.num_rows * CONTEXTS >> 32 else np.uint32
-    key = pair(np.repeat(np.arange(rows.num_rows, dtype=np.int32), np.diff(ctx.offsets.to_numpy())), ctx.flatten().to_numpy(), kind)
-    order = np.argsort(key)
-    return Head(Finder(_ordered(rows.column("word").to_numpy())), rows.column("n").to_numpy().astype(float),
-                np.ascontiguousarray(root.flatten().to_numpy().reshape(rows.num_rows, -1).T), Finder(key[order]), own.flatten().to_numpy()[order]), least
-
-
-def scores(docs: DataFrame, limit: int = HEAD, seed: int = 5) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    spark = docs.sparkSession
-    named = frequent(docs)
-    discard()  # the shuffles of finished steps
-    table = counts(docs, named)
-    discard()
-    chain = gibbs(table, seed)
-    samples = chain[-SAMPLES:]
-    model = written(predictive(table, chain, seed), "lm-model")
-    discard(table)
-    head, least = head_of(model, limit)
-    total = int(model.agg(F.sum("n")).first()[0] or 0)
-    size = samples[0].vocabulary
-    back = np.stack([s.back() for s in samples], axis=1)
-    floor = np.array([s.floor() for s in samples])
-    divisor = total + 0.1 * (size + 1)
-    finder = Finder(_ordered(named))
-    sent = spark.sparkContext.broadcast((head, [s.back() for s in samples], np.log10((head.n + 0.1) / divisor)))
+#: Lists of numbers travel packed into bytes, one kind a name; hashes as they are,
+#: others by first bytes, second bytes and so on, which compress better.
+HASHED = {"row": np.int64, "word": np.int64, "prev": np.int64}
+NUMBERS = {"train": np.int32, "size": np.int32, "code": np.int32, "c": np.int32, "n": np.int64, "t": np.int32, "g": np.int32, "r": np.int32, "own": np.float64}
+KINDS = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
+
+
+def packed(name: str, values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    kind = np.dtype(HASHED.get(name) or NUMBERS[name])
+    x, ends = np.ascontiguousarray(values, kind).view(np.uint8).reshape(-1, kind.itemsize), np.cumsum(sizes)
+    parts = (x[i:j] for i, j in zip(ends - sizes, ends))
+    return pa.array([(part if name in HASHED else part.T).tobytes() for part in parts], pa.binary())
+
+
+def unpacked(name: str, value: pa.Scalar) -> np.ndarray:
+    kind = np.dtype(HASHED.get(name) or NUMBERS[name])
+    if name in HASHED:
+        return np.frombuffer(value.as_buffer(), kind)
+    return np.ascontiguousarray(np.frombuffer(value.as_buffer(), np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
+
+
+def _flat(t: pa.Table, name: str) -> np.ndarray:
+    parts = [unpacked(name, x) for x in t.column(name)]
+    return np.concatenate(parts) if parts else np.empty(0, HASHED.get(name) or NUMBERS[name])
+
+
+def _sizes(t: pa.Table, name: str) -> np.ndarray:
+    return pc.binary_length(t.column(name)).to_numpy().astype(np.int64) // np.dtype(HASHED.get(name) or NUMBERS[name]).itemsize
+
+
+def _rows(ddl: str, n: int, /, **columns) -> pa.Table:
+    """``n`` rows of the columns of ``ddl``, null where not given; lists as all
+    values and their sizes."""
+    schema, full = pa.schema([(k, KINDS[kind]) for k, kind in (column.split() for column in ddl.split(", "))]), []
+    for f in schema:
+        x = columns.get(f.name)
+        if isinstance(x, tuple):
+            full.append(packed(f.name, *x))
+        elif isinstance(x, pa.Array):
+            full.append(x.cast(f.type))
+        else:
+            full.append(pa.nulls(n, f.type) if x is None else pa.array(np.full(n, x) if np.isscalar(x) else x).cast(f.type))
+    return pa.Table.from_arrays(full, schema=schema)
+
+
+def _where(t: pa.Table, name: str, value: int) -> pa.Table:
+    return t.filter(pc.equal(t.column(name), value))
+
+
+def pair_group(prev: np.ndarray, word: np.ndarray, groups: int) -> np.ndarray:
+    return _small(mix64(word.view(np.uint64) ^ mix64(prev.view(np.uint64))) % np.uint64(groups), groups)
+
+
+def word_group(word: np.ndarray, groups: int) -> np.ndarray:
+    return _small(mix64(word.view(np.uint64)) % np.uint64(groups), groups)
+
+
+def _small(group: np.ndarray, groups: int) -> np.ndarray:
+    return group.astype(np.uint16 if groups <= 1 << 16 else np.int64)
+
+
+def zipped(df: DataFrame, name: str) -> DataFrame:
+    return written(df, name, compression="zstd")
+
+
+def chunks(rows: DataFrame) -> DataFrame:
+    """The texts (columns row, train, text) as chunks of a few thousand: distinct
+    words in order of their hashes, and each token as a place among them."""
+    ddl = "chunk long, tokens long, row binary, train binary, size binary, word binary, code binary"
+    most = ENTRIES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, weight, log_base = sent.value
-        for batch in batches:
-            for at, texts in slices(batch.column(1)):
-                part = batch.slice(at, texts)
-                w, ctx, doc = tokens(part.column(1), finder)
-                place, known = head.word.find(_ordered(w))
-                p, x, d = place[known], ctx[known], doc[known]
-                i, seated = head.key.find(pair(p, x, head.key.keys.dtype.type))
-                own = np.zeros(len(p))
-                own[seated] = head.own[i[seated]]
-                logp = np.log10(own + sum(b[x] * r[p] for b, r in zip(weight, head.root)) / SAMPLES)
-                base = log_base[p]
-                n = part.num_rows
-                ids = part.column(0).to_numpy(zero_copy_only=False)
-                sums = [np.bincount(doc, minlength=n), np.bincount(d, minlength=n)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(np.full(n, None), pa.int64()), pa.array(np.zeros(n, np.int32)), pa.array(sums[0].astype(np.int64)),
-                     pa.array(sums[1].astype(np.int64)), pa.array(np.bincount(d, weights=base, minlength=n)), pa.array(np.bincount(d, weights=logp, minlength=n))],
-                    schema=out)
-                w, x, d = w[~known], ctx[~known], doc[~known]
-                if len(w):
-                    order = np.argsort((d.astype(np.uint64) << np.uint64(54)) + (mix64(w.view(np.uint64) + x.astype(np.uint64)) >> np.uint64(10)))
-                    w, x, d = w[order], x[order], d[order]
-                    new = np.flatnonzero(np.r_[True, (w[1:] != w[:-1]) | (x[1:] != x[:-1]) | (d[1:] != d[:-1])])
-                    m, zero = len(new), np.zeros(len(new))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[d[new]]), pa.array(w[new]), pa.array(x[new].astype(np.int32)),
-                         pa.array(np.diff(np.r_[new, len(w)]).astype(np.int64)), pa.array(np.zeros(m, np.int64)), pa.array(zero), pa.array(zero)], schema=out)
-
-    out = pa.schema([("row", pa.int64()), ("word", pa.int64()), ("ctx", pa.int32()), ("n", pa.int64()), ("known", pa.int64()),
-                     ("base", pa.float64()), ("score", pa.float64())])
-    keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(), "text").alias("row"))
-    parts = keyed.select("row", "text").mapInArrow(run, "row long, word long, ctx int, n long, known long, base double, score double")
-    parts = written(parts, "lm-parts")
-    sums = parts.where("word is null").select("row", "n", "known", "base", "score")
-    rare = parts.where("word is not null").select("row", "word", "ctx", "n")
-    tail = model.where(F.col("n") < F.lit(least)).select("word", F.col("n").alias("c"), F.col("ctx").alias("ctxs"), "own", "root")
-    met = rare.join(tail, "word", "left")
-    backs = [F.get(F.lit(back[:, s].tolist()), F.col("ctx")) for s in range(len(samples))]
-    roots = [F.coalesce(F.get("root", F.lit(s)), F.lit(float(floor[s]))) for s in range(len(samples))]
-    own = F.coalesce(F.try_element_at("own", F.nullif(F.array_position("ctxs", F.col("ctx")).cast("int"), F.lit(0))), F.lit(0.0))
-    prob = own + sum((b * r for b, r in zip(backs, roots)), F.lit(0.0)) / len(samples)
-    base = F.log10((F.coalesce("c", F.lit(0)) + 0.1) / divisor)
-    tail_sums = met.groupBy("row").agg(F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("known"),
-                                       F.sum(F.col("n") * base).alias("base"), F.sum(F.col("n") * F.log10(prob)).alias("score"))
-    # rows alike in id and text share their key, and each has brought the same sums
-    once = sums.groupBy("row").agg(F.count("*").alias("copies"), F.first("n").alias("n"), F.first("known").alias("known"),
-                                   F.first("base").alias("base"), F.first("score").alias("score"))
-    zero = F.lit(0)
-    tails = tail_sums.select("row", *[F.col(c).alias(f"tail_{c}") for c in ("known", "base", "score")])
-    both = once.join(tails, "row", "left").select(
-        "row", F.col("n").alias("n_tokens"),
-        (F.col("known") + (F.coalesce("tail_known", zero) / F.col("copies")).cast("long")).alias("n_known"),
-        (F.col("base") + F.coalesce("tail_base", zero) / F.col("copies")).alias("base_score"),
-        (F.col("score") + F.coalesce("tail_score", zero) / F.col("copies")).alias("score"))
-    return keyed.select("doc_id", "row").join(both, "row").select(
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
+        for b in batches:
+            for at, n in slices(b.column(2), 1 << 13, most):
+                part = b.slice(at, n)
+                got = [word_hashes(part.column(2).slice(i, k)) for i, k in slices(part.column(2))]
+                size = np.concatenate([g[2] for g in got])
+                word, code = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
+                one = np.array([n])
+                yield from _rows(ddl, 1, chunk=number, tokens=len(code), row=(part.column(0).to_numpy(), one),
+                                 train=(part.column(1).to_numpy(zero_copy_only=False), one), size=(size, one),
+                                 word=(word, np.array([len(word)])), code=(code, np.array([len(code)]))).to_batches()
+                number += 1
+
+    return written(rows.select("row", "train", "text").mapInArrow(run, ddl), "lm-chunks", compression="zstd", maxRecordsPerFile="8")
+
+
+def keys(word: np.ndarray, code: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Each token's pair in a chunk: place of the word before, times the number of
+    words, and place of the word. The word before a text's first is the end."""
+    end = int(np.searchsorted(word, hash_words([END]).view(np.int64)[0]))
+    prev = np.r_[end, code[:-1]][:len(code)].astype(np.int64)
+    prev[np.cumsum(size) - size] = end
+    return prev * len(word) + code
+
+
+def grouped(word: np.ndarray, key: np.ndarray, groups: int, part: int = 0, parts: int = 1):
+    """The sorted pairs ``key`` in the order of their groups, those with groups of
+    a part: groups, places of the word before, of the word, and of the pair."""
+    before, this = np.divmod(key, len(word))
+    group = pair_group(word[before], word[this], groups)
+    mine = np.flatnonzero(group % parts == part) if parts > 1 else np.arange(len(key))
+    mine = mine[np.argsort(group[mine], kind="stable")]
+    return group[mine], before[mine], this[mine], mine
+
+
+def _chunk(b: pa.RecordBatch | pa.Table, i: int):
+    return [unpacked(k, b.column(k)[i]) for k in ("word", "code", "size", "train")]
+
+
+MET = "kind int, group int, chunk long, prev binary, word binary, n binary, t binary, g binary, code binary"
+
+
+def met(table: DataFrame, groups: int, word_groups: int) -> list[DataFrame]:
+    """The pairs of all chunks meet by group. kind 0: a group's pairs counted
+    twice or more in training (prev, word, n). kind 1: of a chunk's pairs in the
+    group, in its order, the place among those, -1 if counted once, -2 if never.
+    kind 2: by group of words, a word's tokens, and its pairs counted once, as
+    the context (t) and as the dish (g): these have one table in every seating."""
+    parts = min(PASSES, groups)
+
+    def send(part: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i in range(b.num_rows):
+                    word, code, size, train = _chunk(b, i)
+                    key = keys(word, code, size) * 2 + np.repeat(train, size)
+                    key.sort()
+                    new = np.flatnonzero(np.r_[True, key[1:] >> 1 != key[:-1] >> 1])
+                    c = np.add.reduceat(key & 1, new)
+                    group, before, this, place = grouped(word, key[new] >> 1, groups, part, parts)
+                    to, sizes = np.unique(group, return_counts=True)
+                    yield from _rows("group int, chunk long, prev binary, word binary, c binary", len(to),
+                                     group=to.astype(np.int32), chunk=b.column("chunk")[i].as_py(), prev=(word[before], sizes),
+                                     word=(word[this], sizes), c=(c[place], sizes)).to_batches()
+
+        return run
+
+    def meet(key, t):
+        prev, word, c = _flat(t, "prev"), _flat(t, "word"), _flat(t, "c")
+        h = mix64(word.view(np.uint64) ^ mix64(prev.view(np.uint64)))
+        order = np.argsort(h)
+        same = h[order[1:]] == h[order[:-1]]
+        if np.any(same & (word[order[1:]] != word[order[:-1]])):  # two pairs share the number
+            order = np.lexsort((prev, word))
+            same = (word[order[1:]] == word[order[:-1]]) & (prev[order[1:]] == prev[order[:-1]])
+        new = np.flatnonzero(np.r_[True, ~same])
+        n = np.add.reduceat(c[order].astype(np.int64), new)
+        prev, word = prev[order[new]], word[order[new]]
+        code, often = (n - 2).astype(np.int32), np.flatnonzero(n >= 2)
+        often = often[np.argsort(prev[often])]
+        code[often] = np.arange(len(often), dtype=np.int32)
+        of_entry = np.empty(len(order), np.int32)
+        of_entry[order] = np.repeat(code, np.diff(np.r_[new, len(order)]))
+        kept = [x[often] for x in (prev, word, n)]
+        one = np.array([len(kept[0])])
+        seen = n >= 1
+        u, at = np.unique(np.concatenate([prev[seen], word[seen]]), return_inverse=True)
+        as_prev, as_word, once = at[:len(at) // 2], at[len(at) // 2:], n[seen] == 1
+        to = word_group(u, word_groups)
+        by = np.argsort(to, kind="stable")
+        there, sizes = np.unique(to, return_counts=True)
+        sums = [np.bincount(p, weights=x, minlength=len(u))[by] for p, x in ((as_word, n[seen]), (as_prev, once), (as_word, once))]
+        group = key[0].as_py()
+        return pa.concat_tables([
+            _rows(MET, 1, kind=0, group=group, prev=(kept[0], one), word=(kept[1], one), n=(kept[2], one)),
+            _rows(MET, t.num_rows, kind=1, group=group, chunk=t.column("chunk").combine_chunks(), code=(of_entry, _sizes(t, "c"))),
+            _rows(MET, len(there), kind=2, group=there.astype(np.int32), word=(u[by], sizes), n=(sums[0].astype(np.int64), sizes),
+                  t=(sums[1].astype(np.int32), sizes), g=(sums[2].astype(np.int32), sizes))])
+
+    tables = []
+    for part in range(parts):
+        sent = table.select("chunk", "word", "code", "size", "train").mapInArrow(
+            send(part), "group int, chunk long, prev binary, word binary, c binary")
+        tables.append(zipped(sent.groupBy("group").applyInArrow(meet, MET), "lm-met"))
+        del sent
+        discard()  # the pass's shuffle
+    return tables
+
+
+def words_of(sums: DataFrame) -> DataFrame:
+    """The training words by group, in order of their hashes."""
+    ddl = "group int, total long, vocabulary long, word binary, n binary, t binary, g binary"
+
+    def add(key, t):
+        word, at = np.unique(_flat(t, "word"), return_inverse=True)
+        n, tables, guests = (np.bincount(at, weights=_flat(t, k), minlength=len(word)).astype(np.int64) for k in ("n", "t", "g"))
+        one = np.array([len(word)])
+        return _rows(ddl, 1, group=key[0].as_py(), total=int(n.sum()), vocabulary=len(word), word=(word, one), n=(n, one),
+                     t=(tables, one), g=(guests, one))
+
+    return zipped(sums.select("group", "word", "n", "t", "g").groupBy("group").applyInArrow(add, ddl), "lm-words")
+
+
+@dataclass
+class Root:
+    """Of a seating, the root's customers and tables, and the number of training words."""
+
+    customers: float
+    tables: float
+    vocabulary: int
+
+    def weight(self) -> float:
+        return (ROOT_STRENGTH + ROOT_DISCOUNT * self.tables) / (self.vocabulary + 1)
+
+    def p(self, guests, tables):
+        """Probability of words with so many customers and tables."""
+        return (guests - ROOT_DISCOUNT * tables + self.weight()) / (ROOT_STRENGTH + self.customers)
+
+
+def seated(prev, word, n, as_prev, as_word, tables, guests, root_tables, root: Root, seed: int, sweep: int) -> np.ndarray:
+    """Tables of each pair in a sweep, given the seating before: tables of each
+    context, and of each dish the root's customers and tables."""
+    p = root.p(guests, root_tables)
+    return seat(n, (STRENGTH + DISCOUNT * tables[as_prev]) * p[as_word], DISCOUNT, keyed(seed, 2 * sweep, word, prev))
+
+
+def words_in(prev: np.ndarray, word: np.ndarray, groups: int):
+    """Distinct words by group, their groups, and the places of prev and word."""
+    u, at = np.unique(np.concatenate([prev, word]), return_inverse=True)
+    group = word_group(u, groups)
+    order = np.argsort(group, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    at = place[at]
+    return u[order], group[order], at[:len(prev)], at[len(prev):]
+
+
+SENT = "group int, frm int, word binary, t binary, g binary"
+STATE = "kind int, group int, frm int, t binary, g binary, r binary, customers double, tables double"
+
+
+def _pairs(t: pa.Table):
+    return _flat(t, "prev"), _flat(t, "word"), _flat(t, "n")
+
+
+def _answer(t: pa.Table, names: tuple[str, ...]) -> list[np.ndarray]:
+    """The lists of a group's answers, in order of the groups they come from."""
+    t = t.sort_by("frm")
+    return [_flat(t, k) for k in names]
+
+
+def sweeps(pairs: DataFrame, words: DataFrame, vocabulary: int, word_groups: int, seed: int = 5) -> tuple[list[DataFrame], list[Root]]:
+    """The seatings before the first sweep and after each: of each word (kind 1)
+    its tables t as the context, and its customers g and tables r at the root;
+    kind 0: the same for the words of a group of pairs."""
+    def messages(group: int, prev, word, t) -> pa.Table:
+        u, to, as_prev, as_word = words_in(prev, word, word_groups)
+        there, sizes = np.unique(to, return_counts=True)
+        sums = [np.bincount(p, weights=t, minlength=len(u)).astype(np.int32) for p in (as_prev, as_word)]
+        return _rows(SENT, len(there), group=there.astype(np.int32), frm=group, word=(u, sizes), t=(sums[0], sizes), g=(sums[1], sizes))
+
+    def start(key, t):
+        prev, word, n = _pairs(t)
+        return messages(key[0].as_py(), prev, word, np.ones(len(n)))
+
+    def sweep_with(root: Root, sweep: int):
+        def run(key, t, answers):
+            prev, word, n = _pairs(t)
+            _, _, as_prev, as_word = words_in(prev, word, word_groups)
+            tables = seated(prev, word, n, as_prev, as_word, *_answer(answers, ("t", "g", "r")), root, seed, sweep)
+            return messages(key[0].as_py(), prev, word, tables)
+
+        return run
+
+    def add_with(root: Root, sweep: int):
+        def run(key, asked, known):
+            word, own = _flat(known, "word"), _sizes(known, "word")
+            at = np.searchsorted(word, _flat(asked, "word"))
+            t, g = (_flat(known, k) + np.bincount(at, weights=_flat(asked, k), minlength=len(word)) for k in ("t", "g"))
+            r = seat(g, np.full(len(g), root.weight()), ROOT_DISCOUNT, keyed(seed, 2 * sweep + 1, word, np.full(len(word), -1)))
+            state, sizes, group = [x.astype(np.int32) for x in (t, g, r)], _sizes(asked, "word"), key[0].as_py()
+            return pa.concat_tables([
+                _rows(STATE, asked.num_rows, kind=0, group=asked.column("frm").combine_chunks(), frm=group,
+                      **{k: (x[at], sizes) for k, x in zip("tgr", state)}),
+                _rows(STATE, known.num_rows, kind=1, group=group, customers=float(g.sum()), tables=float(r.sum()),
+                      **{k: (x, own) for k, x in zip("tgr", state)})])
+
+        return run
+
+    by_word = words.select("group", "word", "t", "g")
+    states, roots, before = [], [], Root(0.0, float(vocabulary), vocabulary)
+    for sweep in range(BURN + SAMPLES + 1):
+        if sweep:
+            sent = pairs.groupBy("group").cogroup(states[-1].where("kind = 0").groupBy("group")).applyInArrow(sweep_with(before, sweep), SENT)
+        else:
+            sent = pairs.groupBy("group").applyInArrow(start, SENT)
+        state = zipped(sent.groupBy("group").cogroup(by_word.groupBy("group")).applyInArrow(add_with(before, sweep), STATE), "lm-state")
+        got = state.where("kind = 1").agg(F.sum("customers"), F.sum("tables")).first()
+        before = Root(got[0] or 0.0, got[1] or 0.0, vocabulary)
+        states.append(state)
+        roots.append(before)
+        if len(states) > 1 + SAMPLES:
+            discard(states[-2 - SAMPLES])
+    return states, roots
+
+
+def scores(docs: DataFrame, limit: int | None = None, seed: int = 5) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score of every row."""
+    rows = docs.select("doc_id", "text", (remainder(F.col("doc_id"), 10) != 0).alias("train"),
+                       F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("doc_id").isNull(), "text").alias("row"))
+    table = chunks(rows)
+    tokens_in_all = table.agg(F.sum("tokens")).first()[0] or 0
+    groups = max(1, -(-tokens_in_all // max(PER_GROUP if limit is None else limit, LEAST)))
+    word_groups = -(-groups // 6)
+    tables = met(table, groups, word_groups)
+    together = tables[0]
+    for t in tables[1:]:
+        together = together.unionAll(t)
+    words = words_of(together.where("kind = 2"))
+    total, vocabulary = (x or 0 for x in words.agg(F.sum("total"), F.sum("vocabulary")).first())
+    pairs = together.where("kind = 0").select("group", "prev", "word", "n")
+    states, roots = sweeps(pairs, words, vocabulary, word_groups, seed)
+    discard()
+    last = range(BURN + 1, BURN + SAMPLES + 1)
+    before, after = [roots[s - 1] for s in last], [roots[s] for s in last]
+
+    def tables_of(key, t, answers):
+        """To each chunk, of its pairs: training count less the tables' discounts, averaged."""
+        prev, word, n = _pairs(_where(t, "kind", 0))
+        _, _, as_prev, as_word = words_in(prev, word, word_groups)
+        sums = np.zeros(len(n))
+        for s, root in zip(last, before):
+            sums += seated(prev, word, n, as_prev, as_word, *_answer(_where(answers, "sweep", s), ("t", "g", "r")), root, seed, s)
+        own = np.r_[n - DISCOUNT * sums / SAMPLES, 0.0, 1.0 - DISCOUNT]  # last those of -2 and -1
+        ask = _where(t, "kind", 1)
+        code, sizes = _flat(ask, "code"), _sizes(ask, "code")
+        return _rows(REPLY, ask.num_rows, kind=0, chunk=ask.column("chunk").combine_chunks(), frm=key[0].as_py(), own=(own[code], sizes))
+
+    def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                word = unpacked("word", b.column("word")[i])
+                to = word_group(word, word_groups)
+                there, sizes = np.unique(to, return_counts=True)
+                yield from _rows("group int, chunk long, word binary", len(there), group=there.astype(np.int32), chunk=b.column("chunk")[i].as_py(),
+                                 word=(word[np.argsort(to, kind="stable")], sizes)).to_batches()
+
+    def words_for(key, ask, known):
+        """To each chunk, of its words: training count, and in each sample the state."""
+        own = _where(known, "sweep", -1)
+        word, asked, sizes = _flat(own, "word"), _flat(ask, "word"), _sizes(ask, "word")
+        at = np.searchsorted(word, asked)
+        at[at == len(word)] = 0
+        there = word[at] == asked if len(word) else np.zeros(len(asked), bool)
+        n = np.zeros(len(asked), np.int64)
+        n[there] = _flat(own, "n")[at[there]]
+        state = {}
+        for k in "tgr":
+            x = np.zeros((len(asked), SAMPLES), np.int64)
+            for i, s in enumerate(last):
+                x[there, i] = _flat(_where(known, "sweep", s), k)[at[there]]
+            state[k] = (x.ravel(), sizes * SAMPLES)
+        return _rows(REPLY, ask.num_rows, kind=1, chunk=ask.column("chunk").combine_chunks(), frm=key[0].as_py(), n=(n, sizes), **state)
+
+    def score(key, t, replies):
+        word, code, size, train = _chunk(t, 0)
+        key, pair = np.unique(keys(word, code, size), return_inverse=True)
+        _, prev, this, place = grouped(word, key, groups)
+        own, = _answer(_where(replies, "kind", 0), ("own",))
+        got = _answer(_where(replies, "kind", 1), ("n", "t", "g", "r"))
+        back = np.argsort(np.argsort(word_group(word, word_groups), kind="stable"))
+        of_word, t_, g, r = (x.reshape(len(word), -1)[back] for x in got)
+        of_word = of_word[:, 0]
+        p = own / (STRENGTH + of_word[prev])
+        for i, root in enumerate(after):
+            p += ((STRENGTH + DISCOUNT * t_[:, i]) / (STRENGTH + of_word))[prev] * root.p(g[:, i], r[:, i])[this] / SAMPLES
+        logp = np.empty(len(p))
+        logp[place] = np.log10(p)
+        doc = np.repeat(np.arange(len(size)), size)
+        sums = [np.bincount(doc, weights=x, minlength=len(size)) for x in (
+            (of_word > 0)[code], np.log10((of_word + 0.1) / (total + 0.1 * (vocabulary + 1)))[code], logp[pair])]
+        return _rows(PART, len(size), row=unpacked("row", t.column("row")[0]), n=size.astype(np.int64), known=sums[0].astype(np.int64), base=sums[1], score=sums[2])
+
+    answers = known = None
+    for s in last:
+        a = states[s - 1].where("kind = 0").select("group", "frm", "t", "g", "r", F.lit(s).alias("sweep"))
+        k = states[s].where("kind = 1").select("group", "t", "g", "r", F.lit(s).alias("sweep"))
+        answers, known = (a, k) if answers is None else (answers.unionAll(a), known.unionAll(k))
+    known = known.unionByName(words.select("group", "word", "n", F.lit(-1).alias("sweep")), allowMissingColumns=True)
+    asked = together.where("kind < 2").select("kind", "group", "chunk", "prev", "word", "n", "code")
+    replies = [zipped(asked.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(tables_of, REPLY), "lm-replies")]
+    ask = table.select("chunk", "word").mapInArrow(ask_words, "group int, chunk long, word binary")
+    replies.append(zipped(ask.groupBy("group").cogroup(known.groupBy("group")).applyInArrow(words_for, REPLY).where("chunk is not null"), "lm-replies"))
+    discard(*tables, words, *states[-1 - SAMPLES:])
+    to_chunk = replies[0].unionAll(replies[1])
+    parts = written(table.groupBy("chunk").cogroup(to_chunk.groupBy("chunk")).applyInArrow(score, PART), "lm-parts")
+    discard(table, *replies)
+    # rows alike in id and text share their key and have the same sums
+    sums = parts.groupBy("row").agg(*[F.first(c).alias(to) for c, to in (("n", "n_tokens"), ("known", "n_known"), ("base", "base_score"), ("score", "score"))])
+    return rows.select("doc_id", "row").join(sums, "row").select(
         "doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def op9(docs: DataFrame, limit: int = HEAD) -> DataFrame:
+REPLY = "kind int, chunk long, frm int, n binary, t binary, g binary, r binary, own binary"
+PART = "row long, n long, known long, base double, score double"
+
+
+def op9(docs: DataFrame, limit: int | None = None) -> DataFrame:
+    """``limit``: tokens a group of pairs holds about (``PER_GROUP``)."""
     return scores(docs.select("doc_id", "text"), limit).select(
         "doc_id", (remainder(F.col("doc_id"), 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
         F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))

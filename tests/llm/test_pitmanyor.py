@@ -141,3 +141,62 @@ def test_finder_finds_each_number():
         assert not finder.find(other)[1].any()
     key = py.pair(np.repeat(np.arange(300), 3), np.tile(np.array([0, 256, py.CONTEXTS - 1]), 300), np.uint32)
     assert len(np.unique(key)) == 900
+
+
+def whole_model(rows, seed=5):
+    """Scores of each text by the same draws, all pairs in one place."""
+    crc = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 10
+    lists = token_lists(rows)
+    ids = {w: int(py.hash_words([w]).view(np.int64)[0]) for ws in lists for w in ws}
+    pairs = lambda ws: list(zip([py.END, *ws[:-1]], ws))
+    count = Counter(p for (d, _), ws in zip(rows, lists) if crc(d) for p in pairs(ws))
+    words = sorted({w for _, w in count})
+    at = {w: i for i, w in enumerate(words)}
+    key = list(count)
+    v, w = (np.array([at[p[i]] for p in key]) for i in (0, 1))
+    h, c, size = np.array([ids[x] for x in words]), np.array([count[p] for p in key]), len(words)
+    n = np.bincount(w, weights=c)
+    own, samples = np.zeros(len(key)), []
+    t, root_tables, guests_in_all = np.ones(len(key)), float(size), 0.0
+    for sweep in range(py.BURN + py.SAMPLES + 1):
+        if sweep:
+            p = (guests - py.ROOT_DISCOUNT * r + weight) / (py.ROOT_STRENGTH + guests_in_all)
+            t = py.seat(c, (py.STRENGTH + py.DISCOUNT * tables)[v] * p[w], py.DISCOUNT, py.keyed(seed, 2 * sweep, h[w], h[v]))
+        weight = (py.ROOT_STRENGTH + py.ROOT_DISCOUNT * root_tables) / (size + 1)
+        tables, guests = (np.bincount(x, weights=t, minlength=size) for x in (v, w))
+        r = py.seat(guests, np.full(size, weight), py.ROOT_DISCOUNT, py.keyed(seed, 2 * sweep + 1, h, np.full(size, -1)))
+        root_tables, guests_in_all = r.sum(), guests.sum()
+        weight = (py.ROOT_STRENGTH + py.ROOT_DISCOUNT * root_tables) / (size + 1)
+        if sweep > py.BURN:
+            own += (c - py.DISCOUNT * t) / py.SAMPLES
+            base = py.ROOT_STRENGTH + guests_in_all
+            samples.append(((py.STRENGTH + py.DISCOUNT * tables) / (py.STRENGTH + n), (guests - py.ROOT_DISCOUNT * r + weight) / base, weight / base))
+    pair_at = {p: i for i, p in enumerate(key)}
+
+    def prob(a, b):
+        x = own[pair_at[a, b]] / (py.STRENGTH + n[at[a]]) if (a, b) in pair_at else 0.0
+        return x + sum((back[at[a]] if a in at else 1.0) * (root[at[b]] if b in at else floor) for back, root, floor in samples) / py.SAMPLES
+
+    for a in (py.END, words[len(words) // 2], b"never"):
+        assert sum(prob(a, b) for b in words) + prob(a, b"unseen") == pytest.approx(1.0, abs=1e-9)
+    return [sum(math.log10(prob(a, b)) for a, b in pairs(ws)) for ws in lists]
+
+
+@pytest.mark.parametrize("limit", [500, None])
+def test_every_word_is_a_context(spark, monkeypatch, limit):
+    rows = corpus(80)
+    chain = ["w%04d" % (i * 7919 % 3000) for i in range(3000)]  # each has its follower, all end in a digit
+    rows += [(1000 + i, " ".join(chain[j % 3000] for j in range(50 * i, 50 * i + 70))) for i in range(120)]
+    monkeypatch.setattr(py, "NAMED", 2)
+    monkeypatch.setattr(py, "ENTRIES", 4000)
+    got = {(r.doc_id, r.n_tokens): r for r in py.op9(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), limit).collect()}
+    for (d, _), ws, want in zip(rows, token_lists(rows), whole_model(rows)):
+        assert got[d, len(ws)].score == pytest.approx(want, rel=1e-9)
+    held = [r for r in got.values() if r.held_out and r.doc_id and r.doc_id >= 1000]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held) + 1.0 * sum(r.n_tokens for r in held)
+
+
+def test_packed_lists():
+    assert py.unpacked("code", py.packed("code", np.arange(-2, 700), np.array([702]))[0]).tolist() == list(range(-2, 700))
+    assert py.unpacked("own", py.packed("own", np.array([0.3, -1.5]), np.array([2, 0]))[0]).tolist() == [0.3, -1.5]
+    assert len(py.unpacked("n", py.packed("n", np.arange(3), np.array([3, 0]))[1])) == 0
