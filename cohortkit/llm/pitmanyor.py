@@ -49,7 +49,7 @@ BURN, SAMPLES = 2, 2
 #: Tokens a group of pairs holds about, and at least; groups meet in so many passes.
 PER_GROUP, LEAST, PASSES = 1 << 21, 500, 2
 #: Bytes of texts that form a chunk, unless one text is longer.
-ENTRIES = 1 << 24
+ENTRIES = 14 << 20
 #: Customers seated one by one; later tables are reached by jumps.
 ONE_BY_ONE = 64
 
@@ -378,7 +378,7 @@ def pair(place: np.ndarray, ctx: np.ndarray, kind: type) -> np.ndarray:
 #: Lists of numbers travel packed into bytes, one kind a name; hashes as they are,
 #: others by first bytes, second bytes and so on, which compress better.
 HASHED = {"row": np.int64, "word": np.int64, "prev": np.int64}
-NUMBERS = {"train": np.int32, "size": np.int32, "code": np.int32, "c": np.int32, "n": np.int64, "t": np.int32, "g": np.int32, "r": np.int32, "own": np.float64}
+NUMBERS = {"train": np.int32, "size": np.int32, "code": np.int32, "c": np.int32, "n": np.int64, "t": np.int32, "g": np.int32, "r": np.int32}
 KINDS = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
 
 
@@ -455,7 +455,10 @@ def chunks(rows: DataFrame) -> DataFrame:
                 part = b.slice(at, n)
                 got = [word_hashes(part.column(2).slice(i, k)) for i, k in slices(part.column(2))]
                 size = np.concatenate([g[2] for g in got])
-                word, code = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
+                w = np.concatenate([g[0] for g in got])
+                del got
+                word, code = np.unique(w, return_inverse=True)
+                del w
                 one = np.array([n])
                 yield from _rows(ddl, 1, chunk=number, tokens=len(code), row=(part.column(0).to_numpy(), one),
                                  train=(part.column(1).to_numpy(zero_copy_only=False), one), size=(size, one),
@@ -469,9 +472,12 @@ def keys(word: np.ndarray, code: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Each token's pair in a chunk: place of the word before, times the number of
     words, and place of the word. The word before a text's first is the end."""
     end = int(np.searchsorted(word, hash_words([END]).view(np.int64)[0]))
-    prev = np.r_[end, code[:-1]][:len(code)].astype(np.int64)
-    prev[np.cumsum(size) - size] = end
-    return prev * len(word) + code
+    key = np.empty(len(code), np.int64)
+    key[1:] = code[:-1]
+    key[np.cumsum(size) - size] = end
+    key *= len(word)
+    key += code
+    return key
 
 
 def grouped(word: np.ndarray, key: np.ndarray, groups: int, part: int = 0, parts: int = 1):
@@ -504,11 +510,15 @@ def met(table: DataFrame, groups: int, word_groups: int) -> list[DataFrame]:
             for b in batches:
                 for i in range(b.num_rows):
                     word, code, size, train = _chunk(b, i)
-                    key = keys(word, code, size) * 2 + np.repeat(train, size)
+                    key = keys(word, code, size)
+                    key *= 2
+                    key += np.repeat(train, size)
                     key.sort()
-                    new = np.flatnonzero(np.r_[True, key[1:] >> 1 != key[:-1] >> 1])
-                    c = np.add.reduceat(key & 1, new)
-                    group, before, this, place = grouped(word, key[new] >> 1, groups, part, parts)
+                    c = (key & 1).astype(np.int32)
+                    key >>= 1
+                    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+                    c, key = np.add.reduceat(c, new), key[new]
+                    group, before, this, place = grouped(word, key, groups, part, parts)
                     to, sizes = np.unique(group, return_counts=True)
                     yield from _rows("group int, chunk long, prev binary, word binary, c binary", len(to),
                                      group=to.astype(np.int32), chunk=b.column("chunk")[i].as_py(), prev=(word[before], sizes),
@@ -696,16 +706,16 @@ def scores(docs: DataFrame, limit: int | None = None, seed: int = 5) -> DataFram
     before, after = [roots[s - 1] for s in last], [roots[s] for s in last]
 
     def tables_of(key, t, answers):
-        """To each chunk, of its pairs: training count less the tables' discounts, averaged."""
+        """To each chunk, of its pairs: training count, and tables summed over the samples."""
         prev, word, n = _pairs(_where(t, "kind", 0))
         _, _, as_prev, as_word = words_in(prev, word, word_groups)
         sums = np.zeros(len(n))
         for s, root in zip(last, before):
             sums += seated(prev, word, n, as_prev, as_word, *_answer(_where(answers, "sweep", s), ("t", "g", "r")), root, seed, s)
-        own = np.r_[n - DISCOUNT * sums / SAMPLES, 0.0, 1.0 - DISCOUNT]  # last those of -2 and -1
+        n, sums = np.r_[n, 0, 1], np.r_[sums, 0, SAMPLES].astype(np.int32)  # last those of -2 and -1
         ask = _where(t, "kind", 1)
         code, sizes = _flat(ask, "code"), _sizes(ask, "code")
-        return _rows(REPLY, ask.num_rows, kind=0, chunk=ask.column("chunk").combine_chunks(), frm=key[0].as_py(), own=(own[code], sizes))
+        return _rows(REPLY, ask.num_rows, kind=0, chunk=ask.column("chunk").combine_chunks(), frm=key[0].as_py(), n=(n[code], sizes), t=(sums[code], sizes))
 
     def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -737,12 +747,14 @@ def scores(docs: DataFrame, limit: int | None = None, seed: int = 5) -> DataFram
         word, code, size, train = _chunk(t, 0)
         key, pair = np.unique(keys(word, code, size), return_inverse=True)
         _, prev, this, place = grouped(word, key, groups)
-        own, = _answer(_where(replies, "kind", 0), ("own",))
+        del key
+        n, tables = _answer(_where(replies, "kind", 0), ("n", "t"))
         got = _answer(_where(replies, "kind", 1), ("n", "t", "g", "r"))
         back = np.argsort(np.argsort(word_group(word, word_groups), kind="stable"))
         of_word, t_, g, r = (x.reshape(len(word), -1)[back] for x in got)
         of_word = of_word[:, 0]
-        p = own / (STRENGTH + of_word[prev])
+        p = (n - DISCOUNT * tables / SAMPLES) / (STRENGTH + of_word[prev])
+        del n, tables
         for i, root in enumerate(after):
             p += ((STRENGTH + DISCOUNT * t_[:, i]) / (STRENGTH + of_word))[prev] * root.p(g[:, i], r[:, i])[this] / SAMPLES
         logp = np.empty(len(p))
@@ -772,7 +784,7 @@ def scores(docs: DataFrame, limit: int | None = None, seed: int = 5) -> DataFram
         "doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-REPLY = "kind int, chunk long, frm int, n binary, t binary, g binary, r binary, own binary"
+REPLY = "kind int, chunk long, frm int, n binary, t binary, g binary, r binary"
 PART = "row long, n long, known long, base double, score double"
 
 
