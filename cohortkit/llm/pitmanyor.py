@@ -1,23 +1,25 @@
 """Operator 9: language-model scores by a hierarchical Pitman-Yor model.
 
 Tokens are words (A-Z lower-cased) and one end per text. A token's context is
-the token before it, if that is among the ``NAMED`` most frequent training
-tokens, else that token's last byte (or the text's start). So there are at most
-``CONTEXTS`` restaurants; they share one parent restaurant over the vocabulary,
-whose own base is uniform over the training tokens and one unknown. Each
+the token before it (the end, at a text's start): every training token is a
+restaurant of its own, however many there are. They share one parent restaurant
+over the vocabulary, whose own base is uniform over the training tokens and one
+unknown; a context never seen in training falls back to the parent. Each
 restaurant's customers are its tokens' counts; a Gibbs sweep seats every dish
-anew given the totals of all restaurants from the sweep before (blocked by
-dish, so that words are independent and a sweep is one pass over the counts).
-After ``BURN`` sweeps come ``SAMPLES`` more, each from the totals of the one
-before, and their predictive probabilities are averaged. Draws depend on word,
-context and sweep alone: a seating is never stored but drawn again, and scores
-do not depend on how rows are partitioned.
-
-Counts are pre-summed per batch and task, then meet by (word, context); the sums
-are gathered by word, at most ``CONTEXTS`` of them. For scoring, the words that
-are frequent (at most ``HEAD`` of them with at most ``ENTRIES`` contexts in all,
-by a count threshold) are sent to all tasks; the rest meet their texts in a join
-by word. Nothing else travels but the texts' sums.
+anew given the totals of all restaurants from the sweep before. After ``BURN``
+sweeps come ``SAMPLES`` more, and their predictive probabilities are averaged.
+Draws depend on word, context and sweep alone: a seating is never stored but
+drawn again, and scores do not depend on how rows are partitioned.
+
+Texts are written once as chunks of token numbers. The distinct pairs of all
+chunks meet by group of pairs, words by group of words; in a sweep the groups
+send each other sums and totals. Pairs counted once have one table always, so
+only those counted twice or more take part. At the end both kinds of groups
+answer each chunk, which then has all it needs to score its texts. Groups grow
+in number, not in size; nothing but a few sums passes through the driver.
+
+``frequent``, ``counts``, ``gibbs`` and ``predictive`` are the smaller model over a
+given list of contexts, others sharing one by last byte; the query uses none.
 
 Defined results: a null or empty text is one token, its end; text rows alike in
 id and text score alike; a null doc_id counts as the empty text in the split;
@@ -38,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, hash_words, mix64, remainder, written
 
-#: Words that are contexts of their own; ids 0 to 255 are last bytes.
+#: Of the smaller model: words that are contexts of their own; ids 0 to 255 are last bytes.
 NAMED = 1024
 START = 256
 CONTEXTS = 257 + NAMED
