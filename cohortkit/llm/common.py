@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import tempfile
 import time
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +70,24 @@ def discard(*tables: DataFrame) -> None:
         time.sleep(1)  # the cleaner works on its own thread
 
 
+#: glibc's M_MMAP_THRESHOLD and M_TRIM_THRESHOLD; bytes from which a block is on its own.
+_MMAP, _TRIM, BLOCK_BYTES = -3, -1, 1 << 22
+
+
+@functools.cache
+def lean() -> None:
+    """Called by tasks, works once in a worker: arrays and Arrow buffers of 4 MB or
+    more go back to the system when they are freed, instead of staying with a worker
+    that waits for its next task. Without glibc nothing changes for arrays."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        mallopt = ctypes.CDLL(None).mallopt
+    except (AttributeError, OSError, TypeError):
+        return
+    mallopt(_MMAP, BLOCK_BYTES)
+    mallopt(_TRIM, BLOCK_BYTES)
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

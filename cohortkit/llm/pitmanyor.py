@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, hash_words, mix64, remainder, written
+from .common import discard, hash_words, lean, mix64, remainder, written
 
 #: Of the smaller model: words that are contexts of their own; ids 0 to 255 are last bytes.
 NAMED = 1024
@@ -52,6 +52,8 @@ BURN, SAMPLES = 2, 2
 PER_GROUP, LEAST, PASSES = 1 << 21, 500, 2
 #: Bytes of texts that form a chunk, unless one text is longer.
 ENTRIES = 14 << 20
+#: Tokens or pairs of a chunk that are scored at a time.
+AT_ONCE = 1 << 18
 #: Customers seated one by one; later tables are reached by jumps.
 ONE_BY_ONE = 64
 
@@ -386,9 +388,13 @@ KINDS = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "binary"
 
 def packed(name: str, values: np.ndarray, sizes: np.ndarray) -> pa.Array:
     kind = np.dtype(HASHED.get(name) or NUMBERS[name])
-    x, ends = np.ascontiguousarray(values, kind).view(np.uint8).reshape(-1, kind.itemsize), np.cumsum(sizes)
-    parts = (x[i:j] for i, j in zip(ends - sizes, ends))
-    return pa.array([(part if name in HASHED else part.T).tobytes() for part in parts], pa.binary())
+    x, width = np.ascontiguousarray(values, kind).view(np.uint8).ravel(), kind.itemsize
+    ends = np.r_[0, np.cumsum(sizes)] * width
+    if name not in HASHED:
+        plain, x = x, np.empty_like(x)
+        for i, j in zip(ends[:-1].tolist(), ends[1:].tolist()):
+            x[i:j].reshape(width, -1)[:] = plain[i:j].reshape(-1, width).T
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(x)])
 
 
 def unpacked(name: str, value: pa.Scalar) -> np.ndarray:
@@ -398,13 +404,19 @@ def unpacked(name: str, value: pa.Scalar) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(value.as_buffer(), np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
 
 
-def _flat(t: pa.Table, name: str) -> np.ndarray:
-    parts = [unpacked(name, x) for x in t.column(name)]
-    return np.concatenate(parts) if parts else np.empty(0, HASHED.get(name) or NUMBERS[name])
+def _flat(t: pa.Table, name: str, rows: np.ndarray | None = None) -> np.ndarray:
+    """The lists of all rows, or of ``rows`` in their order, as one."""
+    column, sizes = t.column(name), _sizes(t, name)
+    rows = np.arange(len(sizes)) if rows is None else rows
+    out, at = np.empty(int(sizes[rows].sum()), HASHED.get(name) or NUMBERS[name]), 0
+    for i in rows[sizes[rows] > 0].tolist():
+        out[at:at + sizes[i]] = unpacked(name, column[i])
+        at += sizes[i]
+    return out
 
 
 def _sizes(t: pa.Table, name: str) -> np.ndarray:
-    return pc.binary_length(t.column(name)).to_numpy().astype(np.int64) // np.dtype(HASHED.get(name) or NUMBERS[name]).itemsize
+    return pc.fill_null(pc.binary_length(t.column(name)), 0).to_numpy().astype(np.int64) // np.dtype(HASHED.get(name) or NUMBERS[name]).itemsize
 
 
 def _rows(ddl: str, n: int, /, **columns) -> pa.Table:
@@ -422,8 +434,32 @@ def _rows(ddl: str, n: int, /, **columns) -> pa.Table:
     return pa.Table.from_arrays(full, schema=schema)
 
 
-def _where(t: pa.Table, name: str, value: int) -> pa.Table:
-    return t.filter(pc.equal(t.column(name), value))
+def _where(t: pa.Table, name: str, value: int) -> np.ndarray:
+    """The rows of a value. Their lists are read where they are: a filter copies them."""
+    return np.flatnonzero(t.column(name).to_numpy() == value)
+
+
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and each one's place, like np.unique with fewer
+    numbers held: an array that the caller does not hold is freed once it is sorted."""
+    order = np.argsort(x)
+    if len(x) < 1 << 31:
+        order = order.astype(np.int32)
+    x = x[order]
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    place = np.empty(len(x), order.dtype)
+    place[order] = np.cumsum(new, dtype=order.dtype) - 1
+    return x[new], place
+
+
+def text_spans(size: np.ndarray, most: int = AT_ONCE) -> Iterator[tuple[slice, slice]]:
+    """Consecutive texts and their tokens: at most ``most`` tokens, or one text."""
+    ends, at = np.r_[0, np.cumsum(size)], 0
+    while at < len(size):
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+        yield slice(at, upto), slice(int(ends[at]), int(ends[upto]))
+        at = upto
 
 
 def pair_group(prev: np.ndarray, word: np.ndarray, groups: int) -> np.ndarray:
@@ -451,16 +487,16 @@ def chunks(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        lean()
         number = TaskContext.get().partitionId() << 32
         for b in batches:
             for at, n in slices(b.column(2), 1 << 13, most):
                 part = b.slice(at, n)
                 got = [word_hashes(part.column(2).slice(i, k)) for i, k in slices(part.column(2))]
                 size = np.concatenate([g[2] for g in got])
-                w = np.concatenate([g[0] for g in got])
+                w = [np.concatenate([g[0] for g in got])]
                 del got
-                word, code = np.unique(w, return_inverse=True)
-                del w
+                word, code = distinct(w.pop())
                 one = np.array([n])
                 yield from _rows(ddl, 1, chunk=number, tokens=len(code), row=(part.column(0).to_numpy(), one),
                                  train=(part.column(1).to_numpy(zero_copy_only=False), one), size=(size, one),
@@ -485,9 +521,13 @@ def keys(word: np.ndarray, code: np.ndarray, size: np.ndarray) -> np.ndarray:
 def grouped(word: np.ndarray, key: np.ndarray, groups: int, part: int = 0, parts: int = 1):
     """The sorted pairs ``key`` in the order of their groups, those with groups of
     a part: groups, places of the word before, of the word, and of the pair."""
-    before, this = np.divmod(key, len(word))
-    group = pair_group(word[before], word[this], groups)
-    mine = np.flatnonzero(group % parts == part) if parts > 1 else np.arange(len(key))
+    before, this = (np.empty(len(key), np.int32) for _ in range(2))
+    group = np.empty(len(key), _small(np.empty(0, np.int64), groups).dtype)
+    for at in range(0, len(key), AT_ONCE):
+        i = slice(at, at + AT_ONCE)
+        before[i], this[i] = np.divmod(key[i], len(word))
+        group[i] = pair_group(word[before[i]], word[this[i]], groups)
+    mine = np.flatnonzero(group % parts == part).astype(np.int32) if parts > 1 else np.arange(len(key), dtype=np.int32)
     mine = mine[np.argsort(group[mine], kind="stable")]
     return group[mine], before[mine], this[mine], mine
 
@@ -509,6 +549,7 @@ def met(table: DataFrame, groups: int, word_groups: int) -> list[DataFrame]:
 
     def send(part: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            lean()
             for b in batches:
                 for i in range(b.num_rows):
                     word, code, size, train = _chunk(b, i)
@@ -520,6 +561,7 @@ def met(table: DataFrame, groups: int, word_groups: int) -> list[DataFrame]:
                     key >>= 1
                     new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
                     c, key = np.add.reduceat(c, new), key[new]
+                    del code, new
                     group, before, this, place = grouped(word, key, groups, part, parts)
                     to, sizes = np.unique(group, return_counts=True)
                     yield from _rows("group int, chunk long, prev binary, word binary, c binary", len(to),
@@ -529,25 +571,38 @@ def met(table: DataFrame, groups: int, word_groups: int) -> list[DataFrame]:
         return run
 
     def meet(key, t):
-        prev, word, c = _flat(t, "prev"), _flat(t, "word"), _flat(t, "c")
-        h = mix64(word.view(np.uint64) ^ mix64(prev.view(np.uint64)))
+        lean()
+        prev, word = _flat(t, "prev"), _flat(t, "word")
+        h = mix64(prev.view(np.uint64))
+        h ^= word.view(np.uint64)
+        h = mix64(h)
         order = np.argsort(h)
-        same = h[order[1:]] == h[order[:-1]]
-        if np.any(same & (word[order[1:]] != word[order[:-1]])):  # two pairs share the number
-            order = np.lexsort((prev, word))
-            same = (word[order[1:]] == word[order[:-1]]) & (prev[order[1:]] == prev[order[:-1]])
+        if len(order) < 1 << 31:
+            order = order.astype(np.int32)
+        h = h[order]
+        same = h[1:] == h[:-1]
+        del h
+        prev, word = prev[order], word[order]
+        if np.any(same & (word[1:] != word[:-1])):  # two pairs share the number
+            again = np.lexsort((prev, word))
+            order, prev, word = order[again], prev[again], word[again]
+            same = (word[1:] == word[:-1]) & (prev[1:] == prev[:-1])
         new = np.flatnonzero(np.r_[True, ~same])
-        n = np.add.reduceat(c[order].astype(np.int64), new)
-        prev, word = prev[order[new]], word[order[new]]
+        del same
+        n = np.add.reduceat(_flat(t, "c")[order].astype(np.int64), new)
+        prev, word = prev[new], word[new]
         code, often = (n - 2).astype(np.int32), np.flatnonzero(n >= 2)
         often = often[np.argsort(prev[often])]
         code[often] = np.arange(len(often), dtype=np.int32)
         of_entry = np.empty(len(order), np.int32)
         of_entry[order] = np.repeat(code, np.diff(np.r_[new, len(order)]))
+        del order, new, code
         kept = [x[often] for x in (prev, word, n)]
         one = np.array([len(kept[0])])
         seen = n >= 1
-        u, at = np.unique(np.concatenate([prev[seen], word[seen]]), return_inverse=True)
+        both = [np.concatenate([prev[seen], word[seen]])]
+        del prev, word
+        u, at = distinct(both.pop())
         as_prev, as_word, once = at[:len(at) // 2], at[len(at) // 2:], n[seen] == 1
         to = word_group(u, word_groups)
         by = np.argsort(to, kind="stable")
@@ -609,10 +664,10 @@ def seated(prev, word, n, as_prev, as_word, tables, guests, root_tables, root: R
 
 def words_in(prev: np.ndarray, word: np.ndarray, groups: int):
     """Distinct words by group, their groups, and the places of prev and word."""
-    u, at = np.unique(np.concatenate([prev, word]), return_inverse=True)
+    u, at = distinct(np.concatenate([prev, word]))
     group = word_group(u, groups)
     order = np.argsort(group, kind="stable")
-    place = np.empty(len(order), np.int64)
+    place = np.empty(len(order), at.dtype)
     place[order] = np.arange(len(order))
     at = place[at]
     return u[order], group[order], at[:len(prev)], at[len(prev):]
@@ -622,14 +677,15 @@ SENT = "group int, frm int, word binary, t binary, g binary"
 STATE = "kind int, group int, frm int, t binary, g binary, r binary, customers double, tables double"
 
 
-def _pairs(t: pa.Table):
-    return _flat(t, "prev"), _flat(t, "word"), _flat(t, "n")
+def _pairs(t: pa.Table, rows: np.ndarray | None = None):
+    return _flat(t, "prev", rows), _flat(t, "word", rows), _flat(t, "n", rows)
 
 
-def _answer(t: pa.Table, names: tuple[str, ...]) -> list[np.ndarray]:
-    """The lists of a group's answers, in order of the groups they come from."""
-    t = t.sort_by("frm")
-    return [_flat(t, k) for k in names]
+def _answer(t: pa.Table, names: tuple[str, ...], rows: np.ndarray | None = None) -> list[np.ndarray]:
+    """The lists of a group's answers (all or ``rows``), in order of the groups they come from."""
+    rows = np.arange(t.num_rows) if rows is None else rows
+    rows = rows[np.argsort(t.column("frm").to_numpy()[rows], kind="stable")]
+    return [_flat(t, k, rows) for k in names]
 
 
 def sweeps(pairs: DataFrame, words: DataFrame, vocabulary: int, word_groups: int, seed: int = 5) -> tuple[list[DataFrame], list[Root]]:
@@ -643,11 +699,13 @@ def sweeps(pairs: DataFrame, words: DataFrame, vocabulary: int, word_groups: int
         return _rows(SENT, len(there), group=there.astype(np.int32), frm=group, word=(u, sizes), t=(sums[0], sizes), g=(sums[1], sizes))
 
     def start(key, t):
+        lean()
         prev, word, n = _pairs(t)
         return messages(key[0].as_py(), prev, word, np.ones(len(n)))
 
     def sweep_with(root: Root, sweep: int):
         def run(key, t, answers):
+            lean()
             prev, word, n = _pairs(t)
             _, _, as_prev, as_word = words_in(prev, word, word_groups)
             tables = seated(prev, word, n, as_prev, as_word, *_answer(answers, ("t", "g", "r")), root, seed, sweep)
@@ -657,6 +715,7 @@ def sweeps(pairs: DataFrame, words: DataFrame, vocabulary: int, word_groups: int
 
     def add_with(root: Root, sweep: int):
         def run(key, asked, known):
+            lean()
             word, own = _flat(known, "word"), _sizes(known, "word")
             at = np.searchsorted(word, _flat(asked, "word"))
             t, g = (_flat(known, k) + np.bincount(at, weights=_flat(asked, k), minlength=len(word)) for k in ("t", "g"))
@@ -709,15 +768,17 @@ def scores(docs: DataFrame, limit: int | None = None, seed: int = 5) -> DataFram
 
     def tables_of(key, t, answers):
         """To each chunk, of its pairs: training count, and tables summed over the samples."""
-        prev, word, n = _pairs(_where(t, "kind", 0))
+        lean()
+        prev, word, n = _pairs(t, _where(t, "kind", 0))
         _, _, as_prev, as_word = words_in(prev, word, word_groups)
         sums = np.zeros(len(n))
         for s, root in zip(last, before):
-            sums += seated(prev, word, n, as_prev, as_word, *_answer(_where(answers, "sweep", s), ("t", "g", "r")), root, seed, s)
+            sums += seated(prev, word, n, as_prev, as_word, *_answer(answers, ("t", "g", "r"), _where(answers, "sweep", s)), root, seed, s)
         n, sums = np.r_[n, 0, 1], np.r_[sums, 0, SAMPLES].astype(np.int32)  # last those of -2 and -1
+        del prev, word, as_prev, as_word
         ask = _where(t, "kind", 1)
-        code, sizes = _flat(ask, "code"), _sizes(ask, "code")
-        return _rows(REPLY, ask.num_rows, kind=0, chunk=ask.column("chunk").combine_chunks(), frm=key[0].as_py(), n=(n[code], sizes), t=(sums[code], sizes))
+        code, sizes = _flat(t, "code", ask), _sizes(t, "code")[ask]
+        return _rows(REPLY, len(ask), kind=0, chunk=t.column("chunk").combine_chunks().take(pa.array(ask)), frm=key[0].as_py(), n=(n[code], sizes), t=(sums[code], sizes))
 
     def ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -730,40 +791,48 @@ def scores(docs: DataFrame, limit: int | None = None, seed: int = 5) -> DataFram
 
     def words_for(key, ask, known):
         """To each chunk, of its words: training count, and in each sample the state."""
+        lean()
         own = _where(known, "sweep", -1)
-        word, asked, sizes = _flat(own, "word"), _flat(ask, "word"), _sizes(ask, "word")
+        word, asked, sizes = _flat(known, "word", own), _flat(ask, "word"), _sizes(ask, "word")
         at = np.searchsorted(word, asked)
         at[at == len(word)] = 0
         there = word[at] == asked if len(word) else np.zeros(len(asked), bool)
         n = np.zeros(len(asked), np.int64)
-        n[there] = _flat(own, "n")[at[there]]
+        n[there] = _flat(known, "n", own)[at[there]]
         state = {}
         for k in "tgr":
             x = np.zeros((len(asked), SAMPLES), np.int64)
             for i, s in enumerate(last):
-                x[there, i] = _flat(_where(known, "sweep", s), k)[at[there]]
+                x[there, i] = _flat(known, k, _where(known, "sweep", s))[at[there]]
             state[k] = (x.ravel(), sizes * SAMPLES)
         return _rows(REPLY, ask.num_rows, kind=1, chunk=ask.column("chunk").combine_chunks(), frm=key[0].as_py(), n=(n, sizes), **state)
 
     def score(key, t, replies):
+        lean()
         word, code, size, train = _chunk(t, 0)
-        key, pair = np.unique(keys(word, code, size), return_inverse=True)
+        key, pair = distinct(keys(word, code, size))
         _, prev, this, place = grouped(word, key, groups)
         del key
-        n, tables = _answer(_where(replies, "kind", 0), ("n", "t"))
-        got = _answer(_where(replies, "kind", 1), ("n", "t", "g", "r"))
+        n, tables = _answer(replies, ("n", "t"), _where(replies, "kind", 0))
+        got = _answer(replies, ("n", "t", "g", "r"), _where(replies, "kind", 1))
         back = np.argsort(np.argsort(word_group(word, word_groups), kind="stable"))
         of_word, t_, g, r = (x.reshape(len(word), -1)[back] for x in got)
         of_word = of_word[:, 0]
-        p = (n - DISCOUNT * tables / SAMPLES) / (STRENGTH + of_word[prev])
-        del n, tables
-        for i, root in enumerate(after):
-            p += ((STRENGTH + DISCOUNT * t_[:, i]) / (STRENGTH + of_word))[prev] * root.p(g[:, i], r[:, i])[this] / SAMPLES
-        logp = np.empty(len(p))
-        logp[place] = np.log10(p)
-        doc = np.repeat(np.arange(len(size)), size)
-        sums = [np.bincount(doc, weights=x, minlength=len(size)) for x in (
-            (of_word > 0)[code], np.log10((of_word + 0.1) / (total + 0.1 * (vocabulary + 1)))[code], logp[pair])]
+        of_sample = [((STRENGTH + DISCOUNT * t_[:, i]) / (STRENGTH + of_word), root.p(g[:, i], r[:, i])) for i, root in enumerate(after)]
+        logp = np.empty(len(n))
+        for first in range(0, len(n), AT_ONCE):
+            i = slice(first, first + AT_ONCE)
+            p = (n[i] - DISCOUNT * tables[i] / SAMPLES) / (STRENGTH + of_word[prev[i]])
+            for weight, root_p in of_sample:
+                p += weight[prev[i]] * root_p[this[i]] / SAMPLES
+            logp[place[i]] = np.log10(p)
+        del n, tables, prev, this, place
+        known, base = of_word > 0, np.log10((of_word + 0.1) / (total + 0.1 * (vocabulary + 1)))
+        sums = [np.empty(len(size)) for _ in range(3)]
+        for texts, i in text_spans(size):
+            doc = np.repeat(np.arange(texts.stop - texts.start), size[texts])
+            for to, x in zip(sums, (known[code[i]], base[code[i]], logp[pair[i]])):
+                to[texts] = np.bincount(doc, weights=x, minlength=texts.stop - texts.start)
         return _rows(PART, len(size), row=unpacked("row", t.column("row")[0]), n=size.astype(np.int64), known=sums[0].astype(np.int64), base=sums[1], score=sums[2])
 
     answers = known = None

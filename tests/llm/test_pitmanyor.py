@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -200,3 +201,46 @@ def test_packed_lists():
     assert py.unpacked("code", py.packed("code", np.arange(-2, 700), np.array([702]))[0]).tolist() == list(range(-2, 700))
     assert py.unpacked("word", py.packed("word", np.array([3, -(1 << 60)]), np.array([2, 0]))[0]).tolist() == [3, -(1 << 60)]
     assert len(py.unpacked("n", py.packed("n", np.arange(3), np.array([3, 0]))[1])) == 0
+
+
+def test_few_numbers_are_held_at_once():
+    rng = np.random.default_rng(3)
+    word = np.unique(rng.integers(-(1 << 62), 1 << 62, 3000))
+    x, n = [rng.integers(0, len(word) ** 2, 1 << 20)], 1 << 20
+    u, at = np.unique(x[0], return_inverse=True)
+    x[0] = x[0].copy()
+    tracemalloc.start()
+    try:
+        key, place = py.distinct(x.pop())
+        assert tracemalloc.get_traced_memory()[1] < 26 * n  # besides the given numbers
+        assert np.array_equal(key, u) and np.array_equal(place, at)
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        group, before, this, mine = py.grouped(word, key, 40)
+        assert tracemalloc.get_traced_memory()[1] - held < 50 * n
+        tracemalloc.reset_peak()
+        held = tracemalloc.get_traced_memory()[0]
+        py.packed("word", key, np.array([len(key) - 5, 0, 5]))
+        assert tracemalloc.get_traced_memory()[1] - held < 100_000  # no copy
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(before * len(word) + this.astype(np.int64), key[mine])
+    assert np.array_equal(group, py.pair_group(word[before], word[this], 40))
+    assert np.all(np.diff(group.astype(int)) >= 0) and np.array_equal(np.sort(mine), np.arange(len(key)))
+    for empty in (py.distinct(np.empty(0, np.int64)), py.grouped(word, key[:0], 40)):
+        assert all(len(a) == 0 for a in empty)
+
+
+def test_texts_are_summed_in_spans():
+    size = np.array([3, 1, 9, 2, 2])
+    got = list(py.text_spans(size, 4))
+    assert got == [(slice(0, 2), slice(0, 4)), (slice(2, 3), slice(4, 13)), (slice(3, 5), slice(13, 17))]
+    assert list(py.text_spans(size[:0])) == []
+
+
+def test_answers_are_read_in_order_of_their_senders():
+    one = np.array([2, 1, 0, 1])
+    t = py._rows("kind int, frm int, t binary, r binary", 4, kind=np.array([0, 1, 0, 1]), frm=np.array([7, 2, 1, 0]), t=(np.array([5, 6, 8, 9]), one))
+    assert py._where(t, "kind", 1).tolist() == [1, 3]
+    assert [x.tolist() for x in py._answer(t, ("t", "r"))] == [[9, 8, 5, 6], []]
+    assert py._answer(t, ("t",), py._where(t, "kind", 0))[0].tolist() == [5, 6]
