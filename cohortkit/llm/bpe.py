@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import lean
+
 #: Characters from which a text is encoded in chunks, and characters of a chunk.
 LONG, CHUNK = 65_536, 16_384
 #: Rows whose values a worker holds at a time.
@@ -148,6 +150,7 @@ def _mapped(df: DataFrame, col: str, out: str, arrow: pa.DataType, kind: T.DataT
     keep = [f.name for f in schema.fields[:-1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for whole in batches:
             for at in range(0, whole.num_rows, STEP):
                 b = whole.slice(at, STEP)

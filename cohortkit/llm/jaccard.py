@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, hash_words, join_on, mix64, words, written
+from .common import discard, hash_words, join_on, lean, mix64, words, written
 
 SHINGLE = 5
 SMALL = 48
@@ -201,6 +201,7 @@ def members(docs: DataFrame) -> DataFrame:
     """doc_id, digest of the text, n (size of the set), node (null for an empty
     set), fold, and for sets of SMALL elements or more band and spare."""
     def run(batches):
+        lean()
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
@@ -222,6 +223,7 @@ def members(docs: DataFrame) -> DataFrame:
 def buckets(docs: DataFrame, spares: dict[int, int]) -> DataFrame:
     """(key, node); a batch names each set once."""
     def run(batches):
+        lean()
         for b in batches:
             seen = set()
             for _, texts in _texts(b):
@@ -271,6 +273,7 @@ _KIND = pa.schema([("kind", pa.int8()), ("a", pa.int64()), ("b", pa.int64())])
 def in_runs(batches: Iterator[pa.RecordBatch], few: int, part: int) -> Iterator[pa.RecordBatch]:
     """Candidates from batches of (key, node) that are sorted by both. Of a bucket of
     ``part`` nodes or more the rest follows as members of the same large bucket."""
+    lean()
     key, node, going = np.empty(0, np.int64), np.empty(0, np.int64), None
 
     def out(a, b, big):
@@ -328,6 +331,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(_filter_of(nodes))
 
     def run(batches):
+        lean()
         bits = sent.value
         for b in batches:
             seen = set()
@@ -364,6 +368,7 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The linked ones of the pairs (a, b). ``nodes``: node, n, fold. Sketches go
     first; whole sets follow only for what their Hamming distance leaves open."""
     def possible(batches):
+        lean()
         for t in batches:
             na, nb = t.column(2).to_numpy(), t.column(4).to_numpy()
             d = np.empty(len(na), np.int64)
@@ -374,6 +379,7 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             yield t.select(["a", "b"]).filter(pa.array(_near(na, nb, d)))
 
     def exact(batches):
+        lean()
         for t in batches:
             ok = []
             for x, y in zip(t.column(2), t.column(3)):
@@ -538,6 +544,7 @@ def _crossing(unresolved: DataFrame, nodes: DataFrame) -> DataFrame:
     """Of the pairs of different labels within a large bucket that the sketches leave
     open, as many (a, b) as connect the same nodes: a task gives less than it has nodes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         trees = Forest()
         for t in _whole_groups(batches, 20_000):
             node = t.column("node").to_numpy()
@@ -555,6 +562,7 @@ def _linking(docs: DataFrame, clusters: DataFrame, nodes: DataFrame) -> DataFram
     found, and left out if its labels are connected already: a task gives less links than
     it has labels."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         trees = Forest()
         for t in _whole_groups(batches, 2 * SET_BLOCK):
             node, label = t.column("node").to_numpy(), t.column("label").to_pylist()

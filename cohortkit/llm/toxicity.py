@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, words
+from .common import lean, remainder, words
 
 BUCKETS = 1 << 18
 DIM = 4
@@ -47,6 +47,8 @@ GAIN = 8.0
 DECAY = 5e-6
 #: Words whose score a worker keeps at most.
 KEPT = 400_000
+#: Rows whose texts a worker holds at a time.
+STEP = 512
 
 
 def subwords(word: bytes) -> list[int]:
@@ -221,6 +223,7 @@ def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         f = scorer(sent.value)
         for b in batches:
             yield pa.RecordBatch.from_arrays(
@@ -237,9 +240,12 @@ def filtered(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         f = scorer(sent.value)
-        for b in batches:
-            yield b.filter(pa.array([f(t) < limit for t in b.column(at).to_pylist()], pa.bool_()))
+        for whole in batches:
+            for first in range(0, whole.num_rows, STEP):
+                b = whole.slice(first, STEP)
+                yield b.filter(pa.array([f(t) < limit for t in b.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -77,3 +77,11 @@ def test_a_worker_holds_what_its_texts_need(spark):
     df = spark.range(0, 2000, 1, 1).selectExpr("id", "'x' AS text")
     got = bpe._mapped(df, "text", "n", bpe.pa.int64(), bpe.T.LongType(), most).collect()
     assert sorted(r.id for r in got) == list(range(2000)) and max(r.n for r in got) <= bpe.STEP
+
+
+def test_a_task_gives_arrow_buffers_back(spark):
+    """Arrow's memory comes from the system, which a freed buffer goes back to."""
+    df = spark.range(0, 20, 1, 1).selectExpr("id", "'x' AS text")
+    got = bpe._mapped(df, "text", "pool", bpe.pa.string(), bpe.T.StringType(),
+                      lambda xs: [bpe.pa.default_memory_pool().backend_name] * len(xs)).collect()
+    assert {r.pool for r in got} == {"system"}
